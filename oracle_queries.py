@@ -98,13 +98,14 @@ def with_fixture(body: str, extra_ctes: str = "") -> str:
     return f"with {ctes}\n{body.strip()}\n"
 
 
-def exact_avg_sql(col: str, scale: int = 2) -> str:
-    """Half-away-from-zero mean of a decimal column with ``scale`` digits."""
-    m = 10 ** scale
-    s = f"cast(sum({col}) * {m} as hugeint)"
+def exact_avg_sql(col: str, in_scale: int = 2, out_scale: int = 2) -> str:
+    """Mean of a decimal column with ``in_scale`` digits, rounded half away
+    from zero to ``out_scale`` digits, as DOUBLE."""
+    s = f"cast(sum({col}) * {10 ** in_scale} as hugeint)"
     n = f"count({col})"
+    up = 10 ** (out_scale - in_scale)
     return (f"case when {n} = 0 then null else "
-            f"sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) / {m}.0 end")
+            f"cast(sign({s}) * ((2 * abs({s}) * {up} + {n}) // (2 * {n})) as double) / {10 ** out_scale} end")
 
 
 ORACLE: dict[str, str] = {}
@@ -124,3 +125,307 @@ ranked_products as (
   join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
   group by p.category, p.sub_category, w.is_rain)
 """)
+
+
+# ---------------------------------------------------------------- D1-D8
+ORACLE["dim_dates"] = with_fixture("""
+select date_id, cast(year(date_id) as bigint) "year", cast(quarter(date_id) as bigint) "quarter",
+       cast(month(date_id) as bigint) "month", monthname(date_id) month_name,
+       cast(weekofyear(date_id) as bigint) "week", cast(day(date_id) as bigint) "day",
+       cast(dayofweek(date_id) as bigint) day_of_week, dayname(date_id) day_name
+from (select cast(unnest(generate_series(cast(cast(lo as timestamp) as date), cast(cast(hi as timestamp) as date),
+                                         interval 1 day)) as date) date_id
+      from (select min(date_text) lo, max(date_text) hi from stg_transactions) b) g
+""")
+
+ORACLE["dim_customers"] = with_fixture("""
+select cast(customer_id as bigint) customer_id, name, email, telephone, city, country, gender,
+       date_of_birth, job_title
+from dim_customers
+""")
+
+ORACLE["dim_discounts"] = with_fixture("""
+select start_date_id, end_date_id, cast(discount_rate as double) discount_rate, description,
+       category, sub_category
+from dim_discounts
+""")
+
+ORACLE["dim_employees"] = with_fixture("""
+select cast(employee_id as bigint) employee_id, cast(store_id as bigint) store_id, name, position
+from dim_employees
+""")
+
+ORACLE["dim_products"] = with_fixture("""
+select cast(product_id as bigint) product_id, category, sub_category, description_pt, description_de,
+       description_fr, description_es, description_en, description_zh, color, sizes,
+       cast(production_cost as double) production_cost
+from dim_products
+""")
+
+ORACLE["dim_stores"] = with_fixture("""
+select cast(store_id as bigint) store_id, country, city, store_name,
+       cast(number_of_employees as bigint) number_of_employees, zip_code, size,
+       cast(latitude as double) latitude, cast(longitude as double) longitude
+from dim_stores
+""")
+
+ORACLE["fact_transactions"] = with_fixture("""
+select invoice_id, cast(line as bigint) line, cast(customer_id as bigint) customer_id,
+       cast(product_id as bigint) product_id, size, color, unit_price,
+       cast(quantity as bigint) quantity, date, datetime, discount, line_total,
+       cast(store_id as bigint) store_id, cast(employee_id as bigint) employee_id, currency,
+       currency_symbol, sku, transaction_type, payment_method,
+       cast(invoice_total as double) invoice_total
+from fact_transactions
+""")
+
+ORACLE["flatten_weather"] = with_fixture("""
+select cast(date_id as varchar) date_id, cast(store_id as bigint) store_id,
+       cast(temp_max as double) temp_max, cast(temp_min as double) temp_min,
+       precip_tenths / 10.0 precipitation
+from stg_weather
+""")
+
+ORACLE["rain_flag"] = with_fixture("""
+select cast(store_id as bigint) store_id, cast(date_id as varchar) date_id,
+       precip_tenths / 10.0 precipitation, coalesce(precip_tenths > 10, false) is_rain
+from stg_weather
+""")
+
+ORACLE["store_weather"] = with_fixture("""
+select cast(store_id as bigint) store_id, date_id, cast(temp_max as double) temp_max,
+       cast(temp_min as double) temp_min, is_rain
+from dim_store_weather
+""")
+
+ORACLE["insert_if_absent"] = with_fixture("""
+select cast(customer_id as bigint) customer_id,
+       case when customer_id % 2 = 0 then name else name || ' (new)' end name,
+       email, telephone, city, country, gender, date_of_birth, job_title
+from dim_customers
+""")
+
+# ---------------------------------------------------------------- J1-J3
+ORACLE["join_store"] = with_fixture("""
+select f.invoice_id, cast(f.line as bigint) line, cast(f.store_id as bigint) store_id, f.date,
+       cast(f.invoice_total as double) invoice_total, s.country, s.city, s.size store_size
+from fact_transactions f join dim_stores s on f.store_id = s.store_id
+""")
+
+ORACLE["join_weather"] = with_fixture("""
+select f.invoice_id, cast(f.line as bigint) line, cast(f.store_id as bigint) store_id, f.date,
+       cast(f.invoice_total as double) invoice_total, cast(w.temp_max as double) temp_max,
+       cast(w.temp_min as double) temp_min, w.is_rain
+from fact_transactions f join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+""")
+
+ORACLE["join_product"] = with_fixture("""
+select f.invoice_id, cast(f.line as bigint) line, cast(f.product_id as bigint) product_id,
+       cast(f.quantity as bigint) quantity, f.line_total, p.category, p.sub_category
+from fact_transactions f join dim_products p on f.product_id = p.product_id
+""")
+
+# ---------------------------------------------------------------- A1-A6
+ORACLE["min_max_date"] = with_fixture("""
+select min(date_text) min_date, max(date_text) max_date from stg_transactions
+""")
+
+ORACLE["count_distinct"] = with_fixture("""
+select cast(store_id as bigint) store_id, count(distinct invoice_id) transaction_count
+from fact_transactions group by store_id
+""")
+
+ORACLE["count_col"] = with_fixture("""
+select cast(product_id as bigint) product_id, count(invoice_id) transaction_count
+from fact_transactions group by product_id
+""")
+
+ORACLE["sum_numeric"] = with_fixture("""
+select cast(store_id as bigint) store_id, cast(sum(invoice_total) as double) total_revenue,
+       cast(sum(quantity) as bigint) total_quantity,
+       cast(sum(cast(line_total as decimal(18,4))) as double) line_revenue
+from fact_transactions group by store_id
+""")
+
+ORACLE["avg_numeric"] = with_fixture(f"""
+select cast(store_id as bigint) store_id, {exact_avg_sql("temp_max")} avg_temp_max,
+       {exact_avg_sql("temp_min")} avg_temp_min
+from dim_store_weather group by store_id
+""")
+
+_TEMP_RANGE = ("case when {t} < 10 then 'cold' when {t} between 10 and 25 then 'moderate' "
+               "else 'hot' end")
+
+ORACLE["group_by_expr"] = with_fixture(f"""
+select is_rain, {_TEMP_RANGE.format(t="temp_max")} temperature_range, count(*) store_days
+from dim_store_weather group by all
+""")
+
+# ---------------------------------------------------------------- P5, P8, P9, P11, P14
+ORACLE["temperature_range"] = with_fixture(f"""
+select cast(store_id as bigint) store_id, date_id, cast(temp_max as double) temp_max,
+       {_TEMP_RANGE.format(t="temp_max")} temperature_range
+from dim_store_weather
+""")
+
+ORACLE["weather_label"] = with_fixture("""
+select cast(store_id as bigint) store_id, date_id, is_rain,
+       case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition
+from dim_store_weather
+""")
+
+ORACLE["store_size_tier"] = with_fixture("""
+select cast(store_id as bigint) store_id, cast(number_of_employees as bigint) number_of_employees, size
+from dim_stores
+""")
+
+ORACLE["day_trunc"] = with_fixture("""
+select cast(date_trunc('day', datetime) as date) sale_date, count(*) lines
+from fact_transactions group by 1
+""")
+
+ORACLE["day_offset"] = with_fixture("""
+select date_id, strftime(date_id - interval 1 day, '%Y-%m-%d') weather_file_day
+from (select cast(unnest(generate_series(cast(cast(lo as timestamp) as date), cast(cast(hi as timestamp) as date),
+                                         interval 1 day)) as date) date_id
+      from (select min(date_text) lo, max(date_text) hi from stg_transactions) b) g
+""")
+
+# ---------------------------------------------------------------- W1-W3
+_RANKED = """
+ranked_products as (
+  select p.category, p.sub_category, w.is_rain,
+         sum(cast(f.line_total as decimal(18,4))) total_revenue,
+         rank() over (partition by w.is_rain order by sum(cast(f.line_total as decimal(18,4))) desc nulls first) rank
+  from fact_transactions f
+  join dim_products p on f.product_id = p.product_id
+  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+  group by p.category, p.sub_category, w.is_rain)
+"""
+
+ORACLE["rank_over_aggregate"] = with_fixture("""
+select category, sub_category, is_rain, cast(total_revenue as double) total_revenue,
+       cast(rank as bigint) rank
+from ranked_products
+""", _RANKED)
+
+ORACLE["top_n_per_group"] = with_fixture("""
+select category, sub_category, is_rain, cast(total_revenue as double) total_revenue,
+       cast(rank as bigint) rank
+from ranked_products where rank <= 5
+""", _RANKED)
+
+# ---------------------------------------------------------------- M1-M3
+_M1 = f"""
+m1 as (
+  select s.country, s.city, s.size store_size, w.is_rain,
+         cast(date_trunc('day', f.date) as date) sale_date,
+         count(distinct f.invoice_id) transaction_count,
+         sum(f.invoice_total) total_revenue,
+         {exact_avg_sql("w.temp_max")} avg_temp_max,
+         {exact_avg_sql("w.temp_min")} avg_temp_min
+  from fact_transactions f
+  join dim_stores s on f.store_id = s.store_id
+  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+  group by s.country, s.city, s.size, w.is_rain, cast(date_trunc('day', f.date) as date))
+"""
+
+_M2 = f"""
+m2 as (
+  select p.product_id, p.category, p.sub_category, w.is_rain,
+         {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
+         count(f.invoice_id) transaction_count, sum(f.quantity) total_quantity,
+         sum(cast(f.line_total as decimal(18,4))) total_revenue
+  from fact_transactions f
+  join dim_products p on f.product_id = p.product_id
+  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+  group by all)
+"""
+
+_M3 = f"""
+m3 as (
+  select s.size store_size, w.is_rain, {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
+         count(distinct f.invoice_id) transaction_count,
+         {exact_avg_sql("f.invoice_total", 0, 2)} avg_transaction_value,
+         sum(f.invoice_total) total_revenue
+  from fact_transactions f
+  join dim_stores s on f.store_id = s.store_id
+  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+  group by all)
+"""
+
+ORACLE["region_impact"] = with_fixture("""
+select country, city, store_size, is_rain, sale_date, transaction_count,
+       cast(total_revenue as double) total_revenue, avg_temp_max, avg_temp_min
+from m1
+""", _M1)
+
+ORACLE["product_sensitivity"] = with_fixture("""
+select cast(product_id as bigint) product_id, category, sub_category, is_rain, temperature_range,
+       transaction_count, cast(total_quantity as bigint) total_quantity,
+       cast(cast(total_revenue as decimal(18,2)) as double) total_revenue
+from m2
+""", _M2)
+
+ORACLE["size_impact"] = with_fixture("""
+select store_size, is_rain, temperature_range, transaction_count, avg_transaction_value,
+       cast(total_revenue as double) total_revenue
+from m3
+""", _M3)
+
+# ---------------------------------------------------------------- Q1, Q3, Q4, W3
+ORACLE["revenue_by_weather_over_time"] = with_fixture(f"""
+select sale_date "time", {exact_avg_sql("total_revenue", 2, 6)} "value",
+       case when is_rain then 'Rainy' else 'Not Rainy' end metric
+from m1 group by sale_date, is_rain
+""", _M1)
+
+ORACLE["revenue_by_size_and_temperature"] = with_fixture("""
+select store_size, temperature_range, cast(sum(total_revenue) as double) total_revenue
+from m3 group by store_size, temperature_range
+""", _M3)
+
+ORACLE["transactions_by_weather"] = with_fixture("""
+select case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition,
+       cast(sum(transaction_count) as bigint) total_transactions
+from m1 group by is_rain
+""", _M1)
+
+ORACLE["share_of_total"] = with_fixture("""
+select weather_condition, total_transactions,
+       cast(total_transactions as double) / cast(sum(total_transactions) over () as double) share
+from (select case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition,
+             cast(sum(transaction_count) as bigint) total_transactions
+      from m1 group by is_rain) t
+""", _M1)
+
+# ---------------------------------------------------------------- X1-X3
+ORACLE["category_sales"] = with_fixture("""
+select cast(f.store_id as bigint) store_id, f.date, p.category, count(f.invoice_id) transaction_count,
+       cast(sum(f.invoice_total) as double) invoice_total_by_store_date,
+       cast(sum(f.quantity) as bigint) quantity
+from fact_transactions f join dim_products p on f.product_id = p.product_id
+group by f.store_id, f.date, p.category
+""")
+
+ORACLE["category_totals"] = with_fixture("""
+select 'unit_price' "index",
+       cast(sum(cast(floor(f.unit_price * 1e6 + cast(0.5 as double)) as bigint)) as double) / 1e6 "value"
+from fact_transactions f join dim_products p on f.product_id = p.product_id
+union all
+select 'quantity', cast(sum(f.quantity) as double)
+from fact_transactions f join dim_products p on f.product_id = p.product_id
+""")
+
+# The six part types of the driver's data (pivot columns).
+_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+ORACLE["category_pivot"] = with_fixture(
+    "select cast(f.store_id as bigint) store_id, f.date, "
+    + ", ".join(
+        f"cast(coalesce(sum(case when p.category = '{c}' then f.quantity end), 0) as bigint) {c.lower()}_quantity, "
+        f"cast(coalesce(sum(case when p.category = '{c}' then cast(f.line_total as decimal(18,4)) end), 0) as double) "
+        f"{c.lower()}_amount"
+        for c in _CATEGORIES)
+    + " from fact_transactions f join dim_products p on f.product_id = p.product_id"
+      " group by f.store_id, f.date")

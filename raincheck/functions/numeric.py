@@ -26,3 +26,15 @@ def exact_sum(c, in_type: str = "decimal(18,4)") -> Column:
 
 def to_double(c) -> Column:
     return _c(c).cast("double")
+
+
+def micro_sum(c, digits: int = 6) -> Column:
+    """Order-independent SUM of an arbitrary double column, as DOUBLE.
+
+    Each value is rounded to ``digits`` decimals with floor(x * 10^d + 0.5)
+    (plain IEEE arithmetic, the same in every engine), the integers are
+    summed exactly, and the total is scaled back once. A plain double SUM
+    would depend on the order in which partitions are combined.
+    """
+    m = float(10 ** digits)
+    return F.sum(F.floor(_c(c) * F.lit(m) + F.lit(0.5))).cast("double") / F.lit(m)

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from raincheck.functions.numeric import exact_sum
+from raincheck.functions.numeric import exact_sum, micro_sum
 from raincheck.operators.joins import join_product
 
 # Pivot columns must stay bounded: more categories than this is an error.
@@ -29,9 +29,10 @@ def category_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
 
 def category_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     """X2 (A8): totals of unit price and quantity over the joined lines,
-    melted to (index, value) rows."""
+    melted to (index, value) rows. Unit prices are doubles, so their total is
+    taken in micro-units to be independent of the summation order."""
     j = category_lines(fact, products, ["unit_price", "quantity"])
-    t = j.agg(F.sum("unit_price").alias("unit_price"),
+    t = j.agg(micro_sum("unit_price").alias("unit_price"),
               F.sum("quantity").cast("double").alias("quantity"))
     return t.unpivot([], ["unit_price", "quantity"], "index", "value")
 

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from raincheck.operators import dims, facts, reports
+from raincheck.functions.dates import day_trunc
+from raincheck.functions.weather import rain_flag, temperature_range, weather_label
+from raincheck.operators import adhoc, aggregates, dims, facts, joins, marts, reports, windows
 from raincheck.sources import payloads
 from raincheck.sources.fixture import RetailFixture
 
@@ -67,3 +69,239 @@ class Inputs:
 def q_top_products_by_weather(spark, d):
     i = Inputs(spark, d)
     return present(reports.top_products_by_weather(i.fact, i.products, i.weather))
+
+
+# ---------------------------------------------------------------- D1-D8
+@query("dim_dates")
+def q_dim_dates(spark, d):
+    return present(dims.dim_dates(RetailFixture(spark, d).staging_transactions))
+
+
+@query("dim_customers")
+def q_dim_customers(spark, d):
+    return present(dims.dim_customers(RetailFixture(spark, d).staging_customers))
+
+
+@query("dim_discounts")
+def q_dim_discounts(spark, d):
+    return present(dims.dim_discounts(RetailFixture(spark, d).staging_discounts))
+
+
+@query("dim_employees")
+def q_dim_employees(spark, d):
+    return present(dims.dim_employees(RetailFixture(spark, d).staging_employees))
+
+
+@query("dim_products")
+def q_dim_products(spark, d):
+    return present(Inputs(spark, d).products)
+
+
+@query("dim_stores")
+def q_dim_stores(spark, d):
+    return present(Inputs(spark, d).stores)
+
+
+@query("fact_transactions")
+def q_fact_transactions(spark, d):
+    return present(Inputs(spark, d).fact)
+
+
+@query("flatten_weather")
+def q_flatten_weather(spark, d):
+    return present(payloads.flatten_weather(RetailFixture(spark, d).weather_payloads))
+
+
+@query("rain_flag")
+def q_rain_flag(spark, d):
+    flat = payloads.flatten_weather(RetailFixture(spark, d).weather_payloads)
+    return present(flat.select("store_id", "date_id", "precipitation",
+                               rain_flag("precipitation").alias("is_rain")))
+
+
+@query("store_weather")
+def q_store_weather(spark, d):
+    flat = payloads.flatten_weather(RetailFixture(spark, d).weather_payloads)
+    return present(payloads.store_weather(payloads.weather_records(flat)))
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    """Existing = customers with even keys; the batch has every key twice,
+    renamed, in input order ' (new)' then ' (newer)': existing rows stay,
+    and the first batch row wins for the others."""
+    stg = RetailFixture(spark, d).staging_customers
+    existing = dims.dim_customers(stg).filter(F.col("customer_id") % 2 == 0)
+    name = F.col("Name")
+    batch = (stg.withColumn("Name", F.concat(name, F.lit(" (new)"))).withColumn(dims.SEQ, F.lit(1))
+             .unionByName(stg.withColumn("Name", F.concat(name, F.lit(" (newer)")))
+                          .withColumn(dims.SEQ, F.lit(2))))
+    added = dims.dim_customers(batch, existing)
+    return present(existing.unionByName(added))
+
+
+# ---------------------------------------------------------------- J1-J3
+def _lines(i: Inputs, *cols):
+    return i.fact.select("invoice_id", "line", *cols)
+
+
+@query("join_store")
+def q_join_store(spark, d):
+    i = Inputs(spark, d)
+    return present(joins.join_store(_lines(i, "store_id", "date", "invoice_total"), i.stores))
+
+
+@query("join_weather")
+def q_join_weather(spark, d):
+    i = Inputs(spark, d)
+    return present(joins.join_weather(_lines(i, "store_id", "date", "invoice_total"), i.weather))
+
+
+@query("join_product")
+def q_join_product(spark, d):
+    i = Inputs(spark, d)
+    return present(joins.join_product(_lines(i, "product_id", "quantity", "line_total"), i.products))
+
+
+# ---------------------------------------------------------------- A1-A6
+@query("min_max_date")
+def q_min_max_date(spark, d):
+    mm = dims.min_max_date(RetailFixture(spark, d).staging_transactions)
+    return mm.select(F.col("lo").alias("min_date"), F.col("hi").alias("max_date"))
+
+
+@query("count_distinct")
+def q_count_distinct(spark, d):
+    return present(aggregates.invoice_counts(Inputs(spark, d).fact, ["store_id"]))
+
+
+@query("count_col")
+def q_count_col(spark, d):
+    return present(aggregates.line_counts(Inputs(spark, d).fact, ["product_id"]))
+
+
+@query("sum_numeric")
+def q_sum_numeric(spark, d):
+    return present(aggregates.line_sums(Inputs(spark, d).fact, ["store_id"]))
+
+
+@query("avg_numeric")
+def q_avg_numeric(spark, d):
+    return present(aggregates.temperature_averages(Inputs(spark, d).weather, ["store_id"]))
+
+
+@query("group_by_expr")
+def q_group_by_expr(spark, d):
+    return present(aggregates.days_by_temperature_range(Inputs(spark, d).weather))
+
+
+# ---------------------------------------------------------------- P5, P8, P9, P11, P14
+@query("temperature_range")
+def q_temperature_range(spark, d):
+    w = Inputs(spark, d).weather
+    return present(w.select("store_id", "date_id", "temp_max",
+                            temperature_range("temp_max").alias("temperature_range")))
+
+
+@query("weather_label")
+def q_weather_label(spark, d):
+    w = Inputs(spark, d).weather
+    return present(w.select("store_id", "date_id", "is_rain",
+                            weather_label("is_rain").alias("weather_condition")))
+
+
+@query("store_size_tier")
+def q_store_size_tier(spark, d):
+    return present(Inputs(spark, d).stores.select("store_id", "number_of_employees", "size"))
+
+
+@query("day_trunc")
+def q_day_trunc(spark, d):
+    f = Inputs(spark, d).fact
+    return present(f.groupBy(day_trunc("datetime").alias("sale_date"))
+                    .agg(F.count(F.lit(1)).alias("lines")))
+
+
+@query("day_offset")
+def q_day_offset(spark, d):
+    dd = dims.dim_dates(RetailFixture(spark, d).staging_transactions)
+    return dd.select("date_id", payloads.weather_file_day(F.col("date_id")).alias("weather_file_day"))
+
+
+# ---------------------------------------------------------------- W1-W3
+@query("rank_over_aggregate")
+def q_rank_over_aggregate(spark, d):
+    i = Inputs(spark, d)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
+    return present(windows.rank_over_aggregate(g, "is_rain", "total_revenue"))
+
+
+@query("top_n_per_group")
+def q_top_n_per_group(spark, d):
+    i = Inputs(spark, d)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
+    return present(windows.top_n_per_group(g, "is_rain", "total_revenue", 5))
+
+
+@query("share_of_total")
+def q_share_of_total(spark, d):
+    i = Inputs(spark, d)
+    m1 = marts.region_impact(i.fact, i.stores, i.weather)
+    return present(reports.transactions_by_weather(m1, with_share=True))
+
+
+# ---------------------------------------------------------------- M1-M3
+@query("region_impact")
+def q_region_impact(spark, d):
+    i = Inputs(spark, d)
+    return present(marts.region_impact(i.fact, i.stores, i.weather))
+
+
+@query("product_sensitivity")
+def q_product_sensitivity(spark, d):
+    i = Inputs(spark, d)
+    return present(marts.product_sensitivity(i.fact, i.products, i.weather))
+
+
+@query("size_impact")
+def q_size_impact(spark, d):
+    i = Inputs(spark, d)
+    return present(marts.size_impact(i.fact, i.stores, i.weather))
+
+
+# ---------------------------------------------------------------- Q1, Q3, Q4
+@query("revenue_by_weather_over_time")
+def q_revenue_by_weather_over_time(spark, d):
+    i = Inputs(spark, d)
+    return present(reports.revenue_by_weather_over_time(marts.region_impact(i.fact, i.stores, i.weather)))
+
+
+@query("revenue_by_size_and_temperature")
+def q_revenue_by_size_and_temperature(spark, d):
+    i = Inputs(spark, d)
+    return present(reports.revenue_by_size_and_temperature(marts.size_impact(i.fact, i.stores, i.weather)))
+
+
+@query("transactions_by_weather")
+def q_transactions_by_weather(spark, d):
+    i = Inputs(spark, d)
+    return present(reports.transactions_by_weather(marts.region_impact(i.fact, i.stores, i.weather)))
+
+
+# ---------------------------------------------------------------- X1-X3
+@query("category_sales")
+def q_category_sales(spark, d):
+    i = Inputs(spark, d)
+    return present(adhoc.category_sales(i.fact, i.products))
+
+
+@query("category_totals")
+def q_category_totals(spark, d):
+    i = Inputs(spark, d)
+    return present(adhoc.category_totals(i.fact, i.products))
+
+
+@query("category_pivot")
+def q_category_pivot(spark, d):
+    i = Inputs(spark, d)
+    return present(adhoc.category_pivot(i.fact, i.products))
