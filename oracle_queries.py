@@ -429,3 +429,51 @@ ORACLE["category_pivot"] = with_fixture(
         for c in _CATEGORIES)
     + " from fact_transactions f join dim_products p on f.product_id = p.product_id"
       " group by f.store_id, f.date")
+
+# ---------------------------------------------------------------- S1-S9, E1, R2
+ORACLE["csv_roundtrip"] = ORACLE["fact_transactions"]
+
+_STAGING_COUNTS = """
+select 'customers' t, count(*) n from customer
+union all select 'discounts', count(*) from part where p_partkey % 20 = 0
+union all select 'employees', count(*) from customer
+union all select 'products', count(*) from part
+union all select 'stores', count(*) from supplier
+union all select 'transactions', count(*) from lineitem join orders on l_orderkey = o_orderkey
+"""
+
+ORACLE["load_audit"] = f"""
+select t table_name, n rows from ({_STAGING_COUNTS}) c
+"""
+
+ORACLE["truncate_staging"] = f"""
+select 'staging_' || t table_name, n rows_before, cast(0 as bigint) rows_after from ({_STAGING_COUNTS}) c
+"""
+
+ORACLE["run_pipeline"] = with_fixture("""
+select 'dim_dates' table_name, count(*) "rows" from (
+  select unnest(generate_series(cast(cast(lo as timestamp) as date), cast(cast(hi as timestamp) as date),
+                                interval 1 day))
+  from (select min(date_text) lo, max(date_text) hi from stg_transactions) b) g
+union all select 'dim_customers', count(*) from dim_customers
+union all select 'dim_discounts', count(*) from dim_discounts
+union all select 'dim_employees', count(*) from dim_employees
+union all select 'dim_products', count(*) from dim_products
+union all select 'dim_stores', count(*) from dim_stores
+union all select 'fact_transactions', count(*) from fact_transactions
+union all select 'dim_store_weather', count(*) from dim_store_weather
+union all select 'data_mart_weather_region_impact', count(*) from m1
+union all select 'data_mart_product_weather_sensitivity', count(*) from m2
+union all select 'data_mart_store_size_weather_impact', count(*) from m3
+""", ",\n".join(x.strip() for x in (_M1, _M2, _M3)))
+
+ORACLE["merge_weather"] = with_fixture("""
+select cast(w.store_id as bigint) store_id, w.date_id,
+       cast(case when n.store_id is null then w.temp_max else w.temp_max + 1 end as double) temp_max,
+       cast(w.temp_min as double) temp_min, w.is_rain,
+       case when n.store_id is null then date '2025-03-01' else date '2025-03-02' end run_date
+from dim_store_weather w
+left join (select store_id, date_id from dim_store_weather
+           where store_id % 2 = 0 and date_diff('day', date '1995-01-01', date_id) % 2 = 0) n
+  on w.store_id = n.store_id and w.date_id = n.date_id
+""")

@@ -7,6 +7,7 @@ results compare across engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,11 @@ from pyspark.sql import types as T
 
 from raincheck.functions.dates import day_trunc
 from raincheck.functions.weather import rain_flag, temperature_range, weather_label
+from raincheck import schemas as S
 from raincheck.operators import adhoc, aggregates, dims, facts, joins, marts, reports, windows
-from raincheck.sources import payloads
+from raincheck.plans import pipeline
+from raincheck.session import scratch_path
+from raincheck.sources import csv, payloads, tables
 from raincheck.sources.fixture import RetailFixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -305,3 +309,77 @@ def q_category_totals(spark, d):
 def q_category_pivot(spark, d):
     i = Inputs(spark, d)
     return present(adhoc.category_pivot(i.fact, i.products))
+
+
+# ---------------------------------------------------------------- S1-S9, E1, R2
+RUN_DATE = dt.date(2025, 3, 1)
+
+
+def fixture_staging(fx: RetailFixture) -> dict[str, DataFrame]:
+    return {"customers": fx.staging_customers, "discounts": fx.staging_discounts,
+            "employees": fx.staging_employees, "products": fx.staging_products,
+            "stores": fx.staging_stores, "transactions": fx.staging_transactions}
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """S1 + P10: staged lines written as CSV text, scanned back with header
+    check and null tokens, then loaded into the fact shape."""
+    fx = RetailFixture(spark, d)
+    path = csv.write_csv(fx.staging_transactions, scratch_path(spark, "csv") + "/transactions.csv")
+    back = csv.scan_csv(spark, path, S.CSV_HEADERS["transactions"])
+    return present(facts.fact_transactions(back))
+
+
+@query("load_audit")
+def q_load_audit(spark, d):
+    """S2 + S3: rows appended to each staging table, counted while writing."""
+    fx = RetailFixture(spark, d)
+    staging_dir = scratch_path(spark, "staging")
+    counts = {n: csv.append_staging(df, staging_dir, n) for n, df in fixture_staging(fx).items()}
+    return spark.createDataFrame(sorted(counts.items()), "table_name string, rows bigint")
+
+
+@query("truncate_staging")
+def q_truncate_staging(spark, d):
+    """S2 + S8 + S9: staging tables loaded, then emptied; rows read back
+    before and after."""
+    fx = RetailFixture(spark, d)
+    staging_dir = scratch_path(spark, "staging")
+    names = list(fixture_staging(fx))
+    for n, df in fixture_staging(fx).items():
+        csv.append_staging(df, staging_dir, n)
+    before = {n: csv.read_staging(spark, staging_dir, n).count() for n in names}
+    csv.truncate_staging(spark, staging_dir, names)
+    after = [csv.read_staging(spark, staging_dir, n).agg(F.count(F.lit(1)).alias("rows_after"))
+             .select(F.lit(csv.STAGING_TABLES[n]).alias("table_name"),
+                     F.lit(before[n]).cast("bigint").alias("rows_before"), "rows_after")
+             for n in names]
+    out = after[0]
+    for a in after[1:]:
+        out = out.unionByName(a)
+    return out
+
+
+@query("run_pipeline")
+def q_run_pipeline(spark, d):
+    """E1 (+ S5-S7): one full batch into a fresh folder; rows per table."""
+    fx = RetailFixture(spark, d)
+    root = scratch_path(spark, "pipeline")
+    pipeline.run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN_DATE)
+    return tables.row_counts(spark, root)
+
+
+@query("merge_weather")
+def q_merge_weather(spark, d):
+    """R2: two weather runs share store-days; the newer run wins there and
+    the older run's other days are kept. Run 2 covers even stores on even
+    day numbers, one degree warmer."""
+    i = Inputs(spark, d)
+    w = i.weather
+    run1 = payloads.merge_weather(None, w, dt.date(2025, 3, 1))
+    dn = F.datediff("date_id", F.lit("1995-01-01").cast("date"))
+    newer = (w.filter((F.col("store_id") % 2 == 0) & (dn % 2 == 0))
+              .withColumn("temp_max", (F.col("temp_max") + 1).cast("decimal(5,2)")))
+    merged = payloads.merge_weather(run1, newer, dt.date(2025, 3, 2))
+    return present(merged)
