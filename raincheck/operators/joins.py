@@ -20,15 +20,18 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_ROWS
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` rows, so it stays cheap on a large table."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a
-    large table; pass frames already pruned to the join's columns.
-    """
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
+    (left to the planner: sort-merge, re-planned by AQE). Pass frames already
+    pruned to the join's columns."""
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def join_store(lines: DataFrame, stores: DataFrame, cols=("country", "city", "size")) -> DataFrame:
@@ -38,19 +41,29 @@ def join_store(lines: DataFrame, stores: DataFrame, cols=("country", "city", "si
     return lines.join(broadcast_if_small(s), "store_id")
 
 
+# Weather rows (stores x days) that may be broadcast after a bounded count.
+WEATHER_BROADCAST_ROWS = 100_000
+
+
 def join_weather(lines: DataFrame, weather: DataFrame,
-                 cols=("temp_max", "temp_min", "is_rain"), broadcast: bool | None = None) -> DataFrame:
+                 cols=("temp_max", "temp_min", "is_rain"), broadcast: bool | None = False) -> DataFrame:
     """Lines ⋈ weather on (store_id, date = date_id); lines without weather drop out.
 
-    Weather is stores x days and grows with the data, so by default it is
-    shuffled on the two-column key; ``broadcast=None`` lets a bounded count
-    decide.
+    Weather is stores x days and grows with the data, so the default is a
+    sort-merge join, both sides shuffled on the two-column key (a hot store
+    spreads over its days; AQE splits a hot store-day). The hint also keeps
+    the planner from broadcasting a side whose size it can only guess (an
+    exploded or derived frame). ``broadcast=True`` forces a broadcast;
+    ``None`` broadcasts only if a bounded count finds at most
+    ``WEATHER_BROADCAST_ROWS`` rows.
     """
     w = weather.select("store_id", F.col("date_id").alias("date"), *cols)
     if broadcast is None:
-        w = broadcast_if_small(w)
-    elif broadcast:
+        broadcast = is_small(w, WEATHER_BROADCAST_ROWS)
+    if broadcast:
         w = F.broadcast(w)
+    else:
+        w = w.hint("merge")
     return lines.join(w, ["store_id", "date"])
 
 

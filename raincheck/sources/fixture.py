@@ -41,9 +41,13 @@ class RetailFixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """One reader per table (the schema is resolved once per fixture)."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # ------------------------------------------------------------ geography
     def _nation_region(self) -> DataFrame:
@@ -129,7 +133,9 @@ class RetailFixture:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_totalprice")
-        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        # Both sides are fact-sized: a sort-merge join on the order key, so
+        # the per-line expressions below run in the parallel join tasks.
+        j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         ln = F.col("l_linenumber")
         ship_day = F.to_date("l_shipdate").cast("string")
         line_total = (F.col("l_extendedprice").cast("decimal(18,4)")
@@ -178,9 +184,12 @@ class RetailFixture:
         # Each store row expands to the calendar span locally (no shuffle);
         # the semi-join against the day set (bounded by the span checked
         # above) keeps the days that exist.
-        grid = self.t("supplier").select(
-            F.col("s_suppkey").alias("store_id"),
-            F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date_id"))
+        # The explode multiplies each store row by the day span, so the few
+        # store rows are first spread over all task slots (a small shuffle of
+        # the seeds, not of the grid).
+        seeds = self.t("supplier").select(F.col("s_suppkey").alias("store_id")).repartition(
+            self.spark.sparkContext.defaultParallelism)
+        grid = seeds.select("store_id", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date_id"))
         grid = grid.join(F.broadcast(days), "date_id", "left_semi")
         s, dn = F.col("store_id"), day_number(F.col("date_id"))
         wet = (s * 31 + dn * 17) % 61
