@@ -72,3 +72,19 @@ def join_product(lines: DataFrame, products: DataFrame,
     """Lines ⋈ products on product_id."""
     p = products.select("product_id", *cols)
     return lines.join(broadcast_if_small(p), "product_id")
+
+
+def join_weather_audited(lines: DataFrame, weather: DataFrame, audit,
+                         cols=("temp_max", "temp_min", "is_rain")) -> DataFrame:
+    """J2 with an audit of the lines it drops (R6), in the same shuffle.
+
+    A left join marks lines that found a weather row; an observation counts
+    the others (``unmatched_lines``) while the plan runs; then only matched
+    lines continue, so the result equals ``join_weather``.
+    """
+    w = weather.select("store_id", F.col("date_id").alias("date"), *cols,
+                       F.lit(True).alias("_has_weather")).hint("merge")
+    j = lines.join(w, ["store_id", "date"], "left")
+    j = j.observe(audit, F.count(F.lit(1)).alias("lines"),
+                  F.count(F.when(F.col("_has_weather").isNull(), 1)).alias("unmatched_lines"))
+    return j.filter(F.col("_has_weather")).drop("_has_weather")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from raincheck.operators import dims, facts, marts
-from raincheck.operators.joins import join_product, join_store, join_weather
+from raincheck.operators.joins import join_product, join_store, join_weather_audited
 from raincheck.sources import csv, payloads, tables
 
 DIM_BUILDERS = {
@@ -44,6 +44,8 @@ class RunResult:
     failed_payloads: int = 0
     weather_file: str = ""
     created: list[str] = field(default_factory=list)
+    mart_lines: int = 0
+    unmatched_lines: int = 0
 
 
 def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) -> dict[str, int]:
@@ -74,17 +76,19 @@ def weather_for_marts(spark: SparkSession, root: str, mode: str) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
-                strict_types: bool = False) -> None:
+                strict_types: bool = False, result: RunResult | None = None) -> None:
     """Transform: the three marts over all loaded history.
 
     Fact ⋈ weather is computed once (one shuffle on store_id, date) and kept
     (memory, spilling to disk) for the three aggregations; lost blocks are
-    recomputed from the written tables.
+    recomputed from the written tables. Lines without weather drop out of
+    every mart; their number is audited (``result.unmatched_lines``).
     """
     fact = tables.read_table(spark, root, "fact_transactions").select(
         "invoice_id", "product_id", "store_id", "date", "quantity", "line_total", "invoice_total")
     weather = weather_for_marts(spark, root, mode)
-    lines = join_weather(fact, weather).persist(StorageLevel.MEMORY_AND_DISK)
+    audit = Observation("mart_lines")
+    lines = join_weather_audited(fact, weather, audit).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stores = tables.read_table(spark, root, "dim_stores")
         products = tables.read_table(spark, root, "dim_products")
@@ -99,6 +103,9 @@ def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
                 tables.append_rows(df, root, name)
             else:
                 tables.overwrite(df, root, name)
+        if result is not None:
+            got = audit.get
+            result.mart_lines, result.unmatched_lines = int(got["lines"]), int(got["unmatched_lines"])
     finally:
         lines.unpersist()
 
@@ -142,5 +149,5 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
     csv.truncate_staging(spark, staging_dir, list(staging))
 
     # transform
-    build_marts(spark, root, mode, strict_types)
+    build_marts(spark, root, mode, strict_types, result)
     return result

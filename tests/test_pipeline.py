@@ -92,3 +92,17 @@ def test_csv_null_tokens_become_null(spark):
         f.write("Store ID,Country\n1,NA\n2,N/A\n3,nan\n4,France\n")
     got = {r["Store ID"]: r["Country"] for r in csv.scan_csv(spark, path, ["Store ID", "Country"]).collect()}
     assert got == {"1": None, "2": None, "3": None, "4": "France"}
+
+
+def test_unmatched_lines_are_audited(spark, fx, small_sf):
+    import duckdb
+    root = fresh_root()
+    r = run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
+    con = duckdb.connect()
+    # one store-day in ten has no weather: (supplier + day number) % 10 = 0
+    want = con.execute(f"""
+        select count(*) from read_parquet('{small_sf}/lineitem.parquet')
+        where (l_suppkey + date_diff('day', date '1995-01-01', cast(l_shipdate as date))) % 10 = 0
+    """).fetchone()[0]
+    assert r.mart_lines == counts(spark, root)["fact_transactions"]
+    assert r.unmatched_lines == want > 0
