@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference is a batch pipeline run on demand: it has no streams,
+watermarks, event-time windows, state or late-data rules, so none are
+provided here. Incremental loads are batches: ``run_pipeline`` with a new
+``batch_id`` / ``run_date`` adds history, and re-running a batch replaces it.
+"""
