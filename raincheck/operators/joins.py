@@ -1,9 +1,8 @@
 """Joins of the invoice lines with the store, weather and product dimensions.
 
-Every join is an inner equi-join; NULL keys never match. Small dimension
-sides are broadcast only after a bounded row count proves them small;
-otherwise the join is left to the planner (sort-merge, re-planned by AQE,
-which also splits skewed partitions).
+Every join is an inner equi-join; NULL keys never match. A side is
+broadcast only after a bounded row count proves it small; otherwise the join
+is a sort-merge join (AQE re-plans it and splits skewed partitions).
 """
 
 from __future__ import annotations
@@ -41,30 +40,39 @@ def join_store(lines: DataFrame, stores: DataFrame, cols=("country", "city", "si
     return lines.join(broadcast_if_small(s), "store_id")
 
 
-# Weather rows (stores x days) that may be broadcast after a bounded count.
-WEATHER_BROADCAST_ROWS = 100_000
+# Weather rows (stores x days) broadcast after a bounded count proves the
+# side small: 1M rows is a hashed relation of about 24 MB.
+DEFAULT_WEATHER_BROADCAST_ROWS = 1_000_000
+WEATHER_BROADCAST_CONF = "raincheck.weather.broadcastMaxRows"
+
+
+def weather_broadcast_limit(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(WEATHER_BROADCAST_CONF, None)
+    return int(v) if v else DEFAULT_WEATHER_BROADCAST_ROWS
+
+
+def _weather_side(weather: DataFrame, cols, broadcast: bool | None, extra=()) -> DataFrame:
+    w = weather.select("store_id", F.col("date_id").alias("date"), *cols, *extra)
+    if broadcast is None:
+        broadcast = is_small(w, weather_broadcast_limit(w))
+    return F.broadcast(w) if broadcast else w.hint("merge")
 
 
 def join_weather(lines: DataFrame, weather: DataFrame,
-                 cols=("temp_max", "temp_min", "is_rain"), broadcast: bool | None = False) -> DataFrame:
+                 cols=("temp_max", "temp_min", "is_rain"), broadcast: bool | None = None) -> DataFrame:
     """Lines ⋈ weather on (store_id, date = date_id); lines without weather drop out.
 
-    Weather is stores x days and grows with the data, so the default is a
-    sort-merge join, both sides shuffled on the two-column key (a hot store
-    spreads over its days; AQE splits a hot store-day). The hint also keeps
-    the planner from broadcasting a side whose size it can only guess (an
-    exploded or derived frame). ``broadcast=True`` forces a broadcast;
-    ``None`` broadcasts only if a bounded count finds at most
-    ``WEATHER_BROADCAST_ROWS`` rows.
+    Weather is stores x days: bounded by the store count and the calendar,
+    not by sales. When a bounded count proves it small (at most
+    ``raincheck.weather.broadcastMaxRows`` rows) it is broadcast, so the
+    fact is never shuffled for the join and the following aggregation
+    reduces it map-side. Otherwise both sides are shuffled on the two-column
+    key in a sort-merge join (a hot store spreads over its days; AQE splits
+    a hot store-day); the ``merge`` hint keeps the planner from broadcasting
+    a side whose size it can only guess (an exploded or derived frame).
+    ``broadcast=True/False`` forces either plan.
     """
-    w = weather.select("store_id", F.col("date_id").alias("date"), *cols)
-    if broadcast is None:
-        broadcast = is_small(w, WEATHER_BROADCAST_ROWS)
-    if broadcast:
-        w = F.broadcast(w)
-    else:
-        w = w.hint("merge")
-    return lines.join(w, ["store_id", "date"])
+    return lines.join(_weather_side(weather, cols, broadcast), ["store_id", "date"])
 
 
 def join_product(lines: DataFrame, products: DataFrame,
@@ -75,15 +83,15 @@ def join_product(lines: DataFrame, products: DataFrame,
 
 
 def join_weather_audited(lines: DataFrame, weather: DataFrame, audit,
-                         cols=("temp_max", "temp_min", "is_rain")) -> DataFrame:
-    """J2 with an audit of the lines it drops (R6), in the same shuffle.
+                         cols=("temp_max", "temp_min", "is_rain"),
+                         broadcast: bool | None = None) -> DataFrame:
+    """J2 with an audit of the lines it drops (R6), in the same join.
 
     A left join marks lines that found a weather row; an observation counts
     the others (``unmatched_lines``) while the plan runs; then only matched
     lines continue, so the result equals ``join_weather``.
     """
-    w = weather.select("store_id", F.col("date_id").alias("date"), *cols,
-                       F.lit(True).alias("_has_weather")).hint("merge")
+    w = _weather_side(weather, cols, broadcast, [F.lit(True).alias("_has_weather")])
     j = lines.join(w, ["store_id", "date"], "left")
     j = j.observe(audit, F.count(F.lit(1)).alias("lines"),
                   F.count(F.when(F.col("_has_weather").isNull(), 1)).alias("unmatched_lines"))

@@ -10,10 +10,10 @@ from raincheck.operators import marts, reports
 from raincheck.plans.registry import Inputs
 
 
-def _explain(df):
+def _explain(df, mode="formatted"):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode)
     return buf.getvalue()
 
 
@@ -22,8 +22,24 @@ def inputs(spark, small_sf):
     return Inputs(spark, small_sf)
 
 
+@pytest.fixture
+def no_weather_broadcast(spark):
+    spark.conf.set("raincheck.weather.broadcastMaxRows", "0")
+    yield
+    spark.conf.unset("raincheck.weather.broadcastMaxRows")
+
+
+def test_small_weather_is_broadcast(inputs):
+    p = _explain(marts.region_impact(inputs.fact, inputs.stores, inputs.weather), mode="simple")
+    joins = [ln.strip() for ln in p.splitlines() if "Join [" in ln]
+    weather = [ln for ln in joins if "date#" in ln.split("]")[0]]
+    assert weather and all(ln.startswith("+- BroadcastHashJoin") or "BroadcastHashJoin" in ln for ln in weather)
+    smj = [ln for ln in joins if "SortMergeJoin" in ln]
+    assert len(smj) == 1 and "l_orderkey" in smj[0]   # only the fixture's lineitem x orders
+
+
 @pytest.mark.parametrize("build", ["m1", "m2", "m3", "q2"])
-def test_mart_plans(inputs, build):
+def test_mart_plans(inputs, build, no_weather_broadcast):
     i = inputs
     df = {
         "m1": lambda: marts.region_impact(i.fact, i.stores, i.weather),
