@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from raincheck.operators import dims, facts, marts
-from raincheck.operators.joins import join_product, join_store, join_weather_audited
+from raincheck.operators.joins import (is_small, join_product, join_store, join_weather_audited,
+                                       weather_broadcast_limit)
 from raincheck.sources import csv, payloads, tables
 
 DIM_BUILDERS = {
@@ -79,16 +80,23 @@ def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
                 strict_types: bool = False, result: RunResult | None = None) -> None:
     """Transform: the three marts over all loaded history.
 
-    Fact ⋈ weather is computed once (one shuffle on store_id, date) and kept
-    (memory, spilling to disk) for the three aggregations; lost blocks are
-    recomputed from the written tables. Lines without weather drop out of
-    every mart; their number is audited (``result.unmatched_lines``).
+    When weather is small enough to broadcast, each mart is a pruned fact
+    scan, a broadcast join and a map-side aggregation: nothing fact-sized is
+    shuffled or kept. Otherwise fact ⋈ weather needs a shuffle on
+    (store_id, date); it is done once and kept (memory, spilling to disk) for
+    the three aggregations; lost blocks are recomputed from the written
+    tables. Lines without weather drop out of every mart; their number is
+    audited (``result.unmatched_lines``).
     """
     fact = tables.read_table(spark, root, "fact_transactions").select(
         "invoice_id", "product_id", "store_id", "date", "quantity", "line_total", "invoice_total")
     weather = weather_for_marts(spark, root, mode)
+    small = is_small(weather.select("store_id", "date_id", "temp_max", "temp_min", "is_rain"),
+                     weather_broadcast_limit(weather))
     audit = Observation("mart_lines")
-    lines = join_weather_audited(fact, weather, audit).persist(StorageLevel.MEMORY_AND_DISK)
+    lines = join_weather_audited(fact, weather, audit, broadcast=small)
+    if not small:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stores = tables.read_table(spark, root, "dim_stores")
         products = tables.read_table(spark, root, "dim_products")
@@ -107,7 +115,8 @@ def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
             got = audit.get
             result.mart_lines, result.unmatched_lines = int(got["lines"]), int(got["unmatched_lines"])
     finally:
-        lines.unpersist()
+        if not small:
+            lines.unpersist()
 
 
 def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_frame: DataFrame,
