@@ -142,3 +142,17 @@ def test_shuffle_join_path_gives_same_marts(spark, fx):
               "data_mart_store_size_weather_impact"):
         a, b = tables.read_table(spark, small, m), tables.read_table(spark, big, m)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dashboard_over_written_warehouse_equals_direct_queries(spark, fx, small_sf):
+    from raincheck.plans import dashboard
+    from raincheck.plans.registry import QUERIES, present
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
+    got = {**dashboard.panels(spark, root), **dashboard.category_analysis(spark, root)}
+    for name, df in got.items():
+        want = QUERIES["share_of_total" if name == "transactions_by_weather" else name](spark, small_sf)
+        a = present(df)
+        assert sorted(a.columns) == sorted(want.columns), name
+        a = a.select(*want.columns)
+        assert a.exceptAll(want).count() == 0 and want.exceptAll(a).count() == 0, name
