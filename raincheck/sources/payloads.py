@@ -24,8 +24,9 @@ _ARRAYS = ["time", "temperature_2m_max", "temperature_2m_min", "precipitation_su
 def parse_payloads(payloads: DataFrame, audit: Observation | None = None) -> DataFrame:
     """Keep successful payloads and pick the daily arrays.
 
-    Arrays of unequal length raise (a shorter array would otherwise pad
-    with NULL in ``arrays_zip``).
+    Days follow ``time``: a value array longer than ``time`` is cut to its
+    length; a shorter one (or a missing ``daily`` block) raises, since the
+    day would have no value.
     """
     ok = F.col("status") == OK_STATUS
     if audit is not None:
@@ -36,12 +37,13 @@ def parse_payloads(payloads: DataFrame, audit: Observation | None = None) -> Dat
         "store_id", F.from_json("body", S.WEATHER_BODY_DDL).alias("b"))
     d = F.col("b.daily")
     n = F.size(d["time"])
-    same = F.lit(True)
+    complete = d["time"].isNotNull()
     for a in _ARRAYS[1:]:
-        same = same & (F.size(d[a]) == n)
-    return p.select("store_id", F.when(same, d).otherwise(F.raise_error(
-        F.concat(F.lit("weather payload arrays differ in length for store "),
-                 F.col("store_id").cast("string")))).alias("daily"))
+        complete = complete & d[a].isNotNull() & (F.size(d[a]) >= n)
+    daily = F.struct(d["time"].alias("time"), *[F.slice(d[a], 1, n).alias(a) for a in _ARRAYS[1:]])
+    return p.select("store_id", F.when(complete, daily).otherwise(F.raise_error(
+        F.concat(F.lit("weather payload for store "), F.col("store_id").cast("string"),
+                 F.lit(" lacks daily values for some days")))).alias("daily"))
 
 
 def flatten_weather(payloads: DataFrame, audit: Observation | None = None) -> DataFrame:

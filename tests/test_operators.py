@@ -95,10 +95,17 @@ def test_unequal_payload_arrays_fail(spark):
     rows = [_payload(1, 200, ["2025-03-01", "2025-03-02", "2025-03-03"], [1.0, 2.0, 3.0],
                      [0.0, 0.0, 0.0], [0.0, 0.0])]
     df = spark.createDataFrame(rows, "store_id int, status int, body string")
-    with pytest.raises(Exception, match="differ in length"):
+    with pytest.raises(Exception, match="lacks daily values"):
         payloads.flatten_weather(df).collect()
 
 
+def test_longer_value_array_is_cut_to_time(spark):
+    rows = [_payload(1, 200, ["2025-03-01"], [12.5, 99.0], [3.0, 9.0], [0.5, 9.0])]
+    df = spark.createDataFrame(rows, "store_id int, status int, body string")
+    out = payloads.flatten_weather(df).collect()
+    assert [(r.date_id, r.temp_max, r.precipitation) for r in out] == [("2025-03-01", 12.5, 0.5)]
+
+
 def test_weather_merge_newest_run_wins_older_days_kept(spark):
     old = H.weather(spark, [dict(store_id=1, date_id=D, temp_max=Decimal("1.00")),
                             dict(store_id=1, date_id=dt.date(2025, 3, 3), temp_max=Decimal("2.00"))])
