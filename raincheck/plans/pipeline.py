@@ -160,3 +160,41 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
     # transform
     build_marts(spark, root, mode, strict_types, result)
     return result
+
+
+def main(argv: list[str] | None = None) -> RunResult:
+    """Command line: one batch run, e.g.
+
+    python -m raincheck.plans.pipeline --sources s3://b/exports \\
+        --payloads s3://b/weather/2025-03-01 --root s3://b/warehouse --run-date 2025-03-01
+
+    (or ``spark-submit raincheck/plans/pipeline.py ...`` with the package on
+    the Python path).
+
+    ``--sources`` holds the six ``{name}.csv`` files; ``--payloads`` holds
+    JSON lines with ``store_id``, ``status`` and ``body`` (the response text).
+    """
+    import argparse
+
+    from raincheck.session import build_session
+
+    ap = argparse.ArgumentParser(prog="raincheck-pipeline", description=__doc__.splitlines()[0])
+    ap.add_argument("--sources", required=True)
+    ap.add_argument("--payloads", required=True)
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--run-date", required=True, type=dt.date.fromisoformat)
+    ap.add_argument("--batch-id")
+    ap.add_argument("--mode", choices=["idempotent", "append"], default="idempotent")
+    ap.add_argument("--strict-types", action="store_true")
+    ap.add_argument("--master")
+    a = ap.parse_args(argv)
+    spark = build_session(a.master)
+    payload_frame = spark.read.schema("store_id int, status int, body string").json(a.payloads)
+    result = run_pipeline(spark, csv.read_sources(spark, a.sources), payload_frame, a.root,
+                          a.run_date, a.batch_id, a.mode, a.strict_types)
+    print(result)
+    return result
+
+
+if __name__ == "__main__":
+    main()

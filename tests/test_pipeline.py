@@ -156,3 +156,18 @@ def test_dashboard_over_written_warehouse_equals_direct_queries(spark, fx, small
         assert sorted(a.columns) == sorted(want.columns), name
         a = a.select(*want.columns)
         assert a.exceptAll(want).count() == 0 and want.exceptAll(a).count() == 0, name
+
+
+def test_command_line_run(spark, fx):
+    """CSV exports + JSON-lines payloads on disk -> one batch via main()."""
+    from raincheck.plans import pipeline
+    src = tempfile.mkdtemp(prefix="raincheck-src-")
+    for name, df in fixture_staging(fx).items():
+        csv.write_csv(df, f"{src}/{name}.csv")
+    pay = tempfile.mkdtemp(prefix="raincheck-pay-") + "/payloads"
+    fx.weather_payloads.write.json(pay)
+    root = fresh_root()
+    r = pipeline.main(["--sources", src, "--payloads", pay, "--root", root,
+                       "--run-date", "2025-03-01", "--batch-id", "b1"])
+    assert r.batch_id == "b1" and r.payloads == fx.weather_payloads.count()
+    assert counts(spark, root)["fact_transactions"] == fx.staging_transactions.count()
