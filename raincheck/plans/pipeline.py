@@ -17,6 +17,9 @@ Modes:
 from __future__ import annotations
 
 import datetime as dt
+import time
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -47,13 +50,34 @@ class RunResult:
     created: list[str] = field(default_factory=list)
     mart_lines: int = 0
     unmatched_lines: int = 0
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    @contextmanager
+    def phase(self, name: str):
+        t0 = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[name] = round(time.perf_counter() - t0, 3)
+
+
+def concurrently(tasks: dict) -> dict:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each), so small jobs share the cluster instead of queueing; returns
+    each task's result and re-raises the first failure."""
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(len(tasks), 8)) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
 
 
 def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) -> dict[str, int]:
     """Ingest: write each source to its staging table, counting rows."""
     write_mode = "append" if mode == "append" else "overwrite"
-    return {name: csv.append_staging(df, staging_dir, name, write_mode)
-            for name, df in staging.items()}
+    return concurrently({
+        name: (lambda n=name, df=df: csv.append_staging(df, staging_dir, n, write_mode))
+        for name, df in staging.items()})
 
 
 def load_weather(spark: SparkSession, payload_frame: DataFrame, root: str, run_date: dt.date,
@@ -69,11 +93,18 @@ def load_weather(spark: SparkSession, payload_frame: DataFrame, root: str, run_d
     tables.write_partitioned(loaded, root, "dim_store_weather", mode)
 
 
-def weather_for_marts(spark: SparkSession, root: str, mode: str) -> DataFrame:
+def weather_for_marts(spark: SparkSession, root: str, mode: str) -> tuple[DataFrame, bool]:
+    """The weather the marts join, and whether it is proven small.
+
+    The merged view (newest run per store-day) never has more rows than the
+    stored history, so a bounded count of the history (a plain Parquet
+    scan) proves the bound without running the merge.
+    """
     hist = tables.read_table(spark, root, "dim_store_weather")
+    small = is_small(hist.select("store_id"), weather_broadcast_limit(hist))
     if mode == "append":
-        return hist.drop("run_date")
-    return payloads.current_weather(hist)
+        return hist.drop("run_date"), small
+    return payloads.current_weather(hist), small
 
 
 def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
@@ -90,9 +121,7 @@ def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
     """
     fact = tables.read_table(spark, root, "fact_transactions").select(
         "invoice_id", "product_id", "store_id", "date", "quantity", "line_total", "invoice_total")
-    weather = weather_for_marts(spark, root, mode)
-    small = is_small(weather.select("store_id", "date_id", "temp_max", "temp_min", "is_rain"),
-                     weather_broadcast_limit(weather))
+    weather, small = weather_for_marts(spark, root, mode)
     audit = Observation("mart_lines")
     lines = join_weather_audited(fact, weather, audit, broadcast=small)
     if not small:
@@ -106,11 +135,17 @@ def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
             marts.M2: marts.product_sensitivity_from(join_product(lines, products), strict_types),
             marts.M3: marts.size_impact_from(region, strict_types),
         }
-        for name, df in outputs.items():
+        def write(name):
+            t0 = time.perf_counter()
             if mode == "append":
-                tables.append_rows(df, root, name)
+                tables.append_rows(outputs[name], root, name)
             else:
-                tables.overwrite(df, root, name)
+                tables.overwrite(outputs[name], root, name)
+            if result is not None:
+                result.seconds[f"marts: {name}"] = round(time.perf_counter() - t0, 3)
+        if not small:
+            lines.count()   # fill the kept join once; the three marts then read it
+        concurrently({n: (lambda n=n: write(n)) for n in outputs})
         if result is not None:
             got = audit.get
             result.mart_lines, result.unmatched_lines = int(got["lines"]), int(got["unmatched_lines"])
@@ -136,29 +171,35 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
     result = RunResult(root=root, batch_id=batch_id)
     staging_dir = f"{root}/staging"
 
-    # ingest
-    result.audit = load_staging(staging, staging_dir, mode)
-    stg = {name: csv.read_staging(spark, staging_dir, name) for name in staging}
-
-    # load
-    result.created = tables.define_tables(spark, root)
-    tables.append_rows(
-        dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")),
-        root, "dim_dates")
-    load_weather(spark, payload_frame, root, run_date, mode, result)
-    for name, (table, build) in DIM_BUILDERS.items():
-        existing = tables.read_table(spark, root, table)
-        tables.append_rows(build(stg[name], existing), root, table)
-    tables.write_partitioned(
-        dims.dim_discounts(stg["discounts"]).withColumn("batch_id", F.lit(batch_id)),
-        root, "dim_discounts", mode)
-    tables.write_partitioned(
-        facts.fact_transactions(stg["transactions"]).withColumn("batch_id", F.lit(batch_id)),
-        root, "fact_transactions", mode)
-    csv.truncate_staging(spark, staging_dir, list(staging))
-
-    # transform
-    build_marts(spark, root, mode, strict_types, result)
+    with result.phase("ingest"):
+        result.audit = load_staging(staging, staging_dir, mode)
+        stg = {name: csv.read_staging(spark, staging_dir, name) for name in staging}
+
+    with result.phase("define_tables"):
+        result.created = tables.define_tables(spark, root)
+    with result.phase("dim_dates"):
+        tables.append_rows(
+            dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")),
+            root, "dim_dates")
+    with result.phase("weather"):
+        load_weather(spark, payload_frame, root, run_date, mode, result)
+    with result.phase("dimensions_and_fact"):
+        loads = {
+            table: (lambda t=table, b=build, n=name: tables.append_rows(
+                b(stg[n], tables.read_table(spark, root, t)), root, t))
+            for name, (table, build) in DIM_BUILDERS.items()}
+        loads["dim_discounts"] = lambda: tables.write_partitioned(
+            dims.dim_discounts(stg["discounts"]).withColumn("batch_id", F.lit(batch_id)),
+            root, "dim_discounts", mode)
+        loads["fact_transactions"] = lambda: tables.write_partitioned(
+            facts.fact_transactions(stg["transactions"]).withColumn("batch_id", F.lit(batch_id)),
+            root, "fact_transactions", mode)
+        concurrently(loads)
+    with result.phase("truncate_staging"):
+        concurrently({n: (lambda n=n: csv.truncate_staging(spark, staging_dir, [n])) for n in staging})
+
+    with result.phase("marts"):
+        build_marts(spark, root, mode, strict_types, result)
     return result
 
 
