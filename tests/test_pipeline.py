@@ -171,3 +171,19 @@ def test_command_line_run(spark, fx):
                        "--run-date", "2025-03-01", "--batch-id", "b1"])
     assert r.batch_id == "b1" and r.payloads == fx.weather_payloads.count()
     assert counts(spark, root)["fact_transactions"] == fx.staging_transactions.count()
+
+
+def test_rerun_after_failure_converges(spark, fx):
+    """A run that fails part-way (dimensions appended, fact rejected) and is
+    then re-run with good data ends exactly like a clean run."""
+    root = fresh_root()
+    bad = fixture_staging(fx)
+    bad["transactions"] = bad["transactions"].withColumn(
+        "Date", F.when(F.col("Line") == 1, F.lit("not-a-date")).otherwise(F.col("Date")))
+    with pytest.raises(Exception):
+        run_pipeline(spark, bad, fx.weather_payloads, root, RUN)
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
+    clean = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, clean, RUN)
+    assert counts(spark, root) == counts(spark, clean)
+    assert revenue(spark, root) == revenue(spark, clean)
