@@ -47,7 +47,7 @@ class RunResult:
     payloads: int = 0
     failed_payloads: int = 0
     weather_file: str = ""
-    created: list[str] = field(default_factory=list)
+    defined: list[str] = field(default_factory=list)   # tables ensured (created if absent)
     mart_lines: int = 0
     unmatched_lines: int = 0
     seconds: dict[str, float] = field(default_factory=dict)
@@ -176,7 +176,7 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
         stg = {name: csv.read_staging(spark, staging_dir, name) for name in staging}
 
     with result.phase("define_tables"):
-        result.created = tables.define_tables(spark, root)
+        result.defined = tables.define_tables(spark, root)
     with result.phase("dim_dates"):
         tables.append_rows(
             dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")),

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from raincheck import schemas as S
 from raincheck.functions.dates import day_trunc
 from raincheck.functions.weather import rain_flag, temperature_range, weather_label
-from raincheck import schemas as S
 from raincheck.operators import adhoc, aggregates, dims, facts, joins, marts, reports, windows
 from raincheck.plans import pipeline
 from raincheck.session import scratch_path
@@ -66,6 +66,9 @@ class Inputs:
 
     @property
     def weather(self) -> DataFrame:
+        """Weather records (rain flag, weather-table types). They equal the
+        flattened payloads row for row (``store_weather`` checks the payload
+        route); the marts skip that JSON round trip."""
         return payloads.store_weather(payloads.weather_records(self.fx.staging_weather))
 
 
