@@ -22,18 +22,46 @@ BASE_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * MB) -> dict:
+    """Shuffle and split sizing for a given input size and core count.
+
+    The initial shuffle partition count is what the largest shuffle needs
+    at ``target_partition_bytes`` per partition (at least three waves of
+    tasks over the cores); AQE coalesces it down for the small shuffles and
+    splits skewed partitions above the same size. E.g. 100 TB on 8,000
+    cores -> 409,600 initial partitions, 256 MB each.
+    """
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "raincheck",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Return a session with the raincheck defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the
-    shuffle partition count then stays at the cluster's value and AQE
-    coalesces small partitions at runtime.
+    On a cluster pass ``master=None`` and let spark-submit decide, and pass
+    ``input_bytes`` (the size of the largest input) to size shuffles and
+    splits with ``scale_conf``; AQE coalesces small partitions at runtime.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if input_bytes:
+        b0 = b.getOrCreate()
+        conf.update(scale_conf(input_bytes, b0.sparkContext.defaultParallelism))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

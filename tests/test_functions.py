@@ -72,3 +72,10 @@ def test_null_tokens(spark):
 
 def test_weather_file_name_is_previous_day():
     assert weather_file_name(dt.date(2025, 3, 1)) == "2025-02-28"
+
+
+def test_scale_conf_sizes_partitions():
+    from raincheck.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 * 2**20))
+    assert scale_conf(1, 8)["spark.sql.shuffle.partitions"] == "24"
