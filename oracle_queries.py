@@ -76,14 +76,20 @@ fact_transactions as (
   from stg_transactions),
 weather_days as (
   select d, DN_D dn from (select distinct cast(l_shipdate as date) d from lineitem) t),
+store_days as (
+  select s_suppkey,
+         cast(unnest(generate_series((select min(d) from weather_days), (select max(d) from weather_days),
+                                     interval 1 day)) as date) d
+  from supplier),
 stg_weather as (
-  select s_suppkey store_id, d date_id,
+  select s_suppkey store_id, w.d date_id,
          case when (s_suppkey * 31 + dn * 17) % 61 % 20 = 7 then null
               else cast(((s_suppkey * 37 + dn * 101) % 4501 - 500) / 100.0 as decimal(5,2)) end temp_max,
          cast(((s_suppkey * 37 + dn * 101) % 4501 - 1150) / 100.0 as decimal(5,2)) temp_min,
          case when (s_suppkey * 31 + dn * 17) % 61 = 60 then null
               else (s_suppkey * 31 + dn * 17) % 61 end precip_tenths
-  from supplier cross join weather_days where (s_suppkey + dn) % 10 <> 0),
+  from store_days g join weather_days w on g.d = w.d
+  where (s_suppkey + dn) % 10 <> 0),
 dim_store_weather as (
   select cast(store_id as int) store_id, date_id, temp_max, temp_min,
          coalesce(precip_tenths > 10, false) is_rain
