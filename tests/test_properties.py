@@ -51,3 +51,43 @@ def test_broadcast_and_shuffle_join_agree(spark, inputs):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.unset("raincheck.weather.broadcastMaxRows")
+
+
+def test_hot_store_day_is_split_and_exact(spark, inputs):
+    """One store-day holds about a third of all lines (arriving from many
+    input splits). With the weather join shuffled, AQE splits the hot
+    partition (skew join) and the mart equals the broadcast-join result."""
+    import contextlib
+    import io
+
+    i = inputs
+    fact = i.fact
+    hot = fact.select("store_id", "date").first()
+    copies = fact.filter(F.col("line") <= 4).withColumn("store_id", F.lit(hot.store_id)) \
+        .withColumn("date", F.lit(hot.date))
+    skewed = fact.unionByName(copies)
+    expected = marts.size_impact(skewed, i.stores, i.weather, strict=False)
+    want = expected.collect()
+    conf = {"raincheck.weather.broadcastMaxRows": "0",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        m = marts.size_impact(skewed, i.stores, i.weather)
+        got = m.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            m.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert sorted(got) == sorted(want)
