@@ -26,11 +26,12 @@ def is_small(df: DataFrame, max_rows: int) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
-    (left to the planner: sort-merge, re-planned by AQE). Pass frames already
-    pruned to the join's columns."""
+    """``broadcast(df)`` when a bounded count proves at most ``max_rows``
+    rows; otherwise a sort-merge join is requested, so no estimate-based
+    broadcast of an unproven side happens. Pass frames already pruned to the
+    join's columns."""
     limit = broadcast_limit(df) if max_rows is None else max_rows
-    return F.broadcast(df) if is_small(df, limit) else df
+    return F.broadcast(df) if is_small(df, limit) else df.hint("merge")
 
 
 def join_store(lines: DataFrame, stores: DataFrame, cols=("country", "city", "size")) -> DataFrame:

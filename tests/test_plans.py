@@ -55,3 +55,14 @@ def test_mart_plans(inputs, build, no_weather_broadcast):
     # the lineitem scan reads only the columns the query needs
     li = [ln for ln in p.splitlines() if "ReadSchema" in ln and "l_orderkey" in ln]
     assert li and all("l_tax" not in ln and "l_partkey" not in ln or build in ("m2", "q2") for ln in li)
+
+
+def test_unproven_dimension_is_not_broadcast(spark, inputs):
+    spark.conf.set("raincheck.broadcast.maxRows", "1")
+    try:
+        p = _explain(marts.size_impact(inputs.fact, inputs.stores, inputs.weather), mode="simple")
+    finally:
+        spark.conf.unset("raincheck.broadcast.maxRows")
+    joins = [ln.strip() for ln in p.splitlines() if "Join [" in ln]
+    store_join = [ln for ln in joins if "[store_id" in ln and "date" not in ln.split("]")[0]]
+    assert store_join and all("SortMergeJoin" in ln for ln in store_join)
