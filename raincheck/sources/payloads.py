@@ -93,24 +93,28 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
     return store_weather(raw)
 
 
-def merge_weather(existing: DataFrame | None, incoming: DataFrame, run_date: dt.date) -> DataFrame:
-    """R2: keyed merge on (store_id, date_id): the newest run wins, days not
-    in the new run are kept. Returns rows with a ``run_date`` column.
+_VALUES = ["temp_max", "temp_min", "is_rain"]
+
+
+def newest_per_day(rows: DataFrame, keep_run_date: bool = True) -> DataFrame:
+    """One row per (store_id, date_id): the one from the latest run_date.
 
-    One aggregate per key (max of a struct led by run_date, then the values
-    so that ties are deterministic); partial aggregation bounds the work of a
-    hot key.
+    One aggregate per key (max of a struct led by run_date, then the values,
+    so ties are deterministic); partial aggregation bounds a hot key's work.
     """
+    m = rows.groupBy("store_id", "date_id").agg(F.max(F.struct("run_date", *_VALUES)).alias("_w"))
+    return m.select("store_id", "date_id", *[F.col(f"_w.{c}").alias(c) for c in _VALUES],
+                    *([F.col("_w.run_date").alias("run_date")] if keep_run_date else []))
+
+
+def merge_weather(existing: DataFrame | None, incoming: DataFrame, run_date: dt.date) -> DataFrame:
+    """R2: keyed merge on (store_id, date_id): the newest run wins, days not
+    in the new run are kept. Returns rows with a ``run_date`` column."""
     new = incoming.withColumn("run_date", F.lit(run_date))
     both = new if existing is None else existing.select(*new.columns).unionByName(new)
-    vals = ["temp_max", "temp_min", "is_rain"]
-    m = both.groupBy("store_id", "date_id").agg(F.max(F.struct("run_date", *vals)).alias("_w"))
-    return m.select("store_id", "date_id", *[F.col(f"_w.{c}").alias(c) for c in vals],
-                    F.col("_w.run_date").alias("run_date"))
+    return newest_per_day(both)
 
 
 def current_weather(history: DataFrame) -> DataFrame:
     """The weather table as the marts see it: newest run per store-day."""
-    vals = ["temp_max", "temp_min", "is_rain"]
-    m = history.groupBy("store_id", "date_id").agg(F.max(F.struct("run_date", *vals)).alias("_w"))
-    return m.select("store_id", "date_id", *[F.col(f"_w.{c}").alias(c) for c in vals])
+    return newest_per_day(history, keep_run_date=False)
