@@ -22,7 +22,7 @@ HEADLINE = [
     "region_impact", "product_sensitivity", "size_impact",
     "revenue_by_weather_over_time", "top_products_by_weather",
     "revenue_by_size_and_temperature", "transactions_by_weather",
-    "category_sales", "category_pivot", "run_pipeline",
+    "category_sales", "category_pivot", "batch_run",
 ]
 
 

@@ -456,7 +456,7 @@ ORACLE["truncate_staging"] = f"""
 select 'staging_' || t table_name, n rows_before, cast(0 as bigint) rows_after from ({_STAGING_COUNTS}) c
 """
 
-ORACLE["run_pipeline"] = with_fixture("""
+ORACLE["batch_run"] = with_fixture("""
 select 'dim_dates' table_name, count(*) "rows" from (
   select unnest(generate_series(cast(cast(lo as timestamp) as date), cast(cast(hi as timestamp) as date),
                                 interval 1 day))

@@ -364,8 +364,8 @@ def q_truncate_staging(spark, d):
     return out
 
 
-@query("run_pipeline")
-def q_run_pipeline(spark, d):
+@query("batch_run")
+def q_batch_run(spark, d):
     """E1 (+ S5-S7): one full batch into a fresh folder; rows per table."""
     fx = RetailFixture(spark, d)
     root = scratch_path(spark, "pipeline")
