@@ -17,16 +17,21 @@ from raincheck.operators.dims import SEQ
 STAGING_TABLES = {name: f"staging_{name}" for name in S.CSV_HEADERS}
 
 
-def scan_csv(spark: SparkSession, path: str, headers: list[str], with_seq: bool = False) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, headers: list[str], with_seq: bool = False,
+             multi_line: bool = False) -> DataFrame:
     """A CSV file (or folder of parts) with a header row, as text columns.
 
     ``enforceSchema=false`` makes Spark check the header against the names;
     FAILFAST turns a malformed row into an error instead of a NULL row.
+    Quotes inside quoted fields are doubled (RFC 4180, as pandas writes
+    them). ``multi_line`` allows line breaks inside quoted fields, at the
+    cost of one task per file (such files cannot be split).
     ``with_seq`` adds an input-order column taken at the scan (it follows
     the order of input splits and of rows within a split).
     """
     df = (spark.read.option("header", True).option("enforceSchema", False)
-          .option("mode", "FAILFAST").option("multiLine", False)
+          .option("mode", "FAILFAST").option("multiLine", multi_line)
+          .option("quote", '"').option("escape", '"')
           .schema(S.all_string_schema(headers)).csv(path))
     df = clean_null_tokens(df)
     return df.withColumn(SEQ, F.monotonically_increasing_id()) if with_seq else df
@@ -40,8 +45,9 @@ def read_sources(spark: SparkSession, src_dir: str, with_seq: bool = True) -> di
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write a frame as CSV with a header row (NULL as an empty cell)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Write a frame as CSV with a header row (NULL as an empty cell,
+    quotes doubled inside quoted fields)."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 

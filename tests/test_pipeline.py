@@ -187,3 +187,15 @@ def test_rerun_after_failure_converges(spark, fx):
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, clean, RUN)
     assert counts(spark, root) == counts(spark, clean)
     assert revenue(spark, root) == revenue(spark, clean)
+
+
+def test_csv_doubled_quotes_and_commas(spark):
+    d = tempfile.mkdtemp(prefix="raincheck-csv-")
+    path = f"{d}/products.csv"
+    with open(path, "w") as f:
+        f.write('Store ID,Country\n1,"Ivory ""Coast"", West"\n2,plain\n')
+    got = {r["Store ID"]: r["Country"] for r in csv.scan_csv(spark, path, ["Store ID", "Country"]).collect()}
+    assert got == {"1": 'Ivory "Coast", West', "2": "plain"}
+    back = csv.write_csv(csv.scan_csv(spark, path, ["Store ID", "Country"]), f"{d}/again")
+    again = {r["Store ID"]: r["Country"] for r in csv.scan_csv(spark, back, ["Store ID", "Country"]).collect()}
+    assert again == got
