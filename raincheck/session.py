@@ -78,23 +78,25 @@ def build_session(master: str | None = None, app: str = "raincheck",
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. Only when the session has none (a
-    local test run) do we create one, and we set it on the context so that
-    ``DataFrame.checkpoint()`` uses the same place.
+    Read from the session (``spark.checkpoint.dir``, or a folder already
+    given to ``setCheckpointDir``). Only when neither is set (a local test
+    run) is a temporary folder created, once per application, and handed to
+    ``setCheckpointDir`` so ``DataFrame.checkpoint()`` uses it too.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="raincheck-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
+        d = _LOCAL_DIRS.get(sc.applicationId)
+        if d is None:
+            d = tempfile.mkdtemp(prefix="raincheck-ckpt-")
+            _LOCAL_DIRS[sc.applicationId] = d
+            sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -79,3 +79,26 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 2**40, 8000)
     assert c["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 * 2**20))
     assert scale_conf(1, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_shared_dir_uses_session_setting_or_one_local_folder():
+    from raincheck import session
+
+    class Ctx:
+        applicationId = "app-x"
+        def __init__(self): self.dir = None
+        def getCheckpointDir(self): return self.dir
+        def setCheckpointDir(self, d): self.dir = d + "/uuid"
+
+    class Conf:
+        def __init__(self, v): self.v = v
+        def get(self, k, default=None): return self.v if k == "spark.checkpoint.dir" else default
+
+    class Spark:
+        def __init__(self, v): self.conf, self.sparkContext = Conf(v), Ctx()
+
+    assert session.shared_dir(Spark("hdfs://nn/ckpt/")) == "hdfs://nn/ckpt"
+    local = Spark(None)
+    first = session.shared_dir(local)
+    assert local.sparkContext.dir.startswith(first)
+    assert session.shared_dir(local).startswith(first)
