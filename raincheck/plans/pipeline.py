@@ -206,8 +206,8 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
 def main(argv: list[str] | None = None) -> RunResult:
     """Command line: one batch run, e.g.
 
-    python -m raincheck.plans.pipeline --sources s3://b/exports \\
-        --payloads s3://b/weather/2025-03-01 --root s3://b/warehouse --run-date 2025-03-01
+    python -m raincheck.plans.pipeline --sources /shared/retail/exports \\
+        --payloads /shared/retail/weather/2025-03-01 --root /shared/retail/warehouse --run-date 2025-03-01
 
     (or ``spark-submit raincheck/plans/pipeline.py ...`` with the package on
     the Python path).
