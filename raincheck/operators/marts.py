@@ -28,16 +28,23 @@ def _cols(table: str, strict: bool):
     return (S.STRICT_MARTS if strict else S.TABLES)[table]
 
 
-def region_lines(fact: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
-    """Lines with weather and store attributes, for M1 and M3."""
+def region_lines(fact: DataFrame, stores: DataFrame, weather: DataFrame,
+                 weather_broadcast: bool | None = None) -> DataFrame:
+    """Lines with weather and store attributes, for M1 and M3.
+
+    ``weather_broadcast``: a caller that knows a bound on the weather rows
+    passes the decision; ``None`` lets a bounded count decide.
+    """
     lines = fact.select("invoice_id", "store_id", "date", "invoice_total")
-    return join_store(join_weather(lines, weather), stores)
+    return join_store(join_weather(lines, weather, broadcast=weather_broadcast), stores)
 
 
-def product_lines(fact: DataFrame, products: DataFrame, weather: DataFrame) -> DataFrame:
+def product_lines(fact: DataFrame, products: DataFrame, weather: DataFrame,
+                  weather_broadcast: bool | None = None) -> DataFrame:
     """Lines with weather and product attributes, for M2."""
     lines = fact.select("invoice_id", "product_id", "store_id", "date", "quantity", "line_total")
-    return join_product(join_weather(lines, weather, cols=("temp_max", "is_rain")), products)
+    return join_product(join_weather(lines, weather, cols=("temp_max", "is_rain"),
+                                     broadcast=weather_broadcast), products)
 
 
 def region_impact_from(lines: DataFrame, strict: bool = False) -> DataFrame:
@@ -85,16 +92,19 @@ def size_impact_from(lines: DataFrame, strict: bool = False) -> DataFrame:
     return conform(g, cols, M3)
 
 
-def region_impact(fact, stores, weather, strict: bool = False) -> DataFrame:
+def region_impact(fact, stores, weather, strict: bool = False,
+                  weather_broadcast: bool | None = None) -> DataFrame:
     """M1."""
-    return region_impact_from(region_lines(fact, stores, weather), strict)
+    return region_impact_from(region_lines(fact, stores, weather, weather_broadcast), strict)
 
 
-def product_sensitivity(fact, products, weather, strict: bool = False) -> DataFrame:
+def product_sensitivity(fact, products, weather, strict: bool = False,
+                        weather_broadcast: bool | None = None) -> DataFrame:
     """M2."""
-    return product_sensitivity_from(product_lines(fact, products, weather), strict)
+    return product_sensitivity_from(product_lines(fact, products, weather, weather_broadcast), strict)
 
 
-def size_impact(fact, stores, weather, strict: bool = False) -> DataFrame:
+def size_impact(fact, stores, weather, strict: bool = False,
+                weather_broadcast: bool | None = None) -> DataFrame:
     """M3."""
-    return size_impact_from(region_lines(fact, stores, weather), strict)
+    return size_impact_from(region_lines(fact, stores, weather, weather_broadcast), strict)

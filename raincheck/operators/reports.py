@@ -20,19 +20,21 @@ def revenue_by_weather_over_time(region_mart: DataFrame) -> DataFrame:
                      weather_label("is_rain").alias("metric")))
 
 
-def product_revenue_by_weather(fact: DataFrame, products: DataFrame, weather: DataFrame) -> DataFrame:
+def product_revenue_by_weather(fact: DataFrame, products: DataFrame, weather: DataFrame,
+                               weather_broadcast: bool | None = None) -> DataFrame:
     """Line revenue per (category, sub_category, is_rain) from the base tables."""
     lines = fact.select("product_id", "store_id", "date", "line_total")
-    j = join_product(join_weather(lines, weather, cols=("is_rain",)), products)
+    j = join_product(join_weather(lines, weather, cols=("is_rain",), broadcast=weather_broadcast),
+                     products)
     return j.groupBy("category", "sub_category", "is_rain").agg(
         exact_sum("line_total").alias("total_revenue"))
 
 
 def top_products_by_weather(fact: DataFrame, products: DataFrame, weather: DataFrame,
-                            n: int = 5) -> DataFrame:
+                            n: int = 5, weather_broadcast: bool | None = None) -> DataFrame:
     """Q2 (table): the top ``n`` category/sub-category pairs by line revenue
     within each rain flag, ties included; ordered by rain flag, then rank."""
-    g = product_revenue_by_weather(fact, products, weather)
+    g = product_revenue_by_weather(fact, products, weather, weather_broadcast)
     top = top_n_per_group(g, "is_rain", "total_revenue", n)
     return (top.orderBy(F.col("is_rain").asc_nulls_last(), F.col("rank"))
                .select("category", "sub_category",

@@ -64,6 +64,13 @@ class Inputs:
     def products(self) -> DataFrame:
         return dims.dim_products(self.fx.staging_products)
 
+    @property
+    def weather_broadcast(self) -> bool:
+        """Broadcast the weather only when its proven row bound is within the
+        session's weather broadcast limit; otherwise shuffle-join it, without
+        counting the derived grid."""
+        return self.fx.weather_row_bound <= joins.weather_broadcast_limit(self.fx.t("supplier"))
+
     @property
     def weather(self) -> DataFrame:
         """Weather records (rain flag, weather-table types). They equal the
@@ -75,7 +82,8 @@ class Inputs:
 @query("top_products_by_weather")
 def q_top_products_by_weather(spark, d):
     i = Inputs(spark, d)
-    return present(reports.top_products_by_weather(i.fact, i.products, i.weather))
+    return present(reports.top_products_by_weather(i.fact, i.products, i.weather,
+                                                   weather_broadcast=i.weather_broadcast))
 
 
 # ---------------------------------------------------------------- D1-D8
@@ -161,7 +169,8 @@ def q_join_store(spark, d):
 @query("join_weather")
 def q_join_weather(spark, d):
     i = Inputs(spark, d)
-    return present(joins.join_weather(_lines(i, "store_id", "date", "invoice_total"), i.weather))
+    return present(joins.join_weather(_lines(i, "store_id", "date", "invoice_total"), i.weather,
+                                      broadcast=i.weather_broadcast))
 
 
 @query("join_product")
@@ -239,60 +248,62 @@ def q_day_offset(spark, d):
 @query("rank_over_aggregate")
 def q_rank_over_aggregate(spark, d):
     i = Inputs(spark, d)
-    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather, i.weather_broadcast)
     return present(windows.rank_over_aggregate(g, "is_rain", "total_revenue"))
 
 
 @query("top_n_per_group")
 def q_top_n_per_group(spark, d):
     i = Inputs(spark, d)
-    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather, i.weather_broadcast)
     return present(windows.top_n_per_group(g, "is_rain", "total_revenue", 5))
 
 
+def _m1(i: Inputs) -> DataFrame:
+    return marts.region_impact(i.fact, i.stores, i.weather, weather_broadcast=i.weather_broadcast)
+
+
+def _m3(i: Inputs) -> DataFrame:
+    return marts.size_impact(i.fact, i.stores, i.weather, weather_broadcast=i.weather_broadcast)
+
+
 @query("share_of_total")
 def q_share_of_total(spark, d):
-    i = Inputs(spark, d)
-    m1 = marts.region_impact(i.fact, i.stores, i.weather)
-    return present(reports.transactions_by_weather(m1, with_share=True))
+    return present(reports.transactions_by_weather(_m1(Inputs(spark, d)), with_share=True))
 
 
 # ---------------------------------------------------------------- M1-M3
 @query("region_impact")
 def q_region_impact(spark, d):
-    i = Inputs(spark, d)
-    return present(marts.region_impact(i.fact, i.stores, i.weather))
+    return present(_m1(Inputs(spark, d)))
 
 
 @query("product_sensitivity")
 def q_product_sensitivity(spark, d):
     i = Inputs(spark, d)
-    return present(marts.product_sensitivity(i.fact, i.products, i.weather))
+    return present(marts.product_sensitivity(i.fact, i.products, i.weather,
+                                             weather_broadcast=i.weather_broadcast))
 
 
 @query("size_impact")
 def q_size_impact(spark, d):
-    i = Inputs(spark, d)
-    return present(marts.size_impact(i.fact, i.stores, i.weather))
+    return present(_m3(Inputs(spark, d)))
 
 
 # ---------------------------------------------------------------- Q1, Q3, Q4
 @query("revenue_by_weather_over_time")
 def q_revenue_by_weather_over_time(spark, d):
-    i = Inputs(spark, d)
-    return present(reports.revenue_by_weather_over_time(marts.region_impact(i.fact, i.stores, i.weather)))
+    return present(reports.revenue_by_weather_over_time(_m1(Inputs(spark, d))))
 
 
 @query("revenue_by_size_and_temperature")
 def q_revenue_by_size_and_temperature(spark, d):
-    i = Inputs(spark, d)
-    return present(reports.revenue_by_size_and_temperature(marts.size_impact(i.fact, i.stores, i.weather)))
+    return present(reports.revenue_by_size_and_temperature(_m3(Inputs(spark, d))))
 
 
 @query("transactions_by_weather")
 def q_transactions_by_weather(spark, d):
-    i = Inputs(spark, d)
-    return present(reports.transactions_by_weather(marts.region_impact(i.fact, i.stores, i.weather)))
+    return present(reports.transactions_by_weather(_m1(Inputs(spark, d))))
 
 
 # ---------------------------------------------------------------- X1-X3

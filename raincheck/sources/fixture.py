@@ -179,8 +179,10 @@ class RetailFixture:
             return self.spark.createDataFrame(
                 [], "store_id bigint, date_id date, temp_max decimal(5,2), "
                     "temp_min decimal(5,2), precipitation double")
-        if (hi - lo).days + 1 > MAX_CALENDAR_DAYS:
+        span = (hi - lo).days + 1
+        if span > MAX_CALENDAR_DAYS:
             raise ValueError("ship-day span exceeds the calendar bound for broadcasting")
+        self._grid_days = span
         # Each store row expands to the calendar span locally (no shuffle);
         # the semi-join against the day set (bounded by the span checked
         # above) keeps the days that exist.
@@ -202,6 +204,13 @@ class RetailFixture:
             F.when(wet == 60, F.lit(None)).otherwise(wet / F.lit(10.0)).alias("precipitation"),
         ))
 
+    @cached_property
+    def weather_row_bound(self) -> int:
+        """Proven upper bound on the weather rows: stores x day span (the
+        grid before the one-in-ten gap and the day-set filter)."""
+        self.staging_weather  # fixes the day span
+        return self.t("supplier").count() * getattr(self, "_grid_days", 0)
+
     @cached_property
     def weather_payloads(self) -> DataFrame:
         """One JSON payload per store, as a forecast service returns it:
