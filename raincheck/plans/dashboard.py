@@ -44,3 +44,24 @@ def category_analysis(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "category_totals": adhoc.category_totals(fact, products),
         "category_pivot": adhoc.category_pivot(fact, products),
     }
+
+
+def register_views(spark: SparkSession, root: str, mode: str = "idempotent") -> list[str]:
+    """Register every written table as a temporary view under its table name,
+    so existing SQL over the star schema and marts runs with ``spark.sql``.
+
+    ``dim_store_weather`` is the merged view (newest run per store-day) in
+    the default mode, as the marts see it. Double-quoted identifiers in such
+    SQL need ``spark.sql.ansi.doubleQuotedIdentifiers=true``.
+    """
+    from raincheck import schemas as S
+
+    for name in S.TABLES:
+        if name == "dim_store_weather":
+            df = _weather(spark, root, mode)
+        else:
+            df = tables.read_table(spark, root, name)
+            if "batch_id" in df.columns:
+                df = df.drop("batch_id")
+        df.createOrReplaceTempView(name)
+    return list(S.TABLES)

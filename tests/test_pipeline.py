@@ -199,3 +199,33 @@ def test_csv_doubled_quotes_and_commas(spark):
     back = csv.write_csv(csv.scan_csv(spark, path, ["Store ID", "Country"]), f"{d}/again")
     again = {r["Store ID"]: r["Country"] for r in csv.scan_csv(spark, back, ["Store ID", "Country"]).collect()}
     assert again == got
+
+
+def test_sql_over_registered_views_equals_panels(spark, fx):
+    from raincheck.plans import dashboard
+    from raincheck.plans.registry import present
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
+    dashboard.register_views(spark, root)
+    q2 = spark.sql("""
+        with ranked as (
+          select p.category, p.sub_category, w.is_rain,
+                 sum(cast(f.line_total as decimal(18,4))) as total_revenue,
+                 rank() over (partition by w.is_rain
+                              order by sum(cast(f.line_total as decimal(18,4))) desc nulls first) as rnk
+          from fact_transactions f
+          join dim_products p on f.product_id = p.product_id
+          join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
+          group by p.category, p.sub_category, w.is_rain)
+        select category, sub_category,
+               case when is_rain then 'Rainy' else 'Not Rainy' end as weather_condition,
+               cast(total_revenue as double) as total_revenue
+        from ranked where rnk <= 5""")
+    panel = present(dashboard.panels(spark, root)["top_products_by_weather"])
+    assert q2.exceptAll(panel).count() == 0 and panel.exceptAll(q2).count() == 0
+    q4 = spark.sql("""
+        select case when is_rain then 'Rainy' else 'Not Rainy' end as weather_condition,
+               sum(transaction_count) as total_transactions
+        from data_mart_weather_region_impact group by is_rain""")
+    want = dashboard.panels(spark, root)["transactions_by_weather"].drop("share")
+    assert sorted(q4.collect()) == sorted(want.collect())
