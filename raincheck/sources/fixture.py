@@ -26,8 +26,18 @@ DISCOUNT_DAY_ZERO = "1995-01-02"
 MAX_CALENDAR_DAYS = 50_000
 
 
+# Schemas of the driver's tables, which are read-only inputs: inferred once
+# per process, then passed to the reader (no schema-inference job per read).
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def day_number(c: Column) -> Column:
