@@ -184,7 +184,8 @@ class RetailFixture:
         """One row per store and ship day (one in ten store-days missing):
         store_id, date_id, temp_max, temp_min, precipitation (mm)."""
         days = self.ship_days
-        lo, hi = days.agg(F.min("date_id"), F.max("date_id")).first()
+        ship = F.to_date("l_shipdate")
+        lo, hi = self.t("lineitem").agg(F.min(ship), F.max(ship)).first()
         if lo is None:
             return self.spark.createDataFrame(
                 [], "store_id bigint, date_id date, temp_max decimal(5,2), "
