@@ -57,7 +57,9 @@ def test_append_mode_reproduces_double_counting(spark, fx):
     root = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, mode="append")
     rev1, n1 = revenue(spark, root)
+    lines1 = counts(spark, root)["fact_transactions"]
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, mode="append")
+    assert counts(spark, root)["fact_transactions"] == 2 * lines1   # J5: every line appends again
     m1 = tables.read_table(spark, root, "data_mart_weather_region_impact")
     # The second computation sits beside the first; it has 2 x 2 = 4 x revenue
     # (fact and weather both doubled) and the same distinct invoice counts.
