@@ -81,6 +81,15 @@ def build_session(master: str | None = None, app: str = "raincheck",
 _LOCAL_DIRS: dict[str, str] = {}
 
 
+def task_slots(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism); on a session without
+    a local SparkContext (Spark Connect), the shuffle partition count."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext behind this session
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
@@ -89,14 +98,22 @@ def shared_dir(spark: SparkSession) -> str:
     run) is a temporary folder created, once per application, and handed to
     ``setCheckpointDir`` so ``DataFrame.checkpoint()`` uses it too.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext here
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
-        d = _LOCAL_DIRS.get(sc.applicationId)
+        key = sc.applicationId if sc is not None else str(id(spark))
+        d = _LOCAL_DIRS.get(key)
         if d is None:
             d = tempfile.mkdtemp(prefix="raincheck-ckpt-")
-            _LOCAL_DIRS[sc.applicationId] = d
-            sc.setCheckpointDir(d)
+            _LOCAL_DIRS[key] = d
+            if sc is not None:
+                sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -16,6 +16,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from raincheck.session import task_slots
+
 # Fixed values of the fixture definition (FIXTURES.md §4): day numbering
 # origin, first discount day, and the moduli of the synthetic weather.
 DAY_ZERO = "1995-01-01"
@@ -201,7 +203,7 @@ class RetailFixture:
         # store rows are first spread over all task slots (a small shuffle of
         # the seeds, not of the grid).
         seeds = self.t("supplier").select(F.col("s_suppkey").alias("store_id")).repartition(
-            self.spark.sparkContext.defaultParallelism)
+            task_slots(self.spark))
         grid = seeds.select("store_id", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date_id"))
         grid = grid.join(F.broadcast(days), "date_id", "left_semi")
         s, dn = F.col("store_id"), day_number(F.col("date_id"))
