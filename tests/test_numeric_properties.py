@@ -47,3 +47,31 @@ def test_micro_sum_is_order_free_and_close(spark, xs):
     b = df.orderBy(F.col("x").desc()).repartition(3).agg(micro_sum("x")).first()[0]
     assert a == b
     assert math.isclose(a, math.fsum(xs), rel_tol=0, abs_tol=len(xs) * 5e-7 + 1e-9)
+
+
+def _tier(n):
+    return "Large" if n is None else ("Small" if n <= 7 else "Medium" if n < 10 else "Large")
+
+
+def _range(t):
+    return "hot" if t is None else ("cold" if t < 10 else "moderate" if t <= 25 else "hot")
+
+
+def _rain(p):
+    return False if p is None else p > 1.0
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 20)),
+                          st.one_of(st.none(), st.integers(-2000, 4000)),
+                          st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=60))
+def test_classifications_match_python(spark, rows):
+    from raincheck.functions import rain_flag, store_size_tier, temperature_range
+    data = [(i, n, None if t is None else Decimal(t) / 100, None if p is None else p / 10)
+            for i, (n, t, p) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, n int, t decimal(5,2), p double")
+    out = {r.i: r for r in df.select("i", store_size_tier("n").alias("s"),
+                                     temperature_range("t").alias("r"),
+                                     rain_flag("p").alias("w")).collect()}
+    for i, n, t, p in data:
+        assert (out[i].s, out[i].r, out[i].w) == (_tier(n), _range(t), _rain(p))
