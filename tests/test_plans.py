@@ -66,3 +66,13 @@ def test_unproven_dimension_is_not_broadcast(spark, inputs):
     joins = [ln.strip() for ln in p.splitlines() if "Join [" in ln]
     store_join = [ln for ln in joins if "[store_id" in ln and "date" not in ln.split("]")[0]]
     assert store_join and all("SortMergeJoin" in ln for ln in store_join)
+
+
+def test_small_batch_insert_does_not_shuffle_the_existing_table(spark, small_sf):
+    from raincheck.operators import dims
+    from raincheck.sources.fixture import RetailFixture
+    stg = RetailFixture(spark, small_sf).staging_customers
+    existing = dims.dim_customers(stg)
+    p = _explain(dims.dim_customers(stg, existing), mode="simple")
+    anti = [ln for ln in p.splitlines() if "LeftAnti" in ln or "LeftSemi" in ln]
+    assert anti and all("BroadcastHashJoin" in ln for ln in anti)
