@@ -227,12 +227,18 @@ def main(argv: list[str] | None = None) -> RunResult:
     ap.add_argument("--batch-id")
     ap.add_argument("--mode", choices=["idempotent", "append"], default="idempotent")
     ap.add_argument("--strict-types", action="store_true")
+    ap.add_argument("--payload-format", choices=["lines", "files"], default="lines",
+                    help="lines: JSON lines (store_id, status, body); files: one saved "
+                         "response per <store_id>.json file")
     ap.add_argument("--master")
     ap.add_argument("--input-gb", type=float,
                     help="size of the largest input; sizes shuffle partitions and splits")
     a = ap.parse_args(argv)
     spark = build_session(a.master, input_bytes=int(a.input_gb * 2**30) if a.input_gb else None)
-    payload_frame = spark.read.schema("store_id int, status int, body string").json(a.payloads)
+    if a.payload_format == "files":
+        payload_frame = payloads.read_payload_files(spark, a.payloads)
+    else:
+        payload_frame = spark.read.schema("store_id int, status int, body string").json(a.payloads)
     result = run_pipeline(spark, csv.read_sources(spark, a.sources), payload_frame, a.root,
                           a.run_date, a.batch_id, a.mode, a.strict_types)
     print(result)

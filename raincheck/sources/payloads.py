@@ -21,6 +21,20 @@ OK_STATUS = 200
 _ARRAYS = ["time", "temperature_2m_max", "temperature_2m_min", "precipitation_sum"]
 
 
+def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
+    """Saved forecast responses, one JSON document per file named
+    ``<store_id>.json`` (or ``store_<store_id>.json``), as payload rows
+    (store_id, status, body). Each file is read whole, as one row; a file
+    holds one store's response, so its size is bounded by the day range.
+    """
+    raw = spark.read.option("wholetext", True).text(path)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
+    return raw.select(
+        F.when(name != "", name).cast("int").alias("store_id"),
+        F.lit(OK_STATUS).alias("status"),
+        F.col("value").alias("body"))
+
+
 def parse_payloads(payloads: DataFrame, audit: Observation | None = None) -> DataFrame:
     """Keep successful payloads and pick the daily arrays.
 

@@ -114,3 +114,17 @@ def test_weather_merge_newest_run_wins_older_days_kept(spark):
     merged = payloads.merge_weather(r1, new, dt.date(2025, 3, 6)).orderBy("date_id").collect()
     assert [(r.date_id, r.temp_max) for r in merged] == [
         (dt.date(2025, 3, 3), Decimal("2.00")), (D, Decimal("9.00"))]
+
+
+def test_read_saved_responses(spark):
+    import tempfile
+    d = tempfile.mkdtemp(prefix="raincheck-pay-")
+    for store, days in [(7, ["2025-03-01", "2025-03-02"]), (12, ["2025-03-01"])]:
+        body = json.dumps({"latitude": 1.0, "daily": {
+            "time": days, "temperature_2m_max": [10.0] * len(days),
+            "temperature_2m_min": [1.0] * len(days), "precipitation_sum": [2.0] * len(days)}})
+        with open(f"{d}/store_{store}.json", "w") as f:
+            f.write(body)
+    rows = payloads.flatten_weather(payloads.read_payload_files(spark, d)).collect()
+    assert sorted((r.store_id, r.date_id) for r in rows) == [
+        (7, "2025-03-01"), (7, "2025-03-02"), (12, "2025-03-01")]
