@@ -231,3 +231,21 @@ def test_sql_over_registered_views_equals_panels(spark, fx):
         from data_mart_weather_region_impact group by is_rain""")
     want = dashboard.panels(spark, root)["transactions_by_weather"].drop("share")
     assert sorted(q4.collect()) == sorted(want.collect())
+
+
+def test_command_line_with_saved_response_files(spark, fx):
+    from raincheck.plans import pipeline
+    src = tempfile.mkdtemp(prefix="raincheck-src-")
+    for name, df in fixture_staging(fx).items():
+        csv.write_csv(df, f"{src}/{name}.csv")
+    pay = tempfile.mkdtemp(prefix="raincheck-pay-")
+    for r in fx.weather_payloads.collect():   # ten stores at sf0.001 (test only)
+        with open(f"{pay}/store_{r.store_id}.json", "w") as f:
+            f.write(r.body)
+    root = fresh_root()
+    r = pipeline.main(["--sources", src, "--payloads", pay, "--payload-format", "files",
+                       "--root", root, "--run-date", "2025-03-01"])
+    typed = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, typed, RUN)
+    assert counts(spark, root) == counts(spark, typed)
+    assert r.failed_payloads == 0
