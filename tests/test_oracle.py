@@ -53,3 +53,9 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["category", "sub_category", "weather_condition", "total_revenue"]
     assert df.count() > 0
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark).schema, E.entry(spark).schema
+    assert a == b
+    assert [f.dataType.simpleString() for f in a.fields] == ["string", "string", "string", "double"]
