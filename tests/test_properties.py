@@ -91,3 +91,27 @@ def test_hot_store_day_is_split_and_exact(spark, inputs):
             else:
                 spark.conf.set(k, v)
     assert sorted(got) == sorted(want)
+
+
+def test_hot_key_in_batch_is_reduced_map_side(spark):
+    """One key holds a third of the batch: the first-row pick is a partial
+    aggregate before the shuffle (no window over the group) and stays exact."""
+    import contextlib
+    import io
+
+    from raincheck.operators import dims
+    n = 30_000
+    batch = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("int").alias("k"),
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"),
+        (n - F.col("id")).alias("_seq")).repartition(8)
+    out = dims.insert_if_absent(batch, None, ["k"], order_by="_seq")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    plan = buf.getvalue()
+    assert "partial_min" in plan and "Window" not in plan
+    got = {r.k: r.v for r in out.collect()}
+    assert len(got) == 1 + 2 * n // 3
+    # key 0 keeps the row with the smallest _seq among ids divisible by 3
+    assert got[0] == f"v{max(i for i in range(0, n, 3))}"
