@@ -76,3 +76,12 @@ def test_small_batch_insert_does_not_shuffle_the_existing_table(spark, small_sf)
     p = _explain(dims.dim_customers(stg, existing), mode="simple")
     anti = [ln for ln in p.splitlines() if "LeftAnti" in ln or "LeftSemi" in ln]
     assert anti and all("BroadcastHashJoin" in ln for ln in anti)
+
+
+def test_distinct_count_spreads_a_hot_group_by_invoice(inputs, no_weather_broadcast):
+    """The first exchange of M1's exact distinct count hashes on the group
+    keys plus invoice_id, so one group with a third of the lines still
+    spreads over all reducers."""
+    p = _explain(marts.region_impact(inputs.fact, inputs.stores, inputs.weather), mode="simple")
+    exch = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln and "invoice_id" in ln]
+    assert exch and "country" in exch[0] and "is_rain" in exch[0]
