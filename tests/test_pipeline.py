@@ -249,3 +249,17 @@ def test_command_line_with_saved_response_files(spark, fx):
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, typed, RUN)
     assert counts(spark, root) == counts(spark, typed)
     assert r.failed_payloads == 0
+
+
+def test_strict_types_write_the_declared_mart_widths(spark, fx):
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, strict_types=True)
+    m3 = spark.read.parquet(f"{root}/data_mart_store_size_weather_impact")
+    types = {f.name: f.dataType.simpleString() for f in m3.schema.fields}
+    assert types["total_revenue"] == "decimal(12,2)" and types["transaction_count"] == "int"
+    default = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, default, RUN)
+    d3 = spark.read.parquet(f"{default}/data_mart_store_size_weather_impact")
+    assert {f.name: f.dataType.simpleString() for f in d3.schema.fields}["total_revenue"] == "decimal(18,2)"
+    assert sorted(map(tuple, m3.select("store_size", "total_revenue").collect())) == \
+        sorted(map(tuple, d3.select("store_size", "total_revenue").collect()))
