@@ -11,6 +11,7 @@ equal results.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,16 @@ NULL_KEY = -(1 << 63)
 BLOCK_BYTES = 1 << 20
 
 
+def ready(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package, whatever their
+    working folder; on a cluster the package comes with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

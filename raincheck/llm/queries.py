@@ -8,21 +8,35 @@ from raincheck.llm import (
     decontaminate,
     line_dedup,
     quality_gam,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
     url_filter,
     winnowing,
 )
+from raincheck.llm.common import ready
 
-QUERIES = {
-    "op1_line_dedup": line_dedup.query,
-    "op4_chat_format": chat_format.query,
-    "op5_url_filter": url_filter.query,
-    "op6_quality_classifier": quality_gam.query,
-    "op8_document_fingerprints": winnowing.query,
-    "op9_benchmark_decontamination": decontaminate.query,
-    "op10_best_fit_packing": best_fit.query,
+_OPERATORS = {
+    "op1_line_dedup": line_dedup,
+    "op2_substring_dedup": substring_dedup,
+    "op3_suffix_array_dedup": suffix_dedup,
+    "op4_chat_format": chat_format,
+    "op5_url_filter": url_filter,
+    "op6_quality_classifier": quality_gam,
+    "op7_simhash_near_dedup": simhash_dedup,
+    "op8_document_fingerprints": winnowing,
+    "op9_benchmark_decontamination": decontaminate,
+    "op10_best_fit_packing": best_fit,
 }
 
-ORACLE = {
-    "op1_line_dedup": line_dedup.ORACLE,
-    "op9_benchmark_decontamination": decontaminate.ORACLE,
-}
+
+def _query(module):
+    def run(spark, sf_dir):
+        ready(spark)
+        return module.query(spark, sf_dir)
+    return run
+
+
+QUERIES = {name: _query(module) for name, module in _OPERATORS.items()}
+
+ORACLE = {name: module.ORACLE for name, module in _OPERATORS.items() if hasattr(module, "ORACLE")}

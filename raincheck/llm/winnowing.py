@@ -95,7 +95,7 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)) * F.lit(2.0) / total)
 
 
-def _runs(docs: DataFrame, run_rows: int) -> Column:
+def _runs(docs: DataFrame, run_rows: int, d: Column) -> Column:
     """A non-decreasing function of the id that cuts the documents into runs.
 
     Up to 256 quantiles of the id, then equal steps between two of them, so a
@@ -109,10 +109,10 @@ def _runs(docs: DataFrame, run_rows: int) -> Column:
     steps = max(1, -(-n // (max(1, len(bounds) - 1) * run_rows)))
     if n <= run_rows:
         return F.lit(0).cast("bigint")
-    at = F.array_size(F.filter(F.lit(bounds), lambda b: b <= F.col("__d")))
+    at = F.array_size(F.filter(F.lit(bounds), lambda b: b <= d))
     low, high = F.get(F.lit(bounds), at - 1), F.get(F.lit(bounds), at)
     part = F.when((at == 0) | (at >= len(bounds)), F.lit(0)).otherwise(F.least(F.lit(steps - 1), F.floor(
-        (F.col("__d").cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double")) * steps)))
+        (d.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double")) * steps)))
     return at.cast("bigint") * steps + part
 
 
@@ -120,33 +120,33 @@ def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """doc_id, text, fingerprint, and next_text, next_fingerprint of the next
     document in ascending order (after the last: the first).
 
-    The texts are exchanged once, by run; the last document of each run looks
-    up the first of the next run, for which that exchange is read again.
+    The texts are exchanged once, by run, and read from that exchange three
+    times: all documents but the last of each run find their next one inside
+    the run; the last ones are joined to the first ones of the runs that follow.
     """
-    rows = docs.select("doc_id", doc_key().alias("__d"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("__th", row_key()).withColumn("__run", _runs(rows.select("__d"), run_rows))
-    firsts = rows.groupBy("__run").agg(F.min(F.struct("__d", "__th")).alias("f"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("__run", _runs(rows.select(doc_key().alias("__d")), run_rows, doc_key()))
+    place = F.struct(doc_key().alias("d"), row_key().alias("th"))
+    ends = rows.groupBy("__run").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     order = Window.orderBy("__run")                      # one small row per run
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = stored(firsts.select(
-        "__run", "f", F.coalesce(F.lead("__run").over(order), F.first("__run").over(whole)).alias("next_run")),
-        "runs")
+    ends = stored(ends.withColumn("next_run", F.coalesce(
+        F.lead("__run").over(order), F.first("__run").over(whole))), "runs")
     dealt = rows.repartition("__run")
-    heads = (dealt.join(firsts.select("__run", "f"), "__run")
-             .where((F.col("__d") == F.col("f.__d")) & (F.col("__th") == F.col("f.__th")))
-             .dropDuplicates(["__run"]).select(F.col("__run").alias("next_run"), F.col("text").alias("head_text")))
-    heads = with_fingerprint(heads, "head_text", "head_fp")
-    inside = Window.partitionBy("__run").orderBy("__d", "__th")
-    rows = with_fingerprint(dealt, "text", "fingerprint")
-    rows = (rows.withColumn("next_text", F.lead("text").over(inside))
-            .withColumn("next_fingerprint", F.lead("fingerprint").over(inside)))
-    ends = firsts.select("__run", "next_run").join(stored(heads, "heads"), "next_run").drop("next_run")
-    # Only a run's last document looks its next one up.
-    rows = rows.withColumn("__end", F.when(F.col("next_text").isNull(), F.col("__run")))
-    rows = rows.join(ends.withColumnRenamed("__run", "__end"), "__end", "left")
-    return rows.select(
-        "doc_id", "text", "fingerprint", F.coalesce("next_text", "head_text").alias("next_text"),
-        F.coalesce("next_fingerprint", "head_fp").alias("next_fingerprint"))
+
+    inside = Window.partitionBy("__run").orderBy("d", "th")
+    most = with_fingerprint(dealt, "text", "fingerprint").withColumn("d", doc_key()).withColumn("th", row_key())
+    most = (most.withColumn("next_text", F.lead("text").over(inside))
+            .withColumn("next_fingerprint", F.lead("fingerprint").over(inside))
+            .where(F.col("next_text").isNotNull()))
+
+    heads = dealt.join(ends.select("__run", "first"), "__run").where(place == F.col("first")).dropDuplicates(["__run"])
+    heads = with_fingerprint(heads.select(F.col("__run").alias("next_run"), F.col("text").alias("next_text")),
+                             "next_text", "next_fingerprint")
+    tails = dealt.join(ends.select("__run", "last", "next_run"), "__run").where(place == F.col("last"))
+    tails = with_fingerprint(tails.dropDuplicates(["__run"]).drop("last"), "text", "fingerprint")
+    names = ["doc_id", "text", "fingerprint", "next_text", "next_fingerprint"]
+    return most.select(names).unionByName(tails.join(heads, "next_run").select(names))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
