@@ -57,6 +57,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_key(docs: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join documents to per-document results. ``side`` grows with the
+    documents, so it is never broadcast: the same plan at every size."""
+    return docs.join(side.hint("merge"), keys, how)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets (int64, from 0) of a string column; null: empty."""
     if isinstance(column, pa.ChunkedArray):

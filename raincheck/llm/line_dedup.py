@@ -58,7 +58,7 @@ def dedup_lines(docs: DataFrame, width: int = LINES, extra: bool = False) -> Dat
     hits = C.stored(removed_lines(docs, width), "line-hits").select(
         F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("starts").alias("__starts"))
     rows = docs.withColumn("__d", C.doc_key()).withColumn("__th", C.row_key())
-    rows = rows.join(hits, ["__d", "__th"], "left")
+    rows = C.by_key(rows, hits, ["__d", "__th"], "left")
     rows = rows.withColumn("__l", F.split("text", "\n"))
     n = F.size("__l")
     covered = F.flatten(F.transform("__starts", lambda p: F.sequence(p, p + (width - 1))))
