@@ -317,6 +317,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     keep = rows.where(F.struct("d", "th") == F.col("component")).select(
         F.col("d").alias("__d"), F.col("th").alias("__th")).distinct()
     keep = C.stored(keep, "kept")
-    rows = docs.withColumn("__d", C.doc_key()).withColumn("__th", C.row_key()).join(keep, ["__d", "__th"], "left_semi")
+    rows = docs.withColumn("__d", C.doc_key()).withColumn("__th", C.row_key())
+    rows = C.by_key(rows, keep, ["__d", "__th"], "left_semi")
     one = Window.partitionBy("__d", "__th").orderBy(F.lit(1))
     return rows.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*[F.col(c) for c in docs.columns])

@@ -201,7 +201,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     """d, tag, start, n: ranges of windows that occur earlier (``docs`` from ``anchors.keyed``)."""
     marks = C.stored(A.marks(docs, cut_segments, WINDOW), "marks")
     check = _lists(marks.where("not removed"))
-    windows = docs.join(check, ["d", "tag"]).select("d", "tag", "text", "starts", "ns").mapInArrow(
+    windows = C.by_key(docs, check, ["d", "tag"]).select("d", "tag", "text", "starts", "ns").mapInArrow(
         _windows, "d bigint, tag int, start bigint, a bigint, b bigint")
     windows = C.stored(windows, "windows")
     firsts = windows.groupBy("a", "b").agg(
@@ -217,7 +217,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     docs = A.keyed(docs)
     gone = C.stored(_lists(repeated_places(docs)), "gone")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(gone, ["d", "tag"], "left").select("doc_id", "text", "starts", "ns").mapInArrow(
+    return C.by_key(docs, gone, ["d", "tag"], "left").select("doc_id", "text", "starts", "ns").mapInArrow(
         _result, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 

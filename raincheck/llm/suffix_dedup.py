@@ -234,7 +234,7 @@ def repeated_places(docs: DataFrame, width: int = WIDTH, hot: int = HOT,
     check = check.join(crowded, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     total = check.agg(F.sum(F.when(F.col("hot"), F.col("n") * width).otherwise(F.col("n") + width))).first()[0] or 0
     lists = check.groupBy("d", "tag").agg(*[F.collect_list(c).alias(c) for c in ("start", "n", "key", "hot")])
-    strings = docs.join(lists, ["d", "tag"]).select("d", "tag", "text", "start", "n", "key", "hot").mapInArrow(
+    strings = C.by_key(docs, lists, ["d", "tag"]).select("d", "tag", "text", "start", "n", "key", "hot").mapInArrow(
         _strings(hot, max(1, -(-int(total) // bucket_bytes)), width),
         "bucket bigint, d bigint, tag int, start bigint, n int, s binary")
     found = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(width), PLACES)
@@ -274,7 +274,7 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, hot: int = HOT, bucket_byte
     gone = C.stored(places.groupBy("d", "tag").agg(
         F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns")), "gone")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(gone, ["d", "tag"], "left").select("doc_id", "text", "starts", "ns").mapInArrow(
+    return C.by_key(docs, gone, ["d", "tag"], "left").select("doc_id", "text", "starts", "ns").mapInArrow(
         _result(width), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
