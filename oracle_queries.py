@@ -48,9 +48,9 @@ dim_employees as (
 dim_discounts as (
   select date '1995-01-02' + cast(p_partkey % 2000 as int) start_date_id,
          date '1995-01-02' + cast(p_partkey % 2000 + 14 as int) end_date_id,
-         cast((p_partkey % 200) / 400.0 as decimal(3,2)) discount_rate,
+         cast((p_partkey % 50) / 100.0 as decimal(3,2)) discount_rate,
          p_name description, p_type category, p_brand sub_category
-  from part where p_partkey % 20 = 0),
+  from part),
 stg_transactions as (
   select concat('INV-', cast(l_orderkey as varchar)) invoice_id, l_linenumber line,
          o_custkey customer_id, l_partkey product_id,
@@ -74,21 +74,17 @@ fact_transactions as (
          cast(null as varchar) sku, transaction_type, payment_method,
          cast(invoice_total_raw as decimal(10,0)) invoice_total
   from stg_transactions),
-weather_days as (
-  select d, DN_D dn from (select distinct cast(l_shipdate as date) d from lineitem) t),
-store_days as (
-  select s_suppkey,
-         cast(unnest(generate_series((select min(d) from weather_days), (select max(d) from weather_days),
-                                     interval 1 day)) as date) d
-  from supplier),
+ship_days as (
+  select s_suppkey, d, DN_D dn
+  from (select distinct l_suppkey s_suppkey, cast(l_shipdate as date) d from lineitem) t),
 stg_weather as (
-  select s_suppkey store_id, w.d date_id,
+  select s_suppkey store_id, d date_id,
          case when (s_suppkey * 31 + dn * 17) % 61 % 20 = 7 then null
               else cast(((s_suppkey * 37 + dn * 101) % 4501 - 500) / 100.0 as decimal(5,2)) end temp_max,
          cast(((s_suppkey * 37 + dn * 101) % 4501 - 1150) / 100.0 as decimal(5,2)) temp_min,
          case when (s_suppkey * 31 + dn * 17) % 61 = 60 then null
               else (s_suppkey * 31 + dn * 17) % 61 end precip_tenths
-  from store_days g join weather_days w on g.d = w.d
+  from ship_days
   where (s_suppkey + dn) % 10 <> 0),
 dim_store_weather as (
   select cast(store_id as int) store_id, date_id, temp_max, temp_min,
@@ -116,21 +112,38 @@ def exact_avg_sql(col: str, in_scale: int = 2, out_scale: int = 2) -> str:
 
 ORACLE: dict[str, str] = {}
 
+# Every line that has weather, with all that the reports group by. The marts
+# and the ranking below are each one aggregation of this relation.
+_TEMP_RANGE = ("case when {t} < 10 then 'cold' when {t} between 10 and 25 then 'moderate' "
+               "else 'hot' end")
+
+_LINES = f"""
+weather_lines as (
+  select invoice_id, quantity, cast(line_total as decimal(18,4)) amount, invoice_total, product_id, f.store_id,
+         f.date sale_date, is_rain, temp_max, temp_min, {_TEMP_RANGE.format(t="temp_max")} temperature_range
+  from fact_transactions f join dim_store_weather on date_id = f.date using_store),
+enriched as (
+  select l.*, country, city, dim_stores.size store_size, category, sub_category
+  from weather_lines l
+  left join dim_stores on dim_stores.store_id = l.store_id
+  left join dim_products on dim_products.product_id = l.product_id)
+""".replace("using_store", "and dim_store_weather.store_id = f.store_id")
+
+_RANKED = _LINES.rstrip() + """,
+pair_revenue as (
+  select is_rain, category, sub_category, sum(amount) revenue
+  from enriched group by grouping sets ((is_rain, category, sub_category))),
+ranking as (
+  select a.*, 1 + (select count(*) from pair_revenue b
+                   where b.is_rain is not distinct from a.is_rain and b.revenue > a.revenue) place
+  from pair_revenue a)
+"""
+
 ORACLE["top_products_by_weather"] = with_fixture("""
-select category, sub_category,
-       case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition,
-       cast(total_revenue as double) total_revenue
-from ranked_products where rank <= 5
-""", """
-ranked_products as (
-  select p.category, p.sub_category, w.is_rain,
-         sum(cast(f.line_total as decimal(18,4))) total_revenue,
-         rank() over (partition by w.is_rain order by sum(cast(f.line_total as decimal(18,4))) desc nulls first) rank
-  from fact_transactions f
-  join dim_products p on f.product_id = p.product_id
-  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-  group by p.category, p.sub_category, w.is_rain)
-""")
+select category, sub_category, if(is_rain, 'Rainy', 'Not Rainy') weather_condition,
+       cast(revenue as double) total_revenue
+from ranking where place <= 5
+""", _RANKED)
 
 
 # ---------------------------------------------------------------- D1-D8
@@ -259,9 +272,6 @@ select cast(store_id as bigint) store_id, {exact_avg_sql("temp_max")} avg_temp_m
 from dim_store_weather group by store_id
 """)
 
-_TEMP_RANGE = ("case when {t} < 10 then 'cold' when {t} between 10 and 25 then 'moderate' "
-               "else 'hot' end")
-
 ORACLE["group_by_expr"] = with_fixture(f"""
 select is_rain, {_TEMP_RANGE.format(t="temp_max")} temperature_range, count(*) store_days
 from dim_store_weather group by all
@@ -298,104 +308,67 @@ from (select cast(unnest(generate_series(cast(cast(lo as timestamp) as date), ca
 """)
 
 # ---------------------------------------------------------------- W1-W3
-_RANKED = """
-ranked_products as (
-  select p.category, p.sub_category, w.is_rain,
-         sum(cast(f.line_total as decimal(18,4))) total_revenue,
-         rank() over (partition by w.is_rain order by sum(cast(f.line_total as decimal(18,4))) desc nulls first) rank
-  from fact_transactions f
-  join dim_products p on f.product_id = p.product_id
-  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-  group by p.category, p.sub_category, w.is_rain)
-"""
-
 ORACLE["rank_over_aggregate"] = with_fixture("""
-select category, sub_category, is_rain, cast(total_revenue as double) total_revenue,
-       cast(rank as bigint) rank
-from ranked_products
+select category, sub_category, is_rain, cast(revenue as double) total_revenue, place "rank" from ranking
 """, _RANKED)
 
 ORACLE["top_n_per_group"] = with_fixture("""
-select category, sub_category, is_rain, cast(total_revenue as double) total_revenue,
-       cast(rank as bigint) rank
-from ranked_products where rank <= 5
+select category, sub_category, is_rain, cast(revenue as double) total_revenue, place "rank"
+from ranking where place <= 5
 """, _RANKED)
 
 # ---------------------------------------------------------------- M1-M3
-_M1 = f"""
+_MARTS = _LINES.rstrip() + f""",
 m1 as (
-  select s.country, s.city, s.size store_size, w.is_rain,
-         cast(date_trunc('day', f.date) as date) sale_date,
-         count(distinct f.invoice_id) transaction_count,
-         sum(f.invoice_total) total_revenue,
-         {exact_avg_sql("w.temp_max")} avg_temp_max,
-         {exact_avg_sql("w.temp_min")} avg_temp_min
-  from fact_transactions f
-  join dim_stores s on f.store_id = s.store_id
-  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-  group by s.country, s.city, s.size, w.is_rain, cast(date_trunc('day', f.date) as date))
-"""
-
-_M2 = f"""
+  select country, city, store_size, is_rain, sale_date,
+         count(distinct invoice_id) transaction_count, sum(invoice_total) total_revenue,
+         {exact_avg_sql("temp_max")} avg_temp_max, {exact_avg_sql("temp_min")} avg_temp_min
+  from enriched where country is not null group by all),
 m2 as (
-  select p.product_id, p.category, p.sub_category, w.is_rain,
-         {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
-         count(f.invoice_id) transaction_count, sum(f.quantity) total_quantity,
-         sum(cast(f.line_total as decimal(18,4))) total_revenue
-  from fact_transactions f
-  join dim_products p on f.product_id = p.product_id
-  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-  group by all)
-"""
-
-_M3 = f"""
+  select product_id, category, sub_category, is_rain, temperature_range,
+         count(invoice_id) transaction_count, sum(quantity) total_quantity, sum(amount) total_revenue
+  from enriched where category is not null group by all),
 m3 as (
-  select s.size store_size, w.is_rain, {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
-         count(distinct f.invoice_id) transaction_count,
-         {exact_avg_sql("f.invoice_total", 0, 2)} avg_transaction_value,
-         sum(f.invoice_total) total_revenue
-  from fact_transactions f
-  join dim_stores s on f.store_id = s.store_id
-  join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-  group by all)
+  select store_size, is_rain, temperature_range, count(distinct invoice_id) transaction_count,
+         {exact_avg_sql("invoice_total", 0, 2)} avg_transaction_value, sum(invoice_total) total_revenue
+  from enriched where country is not null group by all)
 """
-
 ORACLE["region_impact"] = with_fixture("""
 select country, city, store_size, is_rain, sale_date, transaction_count,
        cast(total_revenue as double) total_revenue, avg_temp_max, avg_temp_min
 from m1
-""", _M1)
+""", _MARTS)
 
 ORACLE["product_sensitivity"] = with_fixture("""
 select cast(product_id as bigint) product_id, category, sub_category, is_rain, temperature_range,
        transaction_count, cast(total_quantity as bigint) total_quantity,
        cast(cast(total_revenue as decimal(18,2)) as double) total_revenue
 from m2
-""", _M2)
+""", _MARTS)
 
 ORACLE["size_impact"] = with_fixture("""
 select store_size, is_rain, temperature_range, transaction_count, avg_transaction_value,
        cast(total_revenue as double) total_revenue
 from m3
-""", _M3)
+""", _MARTS)
 
 # ---------------------------------------------------------------- Q1, Q3, Q4, W3
 ORACLE["revenue_by_weather_over_time"] = with_fixture(f"""
 select sale_date "time", {exact_avg_sql("total_revenue", 2, 6)} "value",
        case when is_rain then 'Rainy' else 'Not Rainy' end metric
 from m1 group by sale_date, is_rain
-""", _M1)
+""", _MARTS)
 
 ORACLE["revenue_by_size_and_temperature"] = with_fixture("""
 select store_size, temperature_range, cast(sum(total_revenue) as double) total_revenue
 from m3 group by store_size, temperature_range
-""", _M3)
+""", _MARTS)
 
 ORACLE["transactions_by_weather"] = with_fixture("""
 select case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition,
        cast(sum(transaction_count) as bigint) total_transactions
 from m1 group by is_rain
-""", _M1)
+""", _MARTS)
 
 ORACLE["share_of_total"] = with_fixture("""
 select weather_condition, total_transactions,
@@ -403,7 +376,7 @@ select weather_condition, total_transactions,
 from (select case when is_rain then 'Rainy' else 'Not Rainy' end weather_condition,
              cast(sum(transaction_count) as bigint) total_transactions
       from m1 group by is_rain) t
-""", _M1)
+""", _MARTS)
 
 # ---------------------------------------------------------------- X1-X3
 ORACLE["category_sales"] = with_fixture("""
@@ -437,11 +410,19 @@ ORACLE["category_pivot"] = with_fixture(
       " group by f.store_id, f.date")
 
 # ---------------------------------------------------------------- S1-S9, E1, R2
-ORACLE["csv_roundtrip"] = ORACLE["fact_transactions"]
+ORACLE["csv_roundtrip"] = with_fixture("""
+select invoice_id, cast(line as bigint) line, cast(customer_id as bigint) customer_id,
+       cast(product_id as bigint) product_id, size, '  "a"' || chr(10) || product_id || ' ' color, unit_price,
+       cast(quantity as bigint) quantity, date, datetime, discount, line_total,
+       cast(store_id as bigint) store_id, cast(employee_id as bigint) employee_id, currency,
+       currency_symbol, sku, transaction_type, payment_method,
+       cast(invoice_total as double) invoice_total
+from fact_transactions
+""")
 
 _STAGING_COUNTS = """
 select 'customers' t, count(*) n from customer
-union all select 'discounts', count(*) from part where p_partkey % 20 = 0
+union all select 'discounts', count(*) from part
 union all select 'employees', count(*) from customer
 union all select 'products', count(*) from part
 union all select 'stores', count(*) from supplier
@@ -449,29 +430,81 @@ union all select 'transactions', count(*) from lineitem join orders on l_orderke
 """
 
 ORACLE["load_audit"] = f"""
-select t table_name, n rows from ({_STAGING_COUNTS}) c
+select t table_name, n rows, n audited_rows from ({_STAGING_COUNTS}) c
 """
 
 ORACLE["truncate_staging"] = f"""
 select 'staging_' || t table_name, n rows_before, cast(0 as bigint) rows_after from ({_STAGING_COUNTS}) c
 """
 
-ORACLE["batch_run"] = with_fixture("""
-select 'dim_dates' table_name, count(*) "rows" from (
-  select unnest(generate_series(cast(cast(lo as timestamp) as date), cast(cast(hi as timestamp) as date),
-                                interval 1 day))
-  from (select min(date_text) lo, max(date_text) hi from stg_transactions) b) g
-union all select 'dim_customers', count(*) from dim_customers
-union all select 'dim_discounts', count(*) from dim_discounts
-union all select 'dim_employees', count(*) from dim_employees
-union all select 'dim_products', count(*) from dim_products
-union all select 'dim_stores', count(*) from dim_stores
-union all select 'fact_transactions', count(*) from fact_transactions
-union all select 'dim_store_weather', count(*) from dim_store_weather
-union all select 'data_mart_weather_region_impact', count(*) from m1
-union all select 'data_mart_product_weather_sensitivity', count(*) from m2
-union all select 'data_mart_store_size_weather_impact', count(*) from m3
-""", ",\n".join(x.strip() for x in (_M1, _M2, _M3)))
+ORACLE["weather_file"] = ORACLE["store_weather"]
+
+# Columns of the final tables as written (fixed values: the warehouse contract).
+_COLUMNS = {
+    "dim_dates": "date_id date, year int, quarter int, month int, month_name string, week int, day int, "
+                 "day_of_week int, day_name string",
+    "dim_customers": "customer_id int, name string, email string, telephone string, city string, country string, "
+                     "gender string, date_of_birth date, job_title string",
+    "dim_discounts": "start_date_id date, end_date_id date, discount_rate decimal(3,2), description string, "
+                     "category string, sub_category string, batch_id date",
+    "dim_employees": "employee_id int, store_id int, name string, position string",
+    "dim_products": "product_id int, category string, sub_category string, description_pt string, "
+                    "description_de string, description_fr string, description_es string, description_en string, "
+                    "description_zh string, color string, sizes string, production_cost decimal(10,2)",
+    "dim_stores": "store_id int, country string, city string, store_name string, number_of_employees int, "
+                  "zip_code string, size string, latitude decimal(9,6), longitude decimal(9,6)",
+    "fact_transactions": "invoice_id string, line int, customer_id int, product_id int, size string, color string, "
+                         "unit_price double, quantity int, date date, datetime date, discount double, "
+                         "line_total double, store_id int, employee_id int, currency string, "
+                         "currency_symbol string, sku string, transaction_type string, payment_method string, "
+                         "invoice_total decimal(10,0), batch_id date",
+    "dim_store_weather": "store_id int, date_id date, temp_max decimal(5,2), temp_min decimal(5,2), "
+                         "is_rain boolean, run_date date",
+    "data_mart_weather_region_impact":
+        "country string, city string, store_size string, is_rain boolean, sale_date date, transaction_count bigint, "
+        "total_revenue decimal(18,2), avg_temp_max decimal(5,2), avg_temp_min decimal(5,2)",
+    "data_mart_product_weather_sensitivity":
+        "product_id int, category string, sub_category string, is_rain boolean, temperature_range string, "
+        "transaction_count bigint, total_quantity bigint, total_revenue decimal(18,2)",
+    "data_mart_store_size_weather_impact":
+        "store_size string, is_rain boolean, temperature_range string, transaction_count bigint, "
+        "avg_transaction_value decimal(18,2), total_revenue decimal(18,2)",
+}
+_COUNTED = {
+    "dim_dates": """(select unnest(generate_series(cast(cast(lo as timestamp) as date),
+                                                   cast(cast(hi as timestamp) as date), interval 1 day))
+                     from (select min(date_text) lo, max(date_text) hi from stg_transactions) b)""",
+    "data_mart_weather_region_impact": "m1",
+    "data_mart_product_weather_sensitivity": "m2",
+    "data_mart_store_size_weather_impact": "m3",
+}
+
+ORACLE["batch_run"] = with_fixture("\nunion all ".join(
+    f"select '{t}' table_name, '{columns}' \"columns\", count(*) \"rows\" from {_COUNTED.get(t, t)}"
+    for t, columns in _COLUMNS.items()), _MARTS)
+
+_KEYS = "concat_ws('|', {})"
+
+
+def _keys(*columns: str) -> str:
+    return _KEYS.format(", ".join(f"coalesce(cast({c} as varchar), '-')" for c in columns))
+
+
+ORACLE["batch_marts"] = with_fixture(f"""
+select 'data_mart_weather_region_impact' mart, {_keys("country", "city", "store_size", "is_rain", "sale_date")} keys,
+       cast(transaction_count as double) n0, cast(total_revenue as double) n1, avg_temp_max n2, avg_temp_min n3
+from m1
+union all
+select 'data_mart_product_weather_sensitivity',
+       {_keys("product_id", "category", "sub_category", "is_rain", "temperature_range")},
+       transaction_count, total_quantity, cast(cast(total_revenue as decimal(18,2)) as double),
+       cast(cast(total_revenue as decimal(18,2)) as double)
+from m2
+union all
+select 'data_mart_store_size_weather_impact', {_keys("store_size", "is_rain", "temperature_range")},
+       transaction_count, avg_transaction_value, cast(total_revenue as double), cast(total_revenue as double)
+from m3
+""", _MARTS)
 
 ORACLE["merge_weather"] = with_fixture("""
 select cast(w.store_id as bigint) store_id, w.date_id,
@@ -483,3 +516,9 @@ left join (select store_id, date_id from dim_store_weather
            where store_id % 2 = 0 and date_diff('day', date '1995-01-01', date_id) % 2 = 0) n
   on w.store_id = n.store_id and w.date_id = n.date_id
 """)
+
+ORACLE["weather_requests"] = with_fixture("""
+select cast(store_id as bigint) store_id, cast(latitude as double) latitude, cast(longitude as double) longitude,
+       cast(92 as bigint) past_days, store_id in (select store_id from stg_weather) answered
+from stg_stores
+""")

@@ -24,8 +24,10 @@ def exact_sum(c, in_type: str = "decimal(18,4)") -> Column:
     return F.sum(_c(c).cast(in_type))
 
 
-def to_double(c) -> Column:
-    return _c(c).cast("double")
+def exact_ratio(total: Column, n: Column, out_type: str) -> Column:
+    """total / n of exact numerics, rounded half-up once into ``out_type``
+    (NULL when n is 0): the mean of values summed and counted before."""
+    return (total.cast("decimal(28,10)") / F.nullif(n, F.lit(0)).cast("decimal(20,0)")).cast(out_type)
 
 
 def micro_sum(c, digits: int = 6) -> Column:

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from raincheck.functions.numeric import exact_sum, micro_sum
 from raincheck.operators.joins import join_product
 
-# Pivot columns must stay bounded: more categories than this is an error.
-MAX_PIVOT_VALUES = 1_000
-
-
 def category_lines(fact: DataFrame, products: DataFrame, cols) -> DataFrame:
     return join_product(fact.select("product_id", *cols), products, cols=("category",))
 
@@ -37,17 +33,26 @@ def category_totals(fact: DataFrame, products: DataFrame) -> DataFrame:
     return t.unpivot([], ["unit_price", "quantity"], "index", "value")
 
 
-def slug(value: str) -> str:
-    return re.sub(r"[^0-9a-z]+", "_", value.lower()).strip("_")
+def column_names(categories: list[str]) -> dict[str, str]:
+    """A column name for each category: its letters and digits (of any
+    script) in lower case, joined by ``_``; categories that come out alike
+    are numbered in the order given."""
+    out: dict[str, str] = {}
+    taken: set[str] = set()
+    for c in categories:
+        base = re.sub(r"\W+", "_", c.lower()).strip("_") or "category"
+        name, k = base, 1
+        while name in taken:
+            k += 1
+            name = f"{base}_{k}"
+        taken.add(name)
+        out[c] = name
+    return out
 
 
 def pivot_categories(products: DataFrame) -> list[str]:
-    """Distinct categories of the product dimension (bounded, small)."""
-    cats = [r[0] for r in products.select("category").distinct()
-            .limit(MAX_PIVOT_VALUES + 1).collect() if r[0] is not None]
-    if len(cats) > MAX_PIVOT_VALUES:
-        raise ValueError(f"more than {MAX_PIVOT_VALUES} categories to pivot")
-    return sorted(cats)
+    """Distinct categories of the product dimension: the columns of the pivot."""
+    return sorted(r[0] for r in products.select("category").distinct().collect() if r[0] is not None)
 
 
 def category_pivot(fact: DataFrame, products: DataFrame, categories: list[str] | None = None) -> DataFrame:
@@ -56,11 +61,15 @@ def category_pivot(fact: DataFrame, products: DataFrame, categories: list[str] |
     explicitly (read from the product dimension when not given)."""
     cats = categories if categories is not None else pivot_categories(products)
     j = category_lines(fact, products, ["store_id", "date", "quantity", "line_total"])
-    p = j.groupBy("store_id", "date").pivot("category", cats).agg(
+    # Pivot on the position of the category, so that no category text has to
+    # serve as a column name inside the plan.
+    place = F.array_position(F.lit(cats), F.col("category")).cast("int") if cats else F.lit(0)
+    numbers = list(range(1, len(cats) + 1))
+    p = j.withColumn("_place", place).groupBy("store_id", "date").pivot("_place", numbers).agg(
         F.sum("quantity").alias("quantity"), exact_sum("line_total").alias("amount"))
+    names = column_names(cats)
     out = [F.col("store_id"), F.col("date")]
-    for c in cats:
+    for k, c in zip(numbers, cats):
         for m in ("quantity", "amount"):
-            v = F.coalesce(F.col(f"`{c}_{m}`"), F.lit(0))
-            out.append(v.alias(f"{slug(c)}_{m}"))
+            out.append(F.coalesce(F.col(f"`{k}_{m}`"), F.lit(0)).alias(f"{names[c]}_{m}"))
     return p.select(out)

@@ -9,7 +9,6 @@ from raincheck import schemas as S
 from raincheck.functions.dates import date_parts
 from raincheck.functions.weather import store_size_tier
 from raincheck.operators.conform import conform
-from raincheck.operators.joins import broadcast_limit, is_small
 
 # Optional input-order column of a staging frame (first row per key wins).
 SEQ = "_seq"
@@ -83,9 +82,8 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, keys: list
     before the shuffle, never gathered in one task. Without ``order_by`` the
     smallest full row wins, which is deterministic.
 
-    A batch of at most ``raincheck.broadcast.maxRows`` rows is matched
-    against ``existing`` by broadcast joins only; a larger one by a
-    sort-merge anti-join.
+    The match is one anti-join; the planner and adaptive execution choose how
+    it runs from the sizes they measure.
     """
     cols = [c for c in incoming.columns if c not in keys and c != order_by]
     out_cols = [c for c in incoming.columns if c != order_by]
@@ -98,15 +96,7 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, keys: list
         first = incoming.select(*keys).distinct()
     if existing is None:
         return first
-    known = existing.select(*keys)
-    if is_small(incoming.select(*keys), broadcast_limit(incoming)):
-        # A small batch against a possibly huge table: scan the table once
-        # against the broadcast batch keys to find the keys that already
-        # exist (at most the batch size), then drop those from the batch.
-        # Nothing table-sized is shuffled.
-        hits = known.join(F.broadcast(first.select(*keys)), keys, "left_semi")
-        return first.join(F.broadcast(hits), keys, "left_anti")
-    return first.join(known.hint("merge"), keys, "left_anti")
+    return first.join(existing.select(*keys), keys, "left_anti")
 
 
 # ------------------------------------------------------------------ A1, D1

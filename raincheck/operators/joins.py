@@ -1,8 +1,10 @@
 """Joins of the invoice lines with the store, weather and product dimensions.
 
-Every join is an inner equi-join; NULL keys never match. A side is
-broadcast only after a bounded row count proves it small; otherwise the join
-is a sort-merge join (AQE re-plans it and splits skewed partitions).
+Every join is an inner equi-join; NULL keys never match. No join strategy is
+forced: written tables have file sizes for the planner, and for derived frames
+adaptive execution decides on measured bytes
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), splitting skewed
+partitions of a shuffled join.
 """
 
 from __future__ import annotations
@@ -10,89 +12,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-BROADCAST_ROWS_CONF = "raincheck.broadcast.maxRows"
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(BROADCAST_ROWS_CONF, None)
-    return int(v) if v else DEFAULT_BROADCAST_ROWS
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows, so it stays cheap on a large table."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when a bounded count proves at most ``max_rows``
-    rows; otherwise a sort-merge join is requested, so no estimate-based
-    broadcast of an unproven side happens. Pass frames already pruned to the
-    join's columns."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    return F.broadcast(df) if is_small(df, limit) else df.hint("merge")
-
 
 def join_store(lines: DataFrame, stores: DataFrame, cols=("country", "city", "size")) -> DataFrame:
     """Lines ⋈ stores on store_id; the store's ``size`` becomes ``store_size``."""
     s = stores.select("store_id", *[F.col(c).alias("store_size") if c == "size" else F.col(c)
                                     for c in cols])
-    return lines.join(broadcast_if_small(s), "store_id")
-
-
-# Weather rows (stores x days) broadcast after a bounded count proves the
-# side small: 1M rows is a hashed relation of about 24 MB.
-DEFAULT_WEATHER_BROADCAST_ROWS = 1_000_000
-WEATHER_BROADCAST_CONF = "raincheck.weather.broadcastMaxRows"
-
-
-def weather_broadcast_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get(WEATHER_BROADCAST_CONF, None)
-    return int(v) if v else DEFAULT_WEATHER_BROADCAST_ROWS
+    return lines.join(s, "store_id")
 
 
-def _weather_side(weather: DataFrame, cols, broadcast: bool | None, extra=()) -> DataFrame:
-    w = weather.select("store_id", F.col("date_id").alias("date"), *cols, *extra)
-    if broadcast is None:
-        broadcast = is_small(w, weather_broadcast_limit(w))
-    return F.broadcast(w) if broadcast else w.hint("merge")
+def _weather_side(weather: DataFrame, cols, extra=()) -> DataFrame:
+    return weather.select("store_id", F.col("date_id").alias("date"), *cols, *extra)
 
 
 def join_weather(lines: DataFrame, weather: DataFrame,
-                 cols=("temp_max", "temp_min", "is_rain"), broadcast: bool | None = None) -> DataFrame:
+                 cols=("temp_max", "temp_min", "is_rain")) -> DataFrame:
     """Lines ⋈ weather on (store_id, date = date_id); lines without weather drop out.
 
-    Weather is stores x days: bounded by the store count and the calendar,
-    not by sales. When a bounded count proves it small (at most
-    ``raincheck.weather.broadcastMaxRows`` rows) it is broadcast, so the
-    fact is never shuffled for the join and the following aggregation
-    reduces it map-side. Otherwise both sides are shuffled on the two-column
-    key in a sort-merge join (a hot store spreads over its days; AQE splits
-    a hot store-day); the ``merge`` hint keeps the planner from broadcasting
-    a side whose size it can only guess (an exploded or derived frame).
-    ``broadcast=True/False`` forces either plan.
+    A hot store spreads over its days; adaptive execution splits a hot
+    store-day.
     """
-    return lines.join(_weather_side(weather, cols, broadcast), ["store_id", "date"])
+    return lines.join(_weather_side(weather, cols), ["store_id", "date"])
 
 
 def join_product(lines: DataFrame, products: DataFrame,
                  cols=("category", "sub_category")) -> DataFrame:
     """Lines ⋈ products on product_id."""
-    p = products.select("product_id", *cols)
-    return lines.join(broadcast_if_small(p), "product_id")
+    return lines.join(products.select("product_id", *cols), "product_id")
 
 
 def join_weather_audited(lines: DataFrame, weather: DataFrame, audit,
-                         cols=("temp_max", "temp_min", "is_rain"),
-                         broadcast: bool | None = None) -> DataFrame:
+                         cols=("temp_max", "temp_min", "is_rain")) -> DataFrame:
     """J2 with an audit of the lines it drops (R6), in the same join.
 
     A left join marks lines that found a weather row; an observation counts
     the others (``unmatched_lines``) while the plan runs; then only matched
     lines continue, so the result equals ``join_weather``.
     """
-    w = _weather_side(weather, cols, broadcast, [F.lit(True).alias("_has_weather")])
+    w = _weather_side(weather, cols, [F.lit(True).alias("_has_weather")])
     j = lines.join(w, ["store_id", "date"], "left")
     j = j.observe(audit, F.count(F.lit(1)).alias("lines"),
                   F.count(F.when(F.col("_has_weather").isNull(), 1)).alias("unmatched_lines"))

@@ -1,10 +1,10 @@
 """The three data marts (M1-M3) over fact ⋈ weather ⋈ store / product.
 
 Each mart reads only the fact columns it needs. The fact is joined with
-weather first (the one shuffle, on store_id and date) and the small store
-or product dimension is broadcast after it, so the wide text columns never
-cross the shuffle. Money is summed exactly (decimal), averages are exact
-and rounded once.
+weather first, on store_id and date. M1 and M3 then reduce the lines to one
+row per store, day and invoice, which that join's partitioning already keeps
+together, so the lines are not exchanged a second time; the marts add up those
+rows. Money is summed exactly (decimal), averages are exact and rounded once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from raincheck import schemas as S
 from raincheck.functions.dates import day_trunc
-from raincheck.functions.numeric import exact_avg, exact_sum
+from raincheck.functions.numeric import exact_ratio, exact_sum
 from raincheck.functions.weather import temperature_range
 from raincheck.operators.conform import conform
 from raincheck.operators.joins import join_product, join_store, join_weather
@@ -28,38 +28,46 @@ def _cols(table: str, strict: bool):
     return (S.STRICT_MARTS if strict else S.TABLES)[table]
 
 
-def region_lines(fact: DataFrame, stores: DataFrame, weather: DataFrame,
-                 weather_broadcast: bool | None = None) -> DataFrame:
-    """Lines with weather and store attributes, for M1 and M3.
+def invoice_days(weather_lines: DataFrame) -> DataFrame:
+    """Lines with weather -> one row per store, day, weather and invoice:
+    ``lines``, ``totals`` (non-NULL invoice totals), ``revenue`` (their sum)."""
+    return weather_lines.groupBy(
+        "store_id", "date", "is_rain", "temp_max", "temp_min", "invoice_id",
+    ).agg(F.count(F.lit(1)).alias("lines"), F.count("invoice_total").alias("totals"),
+          F.sum("invoice_total").alias("revenue"))
 
-    ``weather_broadcast``: a caller that knows a bound on the weather rows
-    passes the decision; ``None`` lets a bounded count decide.
-    """
+
+def region_days(fact: DataFrame, stores: DataFrame, weather: DataFrame) -> DataFrame:
+    """Invoice days with store attributes, for M1 and M3."""
     lines = fact.select("invoice_id", "store_id", "date", "invoice_total")
-    return join_store(join_weather(lines, weather, broadcast=weather_broadcast), stores)
+    return join_store(invoice_days(join_weather(lines, weather)), stores)
 
 
-def product_lines(fact: DataFrame, products: DataFrame, weather: DataFrame,
-                  weather_broadcast: bool | None = None) -> DataFrame:
+def product_lines(fact: DataFrame, products: DataFrame, weather: DataFrame) -> DataFrame:
     """Lines with weather and product attributes, for M2."""
     lines = fact.select("invoice_id", "product_id", "store_id", "date", "quantity", "line_total")
-    return join_product(join_weather(lines, weather, cols=("temp_max", "is_rain"),
-                                     broadcast=weather_broadcast), products)
+    return join_product(join_weather(lines, weather, cols=("temp_max", "is_rain")), products)
+
 
+def _weighted(temperature: str):
+    """Sum over lines, and number of lines, of a temperature that is one per row."""
+    value = F.col(temperature).cast("decimal(15,2)") * F.col("lines").cast("decimal(10,0)")
+    return F.sum(value), F.sum(F.when(F.col(temperature).isNotNull(), F.col("lines")).otherwise(0))
 
-def region_impact_from(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """M1 from ``region_lines``: one row per country, city, size, rain, day.
+
+def region_impact_from(days: DataFrame, strict: bool = False) -> DataFrame:
+    """M1 from ``region_days``: one row per country, city, size, rain, day.
 
     ``total_revenue`` adds the invoice total once per line, as the source does.
     """
     cols = _cols(M1, strict)
-    g = lines.groupBy(
+    g = days.groupBy(
         "country", "city", "store_size", "is_rain", day_trunc("date").alias("sale_date"),
     ).agg(
         F.count_distinct("invoice_id").alias("transaction_count"),
-        F.sum("invoice_total").alias("total_revenue"),
-        exact_avg("temp_max", "decimal(5,2)").alias("avg_temp_max"),
-        exact_avg("temp_min", "decimal(5,2)").alias("avg_temp_min"),
+        F.sum("revenue").alias("total_revenue"),
+        exact_ratio(*_weighted("temp_max"), "decimal(5,2)").alias("avg_temp_max"),
+        exact_ratio(*_weighted("temp_min"), "decimal(5,2)").alias("avg_temp_min"),
     )
     return conform(g, cols, M1)
 
@@ -78,33 +86,30 @@ def product_sensitivity_from(lines: DataFrame, strict: bool = False) -> DataFram
     return conform(g, cols, M2)
 
 
-def size_impact_from(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """M3 from ``region_lines``: per size, rain and temperature range."""
+def size_impact_from(days: DataFrame, strict: bool = False) -> DataFrame:
+    """M3 from ``region_days``: per size, rain and temperature range."""
     cols = _cols(M3, strict)
     money = [c.type for c in cols if c.name == "avg_transaction_value"][0]
-    g = lines.groupBy(
+    g = days.groupBy(
         "store_size", "is_rain", temperature_range("temp_max").alias("temperature_range"),
     ).agg(
         F.count_distinct("invoice_id").alias("transaction_count"),
-        exact_avg("invoice_total", money).alias("avg_transaction_value"),
-        F.sum("invoice_total").alias("total_revenue"),
+        exact_ratio(F.sum("revenue"), F.sum("totals"), money).alias("avg_transaction_value"),
+        F.sum("revenue").alias("total_revenue"),
     )
     return conform(g, cols, M3)
 
 
-def region_impact(fact, stores, weather, strict: bool = False,
-                  weather_broadcast: bool | None = None) -> DataFrame:
+def region_impact(fact, stores, weather, strict: bool = False) -> DataFrame:
     """M1."""
-    return region_impact_from(region_lines(fact, stores, weather, weather_broadcast), strict)
+    return region_impact_from(region_days(fact, stores, weather), strict)
 
 
-def product_sensitivity(fact, products, weather, strict: bool = False,
-                        weather_broadcast: bool | None = None) -> DataFrame:
+def product_sensitivity(fact, products, weather, strict: bool = False) -> DataFrame:
     """M2."""
-    return product_sensitivity_from(product_lines(fact, products, weather, weather_broadcast), strict)
+    return product_sensitivity_from(product_lines(fact, products, weather), strict)
 
 
-def size_impact(fact, stores, weather, strict: bool = False,
-                weather_broadcast: bool | None = None) -> DataFrame:
+def size_impact(fact, stores, weather, strict: bool = False) -> DataFrame:
     """M3."""
-    return size_impact_from(region_lines(fact, stores, weather, weather_broadcast), strict)
+    return size_impact_from(region_days(fact, stores, weather), strict)

@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from raincheck.operators import adhoc, marts, reports
-from raincheck.sources import tables
-from raincheck.sources.payloads import current_weather
+from raincheck.sources import csv, tables
 
 
-def _weather(spark: SparkSession, root: str, mode: str) -> DataFrame:
-    hist = tables.read_table(spark, root, "dim_store_weather")
-    return hist.drop("run_date") if mode == "append" else current_weather(hist)
+def _weather(spark: SparkSession, root: str) -> DataFrame:
+    return tables.read_table(spark, root, "dim_store_weather").drop("run_date")
 
 
-def panels(spark: SparkSession, root: str, mode: str = "idempotent") -> dict[str, DataFrame]:
+def panels(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Q1-Q4 keyed by panel name."""
     m1 = tables.read_table(spark, root, marts.M1)
     m3 = tables.read_table(spark, root, marts.M3)
@@ -29,7 +27,7 @@ def panels(spark: SparkSession, root: str, mode: str = "idempotent") -> dict[str
     return {
         "revenue_by_weather_over_time": reports.revenue_by_weather_over_time(m1),
         "top_products_by_weather": reports.top_products_by_weather(
-            fact, products, _weather(spark, root, mode)),
+            fact, products, _weather(spark, root)),
         "revenue_by_size_and_temperature": reports.revenue_by_size_and_temperature(m3),
         "transactions_by_weather": reports.transactions_by_weather(m1, with_share=True),
     }
@@ -46,22 +44,28 @@ def category_analysis(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def register_views(spark: SparkSession, root: str, mode: str = "idempotent") -> list[str]:
+def register_views(spark: SparkSession, root: str) -> list[str]:
     """Register every written table as a temporary view under its table name,
     so existing SQL over the star schema and marts runs with ``spark.sql``.
 
-    ``dim_store_weather`` is the merged view (newest run per store-day) in
-    the default mode, as the marts see it. Double-quoted identifiers in such
-    SQL need ``spark.sql.ansi.doubleQuotedIdentifiers=true``.
+    Staging tables that have been loaded are registered too
+    (``staging_stores`` ...). Double-quoted identifiers in such SQL need
+    ``spark.sql.ansi.doubleQuotedIdentifiers=true``.
     """
     from raincheck import schemas as S
 
     for name in S.TABLES:
         if name == "dim_store_weather":
-            df = _weather(spark, root, mode)
+            df = _weather(spark, root)
         else:
             df = tables.read_table(spark, root, name)
             if "batch_id" in df.columns:
                 df = df.drop("batch_id")
         df.createOrReplaceTempView(name)
-    return list(S.TABLES)
+    names = list(S.TABLES)
+    staging_dir = f"{root.rstrip('/')}/staging"
+    for source, name in csv.STAGING_TABLES.items():
+        if tables.current_version(spark, csv.staging_path(staging_dir, source)):
+            csv.read_staging(spark, staging_dir, source).createOrReplaceTempView(name)
+            names.append(name)
+    return names

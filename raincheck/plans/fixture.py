@@ -3,8 +3,8 @@
 The source CSV files and weather payloads are not shipped, so tests and the
 benchmark derive them, deterministically, from ``supplier`` (stores),
 ``part`` (products), ``customer`` (customers, employees), ``lineitem`` ⋈
-``orders`` (invoice lines) and ``supplier`` x ship dates (weather). The
-frames carry the CSV header names, so they go through exactly the same
+``orders`` (invoice lines) and the stores' ship days in ``lineitem``
+(weather). The frames carry the CSV header names, so they go through exactly the same
 rename/cast operators as a real CSV load. All work is Spark-side and grows
 with the input tables.
 """
@@ -16,17 +16,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from raincheck.session import task_slots
-
 # Fixed values of the fixture definition (FIXTURES.md §4): day numbering
 # origin, first discount day, and the moduli of the synthetic weather.
 DAY_ZERO = "1995-01-01"
 DISCOUNT_DAY_ZERO = "1995-01-02"
 
-# Upper bound on distinct ship days that may be broadcast (a calendar bound:
-# one row per day over more than a century).
-MAX_CALENDAR_DAYS = 50_000
-
 
 # Schemas of the driver's tables, which are read-only inputs: inferred once
 # per process, then passed to the reader (no schema-inference job per read).
@@ -127,13 +121,13 @@ class RetailFixture:
     # ------------------------------------------------------------ discounts
     @cached_property
     def staging_discounts(self) -> DataFrame:
-        p = self.t("part").filter(F.col("p_partkey") % 20 == 0)
+        p = self.t("part")
         k = F.col("p_partkey")
         day0 = F.lit(DISCOUNT_DAY_ZERO).cast("date")
         return p.select(
             F.date_add(day0, (k % 2000).cast("int")).alias("Start"),
             F.date_add(day0, (k % 2000 + 14).cast("int")).alias("End"),
-            F.expr("cast((p_partkey % 200) / 400.0 as decimal(3,2))").alias("Discont"),
+            F.expr("cast((p_partkey % 50) / 100.0 as decimal(3,2))").alias("Discont"),
             F.col("p_name").alias("Description"), F.col("p_type").alias("Category"),
             F.col("p_brand").alias("Sub Category"),
         )
@@ -176,40 +170,16 @@ class RetailFixture:
         )
 
     # ------------------------------------------------------------ weather
-    @cached_property
-    def ship_days(self) -> DataFrame:
-        """Distinct ship days: at most one row per calendar day."""
-        return self.t("lineitem").select(F.to_date("l_shipdate").alias("date_id")).distinct()
-
     @cached_property
     def staging_weather(self) -> DataFrame:
-        """One row per store and ship day (one in ten store-days missing):
-        store_id, date_id, temp_max, temp_min, precipitation (mm)."""
-        days = self.ship_days
-        ship = F.to_date("l_shipdate")
-        lo, hi = self.t("lineitem").agg(F.min(ship), F.max(ship)).first()
-        if lo is None:
-            return self.spark.createDataFrame(
-                [], "store_id bigint, date_id date, temp_max decimal(5,2), "
-                    "temp_min decimal(5,2), precipitation double")
-        span = (hi - lo).days + 1
-        if span > MAX_CALENDAR_DAYS:
-            raise ValueError("ship-day span exceeds the calendar bound for broadcasting")
-        self._grid_days = span
-        # Each store row expands to the calendar span locally (no shuffle);
-        # the semi-join against the day set (bounded by the span checked
-        # above) keeps the days that exist.
-        # The explode multiplies each store row by the day span, so the few
-        # store rows are first spread over all task slots (a small shuffle of
-        # the seeds, not of the grid).
-        seeds = self.t("supplier").select(F.col("s_suppkey").alias("store_id")).repartition(
-            task_slots(self.spark))
-        grid = seeds.select("store_id", F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("date_id"))
-        grid = grid.join(F.broadcast(days), "date_id", "left_semi")
+        """One row per store and day on which it ships (one in ten store-days
+        missing): store_id, date_id, temp_max, temp_min, precipitation (mm)."""
+        days = self.t("lineitem").select(
+            F.col("l_suppkey").alias("store_id"), F.to_date("l_shipdate").alias("date_id")).distinct()
         s, dn = F.col("store_id"), day_number(F.col("date_id"))
         wet = (s * 31 + dn * 17) % 61
         heat = (s * 37 + dn * 101) % 4501
-        return (grid.filter((s + dn) % 10 != 0).select(
+        return (days.filter((s + dn) % 10 != 0).select(
             "store_id", "date_id",
             F.when(wet % 20 == 7, F.lit(None))
              .otherwise(((heat - 500) / F.lit(100.0)).cast("decimal(5,2)")).alias("temp_max"),
@@ -217,19 +187,14 @@ class RetailFixture:
             F.when(wet == 60, F.lit(None)).otherwise(wet / F.lit(10.0)).alias("precipitation"),
         ))
 
-    @cached_property
-    def weather_row_bound(self) -> int:
-        """Proven upper bound on the weather rows: stores x day span (the
-        grid before the one-in-ten gap and the day-set filter)."""
-        self.staging_weather  # fixes the day span
-        return self.t("supplier").count() * getattr(self, "_grid_days", 0)
-
     @cached_property
     def weather_payloads(self) -> DataFrame:
+        return self.payloads_of(self.staging_weather)
+
+    def payloads_of(self, w: DataFrame) -> DataFrame:
         """One JSON payload per store, as a forecast service returns it:
         store_id, status, body. A store holds at most one row per calendar
-        day, so each group is bounded by the day span."""
-        w = self.staging_weather
+        day, so each payload is bounded by the day span."""
         g = w.groupBy("store_id").agg(F.sort_array(F.collect_list(F.struct(
             F.col("date_id").cast("string").alias("time"),
             F.col("temp_max").cast("double").alias("tmax"),
@@ -243,4 +208,3 @@ class RetailFixture:
         return g.select(
             "store_id", F.lit(200).alias("status"),
             F.to_json(F.struct(daily.alias("daily"))).alias("body"))
-

@@ -6,9 +6,11 @@ reads written tables, not a long lineage, and a failed stage can be re-run.
 
 Modes:
   "idempotent" (default): staging is replaced, a batch's fact and discount
-      partitions are replaced, weather keeps one row per store-day (newest
-      run wins), marts are recomputed from all history and overwritten.
-      Running the same batch twice equals running it once.
+      partitions are replaced, weather keeps one row per store-day (a run
+      replaces the store-days it delivers and keeps all others), marts are
+      recomputed from all history. Weather, marts and staging are replaced by
+      a new version that readers see once it is committed. Running the same
+      batch twice equals running it once.
   "append": every run adds rows as a plain INSERT would (duplicated loads
       double-count; weather duplicates multiply in the join), and marts are
       appended. This reproduces the original task graph's behaviour.
@@ -22,13 +24,11 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from raincheck.operators import dims, facts, marts
-from raincheck.operators.joins import (is_small, join_product, join_store, join_weather_audited,
-                                       weather_broadcast_limit)
+from raincheck.operators.joins import join_store, join_weather_audited
 from raincheck.sources import csv, payloads, tables
 
 DIM_BUILDERS = {
@@ -47,6 +47,7 @@ class RunResult:
     payloads: int = 0
     failed_payloads: int = 0
     weather_file: str = ""
+    unanswered_stores: int = 0                         # staged stores without a successful payload
     defined: list[str] = field(default_factory=list)   # tables ensured (created if absent)
     mart_lines: int = 0
     unmatched_lines: int = 0
@@ -82,76 +83,61 @@ def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) ->
 
 def load_weather(spark: SparkSession, payload_frame: DataFrame, root: str, run_date: dt.date,
                  mode: str, result: RunResult) -> None:
-    """Flatten the payloads, write the dated weather file, load it into the
-    weather table under this run's date."""
+    """Flatten the payloads, write the dated weather file, and load the same
+    records into the weather table: merged by store-day (or appended)."""
     obs = Observation("weather_payloads")
     records = payloads.weather_records(payloads.flatten_weather(payload_frame, obs))
-    result.weather_file = payloads.write_weather_file(records, root, run_date)
-    got = obs.get
-    result.payloads, result.failed_payloads = int(got["payloads"]), int(got["failed_payloads"])
-    loaded = payloads.load_weather(spark, result.weather_file).withColumn("run_date", F.lit(run_date))
-    tables.write_partitioned(loaded, root, "dim_store_weather", mode)
-
-
-def weather_for_marts(spark: SparkSession, root: str, mode: str) -> tuple[DataFrame, bool]:
-    """The weather the marts join, and whether it is proven small.
-
-    The merged view (newest run per store-day) never has more rows than the
-    stored history, so a bounded count of the history (a plain Parquet
-    scan) proves the bound without running the merge.
-    """
-    hist = tables.read_table(spark, root, "dim_store_weather")
-    small = is_small(hist.select("store_id"), weather_broadcast_limit(hist))
+    result.weather_file = payloads.write_weather_file(records, root, run_date, result.batch_id)
+    got = tables.observed(obs)
+    result.payloads, result.failed_payloads = int(got.get("payloads", 0)), int(got.get("failed_payloads", 0))
+    incoming = payloads.store_weather(payloads.weather_records(payloads.flatten_weather(payload_frame)))
     if mode == "append":
-        return hist.drop("run_date"), small
-    return payloads.current_weather(hist), small
+        tables.append_rows(incoming.withColumn("run_date", F.lit(run_date)), root, "dim_store_weather")
+        return
+    held = tables.read_table(spark, root, "dim_store_weather")
+    names = held.columns
+    tables.overwrite(payloads.merge_weather(held, incoming, run_date).select(*names), root, "dim_store_weather")
 
 
 def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
                 strict_types: bool = False, result: RunResult | None = None) -> None:
     """Transform: the three marts over all loaded history.
 
-    When weather is small enough to broadcast, each mart is a pruned fact
-    scan, a broadcast join and a map-side aggregation: nothing fact-sized is
-    shuffled or kept. Otherwise fact ⋈ weather needs a shuffle on
-    (store_id, date); it is done once and kept (memory, spilling to disk) for
-    the three aggregations; lost blocks are recomputed from the written
-    tables. Lines without weather drop out of every mart; their number is
-    audited (``result.unmatched_lines``).
+    The fact is joined with weather once for M1 and M3 and reduced to one row
+    per store, day and invoice, which is written and read by both; M2 groups
+    by product and joins the weather itself. Lines without weather drop out of
+    every mart; their number is audited (``result.unmatched_lines``).
     """
     fact = tables.read_table(spark, root, "fact_transactions").select(
         "invoice_id", "product_id", "store_id", "date", "quantity", "line_total", "invoice_total")
-    weather, small = weather_for_marts(spark, root, mode)
+    weather = tables.read_table(spark, root, "dim_store_weather").drop("run_date")
+    stores = tables.read_table(spark, root, "dim_stores")
+    products = tables.read_table(spark, root, "dim_products")
+
     audit = Observation("mart_lines")
-    lines = join_weather_audited(fact, weather, audit, broadcast=small)
-    if not small:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stores = tables.read_table(spark, root, "dim_stores")
-        products = tables.read_table(spark, root, "dim_products")
-        region = join_store(lines, stores)
-        outputs = {
-            marts.M1: marts.region_impact_from(region, strict_types),
-            marts.M2: marts.product_sensitivity_from(join_product(lines, products), strict_types),
-            marts.M3: marts.size_impact_from(region, strict_types),
-        }
-        def write(name):
-            t0 = time.perf_counter()
-            if mode == "append":
-                tables.append_rows(outputs[name], root, name)
-            else:
-                tables.overwrite(outputs[name], root, name)
-            if result is not None:
-                result.seconds[f"marts: {name}"] = round(time.perf_counter() - t0, 3)
-        if not small:
-            lines.count()   # fill the kept join once; the three marts then read it
-        concurrently({n: (lambda n=n: write(n)) for n in outputs})
+    lines = join_weather_audited(fact.select("invoice_id", "store_id", "date", "invoice_total"), weather, audit)
+    days = spark.read.parquet(tables.replace_version(
+        marts.invoice_days(lines), f"{root}/work/invoice_days"))
+    if result is not None:
+        got = tables.observed(audit)
+        result.mart_lines, result.unmatched_lines = int(got.get("lines", 0)), int(got.get("unmatched_lines", 0))
+    region = join_store(days, stores)
+    outputs = {
+        marts.M1: marts.region_impact_from(region, strict_types),
+        marts.M2: marts.product_sensitivity(fact, products, weather, strict_types),
+        marts.M3: marts.size_impact_from(region, strict_types),
+    }
+
+    def write(name):
+        t0 = time.perf_counter()
+        if mode == "append":
+            tables.append_rows(outputs[name], root, name)
+        else:
+            tables.overwrite(outputs[name], root, name)
         if result is not None:
-            got = audit.get
-            result.mart_lines, result.unmatched_lines = int(got["lines"]), int(got["unmatched_lines"])
-    finally:
-        if not small:
-            lines.unpersist()
+            result.seconds[f"marts: {name}"] = round(time.perf_counter() - t0, 3)
+
+    concurrently({n: (lambda n=n: write(n)) for n in outputs})
 
 
 def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_frame: DataFrame,
@@ -182,18 +168,18 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
             dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")),
             root, "dim_dates")
     with result.phase("weather"):
+        result.unanswered_stores = payloads.unanswered_requests(
+            payloads.weather_requests(stg["stores"]), payload_frame).count()
         load_weather(spark, payload_frame, root, run_date, mode, result)
     with result.phase("dimensions_and_fact"):
         loads = {
             table: (lambda t=table, b=build, n=name: tables.append_rows(
                 b(stg[n], tables.read_table(spark, root, t)), root, t))
             for name, (table, build) in DIM_BUILDERS.items()}
-        loads["dim_discounts"] = lambda: tables.write_partitioned(
-            dims.dim_discounts(stg["discounts"]).withColumn("batch_id", F.lit(batch_id)),
-            root, "dim_discounts", mode)
-        loads["fact_transactions"] = lambda: tables.write_partitioned(
-            facts.fact_transactions(stg["transactions"]).withColumn("batch_id", F.lit(batch_id)),
-            root, "fact_transactions", mode)
+        loads["dim_discounts"] = lambda: tables.write_batch(
+            dims.dim_discounts(stg["discounts"]), root, "dim_discounts", batch_id, mode)
+        loads["fact_transactions"] = lambda: tables.write_batch(
+            facts.fact_transactions(stg["transactions"]), root, "fact_transactions", batch_id, mode)
         concurrently(loads)
     with result.phase("truncate_staging"):
         concurrently({n: (lambda n=n: csv.truncate_staging(spark, staging_dir, [n])) for n in staging})
@@ -230,6 +216,9 @@ def main(argv: list[str] | None = None) -> RunResult:
     ap.add_argument("--payload-format", choices=["lines", "files"], default="lines",
                     help="lines: JSON lines (store_id, status, body); files: one saved "
                          "response per <store_id>.json file")
+    ap.add_argument("--multi-line-transactions", action="store_true",
+                    help="allow line breaks inside quoted fields of transactions.csv too "
+                         "(the file is then read by one task)")
     ap.add_argument("--master")
     ap.add_argument("--input-gb", type=float,
                     help="size of the largest input; sizes shuffle partitions and splits")
@@ -239,7 +228,8 @@ def main(argv: list[str] | None = None) -> RunResult:
         payload_frame = payloads.read_payload_files(spark, a.payloads)
     else:
         payload_frame = spark.read.schema("store_id int, status int, body string").json(a.payloads)
-    result = run_pipeline(spark, csv.read_sources(spark, a.sources), payload_frame, a.root,
+    multi_line = csv.MULTI_LINE_SOURCES + (("transactions",) if a.multi_line_transactions else ())
+    result = run_pipeline(spark, csv.read_sources(spark, a.sources, multi_line=multi_line), payload_frame, a.root,
                           a.run_date, a.batch_id, a.mode, a.strict_types)
     print(result)
     return result

@@ -19,9 +19,9 @@ from raincheck.functions.dates import day_trunc
 from raincheck.functions.weather import rain_flag, temperature_range, weather_label
 from raincheck.operators import adhoc, aggregates, dims, facts, joins, marts, reports, windows
 from raincheck.plans import pipeline
+from raincheck.plans.fixture import RetailFixture
 from raincheck.session import scratch_path
 from raincheck.sources import csv, payloads, tables
-from raincheck.sources.fixture import RetailFixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,13 +64,6 @@ class Inputs:
     def products(self) -> DataFrame:
         return dims.dim_products(self.fx.staging_products)
 
-    @property
-    def weather_broadcast(self) -> bool:
-        """Broadcast the weather only when its proven row bound is within the
-        session's weather broadcast limit; otherwise shuffle-join it, without
-        counting the derived grid."""
-        return self.fx.weather_row_bound <= joins.weather_broadcast_limit(self.fx.t("supplier"))
-
     @property
     def weather(self) -> DataFrame:
         """Weather records (rain flag, weather-table types). They equal the
@@ -82,8 +75,7 @@ class Inputs:
 @query("top_products_by_weather")
 def q_top_products_by_weather(spark, d):
     i = Inputs(spark, d)
-    return present(reports.top_products_by_weather(i.fact, i.products, i.weather,
-                                                   weather_broadcast=i.weather_broadcast))
+    return present(reports.top_products_by_weather(i.fact, i.products, i.weather))
 
 
 # ---------------------------------------------------------------- D1-D8
@@ -169,8 +161,7 @@ def q_join_store(spark, d):
 @query("join_weather")
 def q_join_weather(spark, d):
     i = Inputs(spark, d)
-    return present(joins.join_weather(_lines(i, "store_id", "date", "invoice_total"), i.weather,
-                                      broadcast=i.weather_broadcast))
+    return present(joins.join_weather(_lines(i, "store_id", "date", "invoice_total"), i.weather))
 
 
 @query("join_product")
@@ -248,23 +239,23 @@ def q_day_offset(spark, d):
 @query("rank_over_aggregate")
 def q_rank_over_aggregate(spark, d):
     i = Inputs(spark, d)
-    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather, i.weather_broadcast)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
     return present(windows.rank_over_aggregate(g, "is_rain", "total_revenue"))
 
 
 @query("top_n_per_group")
 def q_top_n_per_group(spark, d):
     i = Inputs(spark, d)
-    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather, i.weather_broadcast)
+    g = reports.product_revenue_by_weather(i.fact, i.products, i.weather)
     return present(windows.top_n_per_group(g, "is_rain", "total_revenue", 5))
 
 
 def _m1(i: Inputs) -> DataFrame:
-    return marts.region_impact(i.fact, i.stores, i.weather, weather_broadcast=i.weather_broadcast)
+    return marts.region_impact(i.fact, i.stores, i.weather)
 
 
 def _m3(i: Inputs) -> DataFrame:
-    return marts.size_impact(i.fact, i.stores, i.weather, weather_broadcast=i.weather_broadcast)
+    return marts.size_impact(i.fact, i.stores, i.weather)
 
 
 @query("share_of_total")
@@ -281,8 +272,7 @@ def q_region_impact(spark, d):
 @query("product_sensitivity")
 def q_product_sensitivity(spark, d):
     i = Inputs(spark, d)
-    return present(marts.product_sensitivity(i.fact, i.products, i.weather,
-                                             weather_broadcast=i.weather_broadcast))
+    return present(marts.product_sensitivity(i.fact, i.products, i.weather))
 
 
 @query("size_impact")
@@ -337,21 +327,38 @@ def fixture_staging(fx: RetailFixture) -> dict[str, DataFrame]:
 
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, d):
-    """S1 + P10: staged lines written as CSV text, scanned back with header
-    check and null tokens, then loaded into the fact shape."""
+    """S1 + P10: staged lines written as CSV text, scanned back by column
+    name with null tokens, then loaded into the fact shape. The file has its
+    columns in reverse order and one more, and a text cell with padding, a
+    quote and a line break in every row."""
     fx = RetailFixture(spark, d)
-    path = csv.write_csv(fx.staging_transactions, scratch_path(spark, "csv") + "/transactions.csv")
-    back = csv.scan_csv(spark, path, S.CSV_HEADERS["transactions"])
+    stg = fx.staging_transactions.withColumn(
+        "Color", F.concat(F.lit("  \"a\"\n"), F.col("`Product ID`").cast("string"), F.lit(" ")))
+    out = stg.select(*[F.col(f"`{c}`") for c in reversed(stg.columns)], F.lit("x").alias("Not Ours"))
+    path = csv.write_csv(out, scratch_path(spark, "csv") + "/transactions.csv")
+    back = csv.scan_csv(spark, path, S.CSV_HEADERS["transactions"], multi_line=True)
     return present(facts.fact_transactions(back))
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 @query("load_audit")
 def q_load_audit(spark, d):
-    """S2 + S3: rows appended to each staging table, counted while writing."""
+    """S2 + S3: rows appended to each staging table, counted while writing,
+    beside the rows read back."""
     fx = RetailFixture(spark, d)
     staging_dir = scratch_path(spark, "staging")
-    counts = {n: csv.append_staging(df, staging_dir, n) for n, df in fixture_staging(fx).items()}
-    return spark.createDataFrame(sorted(counts.items()), "table_name string, rows bigint")
+    frames = []
+    for n, df in fixture_staging(fx).items():
+        audited = csv.append_staging(df, staging_dir, n)
+        frames.append(csv.read_staging(spark, staging_dir, n).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(n).alias("table_name"), "rows", F.lit(audited).cast("bigint").alias("audited_rows")))
+    return _union(frames)
 
 
 @query("truncate_staging")
@@ -363,37 +370,88 @@ def q_truncate_staging(spark, d):
     names = list(fixture_staging(fx))
     for n, df in fixture_staging(fx).items():
         csv.append_staging(df, staging_dir, n)
-    before = {n: csv.read_staging(spark, staging_dir, n).count() for n in names}
+    # The loaded version stays readable beside the emptied one.
+    loaded = {n: csv.read_staging(spark, staging_dir, n) for n in names}
     csv.truncate_staging(spark, staging_dir, names)
-    after = [csv.read_staging(spark, staging_dir, n).agg(F.count(F.lit(1)).alias("rows_after"))
-             .select(F.lit(csv.STAGING_TABLES[n]).alias("table_name"),
-                     F.lit(before[n]).cast("bigint").alias("rows_before"), "rows_after")
-             for n in names]
-    out = after[0]
-    for a in after[1:]:
-        out = out.unionByName(a)
-    return out
+    frames = []
+    for n in names:
+        before = loaded[n].agg(F.count(F.lit(1)).alias("rows_before"))
+        after = csv.read_staging(spark, staging_dir, n).agg(F.count(F.lit(1)).alias("rows_after"))
+        frames.append(before.crossJoin(after).select(          # one row each
+            F.lit(csv.STAGING_TABLES[n]).alias("table_name"), "rows_before", "rows_after"))
+    return _union(frames)
+
+
+@query("weather_file")
+def q_weather_file(spark, d):
+    """S5 + S6: the dated weather file, written and read back."""
+    records = payloads.weather_records(payloads.flatten_weather(RetailFixture(spark, d).weather_payloads))
+    path = payloads.write_weather_file(records, scratch_path(spark, "weather-file"), RUN_DATE, "b1")
+    return present(payloads.load_weather(spark, path))
 
 
 @query("batch_run")
 def q_batch_run(spark, d):
-    """E1 (+ S5-S7): one full batch into a fresh folder; rows per table."""
+    """E1 (+ S7): one full batch into a fresh folder; columns as written and
+    rows per table."""
     fx = RetailFixture(spark, d)
     root = scratch_path(spark, "pipeline")
     pipeline.run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN_DATE)
     return tables.row_counts(spark, root)
 
 
+@query("batch_marts")
+def q_batch_marts(spark, d):
+    """E1 over two batches: the second run of the day delivers the other
+    half of the stores' weather and one store's request fails; the rows of
+    the three marts that ``run_pipeline`` has written, as (mart, keys,
+    numbers)."""
+    fx = RetailFixture(spark, d)
+    root = scratch_path(spark, "pipeline")
+    stg, answers = fixture_staging(fx), fx.weather_payloads
+    even = F.col("store_id") % 2 == 0
+    nothing = {**stg, "transactions": stg["transactions"].limit(0)}
+    pipeline.run_pipeline(spark, nothing, answers.where(even), root, RUN_DATE, "b1")
+    second = answers.where(~even).unionByName(answers.where(F.col("store_id") == 2).withColumn("status", F.lit(500)))
+    pipeline.run_pipeline(spark, stg, second, root, RUN_DATE, "b2")
+
+    def rows(name, keys, numbers):
+        t = present(tables.read_table(spark, root, name))
+        return t.select(F.lit(name).alias("mart"),
+                        F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys]).alias("keys"),
+                        *[F.col(c).cast("double").alias(f"n{i}") for i, c in enumerate(numbers)])
+    return _union([
+        rows(marts.M1, ["country", "city", "store_size", "is_rain", "sale_date"],
+             ["transaction_count", "total_revenue", "avg_temp_max", "avg_temp_min"]),
+        rows(marts.M2, ["product_id", "category", "sub_category", "is_rain", "temperature_range"],
+             ["transaction_count", "total_quantity", "total_revenue", "total_revenue"]),
+        rows(marts.M3, ["store_size", "is_rain", "temperature_range"],
+             ["transaction_count", "avg_transaction_value", "total_revenue", "total_revenue"])])
+
+
 @query("merge_weather")
 def q_merge_weather(spark, d):
-    """R2: two weather runs share store-days; the newer run wins there and
-    the older run's other days are kept. Run 2 covers even stores on even
-    day numbers, one degree warmer."""
-    i = Inputs(spark, d)
-    w = i.weather
-    run1 = payloads.merge_weather(None, w, dt.date(2025, 3, 1))
+    """R2 through the pipeline's weather table: two runs share store-days;
+    the newer run wins there and the older run's other days are kept. Run 2
+    covers even stores on even day numbers, one degree warmer."""
+    fx = RetailFixture(spark, d)
+    root = scratch_path(spark, "weather")
+    tables.define_table(spark, root, "dim_store_weather")
     dn = F.datediff("date_id", F.lit("1995-01-01").cast("date"))
-    newer = (w.filter((F.col("store_id") % 2 == 0) & (dn % 2 == 0))
-              .withColumn("temp_max", (F.col("temp_max") + 1).cast("decimal(5,2)")))
-    merged = payloads.merge_weather(run1, newer, dt.date(2025, 3, 2))
-    return present(merged)
+    newer = fx.staging_weather.filter((F.col("store_id") % 2 == 0) & (dn % 2 == 0)).withColumn(
+        "temp_max", (F.col("temp_max") + 1).cast("decimal(5,2)"))
+    for day, rows in ((1, fx.staging_weather), (2, newer)):
+        result = pipeline.RunResult(root=root, batch_id=f"b{day}")
+        pipeline.load_weather(spark, fx.payloads_of(rows), root, dt.date(2025, 3, day), "idempotent", result)
+    return present(tables.read_table(spark, root, "dim_store_weather"))
+
+
+@query("weather_requests")
+def q_weather_requests(spark, d):
+    """The forecast requests of the staged stores, and whether a payload
+    came; stores without a shipment have none."""
+    fx = RetailFixture(spark, d)
+    requests = payloads.weather_requests(fx.staging_stores)
+    open_ = payloads.unanswered_requests(requests, fx.weather_payloads).select("store_id", F.lit(False).alias("a"))
+    return present(requests.join(open_, "store_id", "left").withColumn(
+        "answered", F.coalesce("a", F.lit(True))).drop("a"))

@@ -51,6 +51,7 @@ WEATHER_BODY_DDL = ("daily struct<time: array<string>, temperature_2m_max: array
                     "temperature_2m_min: array<double>, precipitation_sum: array<double>>")
 
 # ---------------------------------------------------------------- final tables
+# Table, column and type names are the contract of the warehouse (fixed values).
 DIM_DATES = [
     _c("date_id", "date", not_null=True), _c("year", "int", not_null=True),
     _c("quarter", "int", not_null=True), _c("month", "int", not_null=True),
@@ -176,9 +177,5 @@ def struct_of(cols: list[Col]) -> T.StructType:
     return T.StructType([T.StructField(c.name, spark_type(c.type), not c.not_null) for c in cols])
 
 
-def ddl_of(cols: list[Col]) -> str:
-    return ", ".join(f"`{c.name}` {c.type}" for c in cols)
-
-
 def all_string_schema(headers: list[str]) -> T.StructType:
     return T.StructType([T.StructField(h, T.StringType(), True) for h in headers])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where the aggregate above then needs an
+    # exchange of its own (invoice days of a hot store-day).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Adaptive execution may broadcast a shuffled side once its bytes are known.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
@@ -81,22 +87,14 @@ def build_session(master: str | None = None, app: str = "raincheck",
 _LOCAL_DIRS: dict[str, str] = {}
 
 
-def task_slots(spark: SparkSession) -> int:
-    """Task slots of the cluster (default parallelism); on a session without
-    a local SparkContext (Spark Connect), the shuffle partition count."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext behind this session
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``, or a folder already
-    given to ``setCheckpointDir``). Only when neither is set (a local test
-    run) is a temporary folder created, once per application, and handed to
-    ``setCheckpointDir`` so ``DataFrame.checkpoint()`` uses it too.
+    given to ``setCheckpointDir``). When neither is set, a local session gets
+    a temporary folder, once per application, handed to ``setCheckpointDir``
+    so ``DataFrame.checkpoint()`` uses it too; on a cluster it is an error,
+    because executors do not share the driver's folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -107,13 +105,14 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     d = sc.getCheckpointDir() if sc is not None else None
     if not d:
-        key = sc.applicationId if sc is not None else str(id(spark))
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        key = sc.applicationId
         d = _LOCAL_DIRS.get(key)
         if d is None:
             d = tempfile.mkdtemp(prefix="raincheck-ckpt-")
             _LOCAL_DIRS[key] = d
-            if sc is not None:
-                sc.setCheckpointDir(d)
+            sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -1,8 +1,10 @@
 """CSV ingest and staging tables.
 
-Files are read with their header row, every column as text (no inference),
-and the header must match the expected names. Missing-value spellings are
-mapped to NULL before any cast. Staging tables are Parquet folders.
+Files are read with their header row, every column as text (no inference).
+Columns are picked by name: other columns and any order are fine, a missing
+one is an error that names it. Missing-value spellings are mapped to NULL
+before any cast. Staging tables are Parquet folders with versions, as the
+marts are (``tables``): a failed load or truncate leaves the old rows.
 """
 
 from __future__ import annotations
@@ -13,65 +15,83 @@ from pyspark.sql import functions as F
 from raincheck import schemas as S
 from raincheck.functions.nulls import clean_null_tokens
 from raincheck.operators.dims import SEQ
+from raincheck.sources import tables
 
 STAGING_TABLES = {name: f"staging_{name}" for name in S.CSV_HEADERS}
 
+#: Sources read with line breaks allowed inside quoted fields. Such files are
+#: read by one task each; the transactions have no free text and are split.
+MULTI_LINE_SOURCES = ("customers", "discounts", "employees", "products", "stores")
+
 
 def scan_csv(spark: SparkSession, path: str, headers: list[str], with_seq: bool = False,
              multi_line: bool = False) -> DataFrame:
     """A CSV file (or folder of parts) with a header row, as text columns.
 
-    ``enforceSchema=false`` makes Spark check the header against the names;
-    FAILFAST turns a malformed row into an error instead of a NULL row.
-    Quotes inside quoted fields are doubled (RFC 4180, as pandas writes
-    them). ``multi_line`` allows line breaks inside quoted fields, at the
-    cost of one task per file (such files cannot be split).
+    The columns ``headers`` are selected by name. FAILFAST turns a malformed
+    row into an error instead of a NULL row. Quotes inside quoted fields are
+    doubled (RFC 4180, as pandas writes them). ``multi_line`` allows line
+    breaks inside quoted fields, at the cost of one task per file.
     ``with_seq`` adds an input-order column taken at the scan (it follows
     the order of input splits and of rows within a split).
     """
-    df = (spark.read.option("header", True).option("enforceSchema", False)
-          .option("mode", "FAILFAST").option("multiLine", multi_line)
-          .option("quote", '"').option("escape", '"')
-          .schema(S.all_string_schema(headers)).csv(path))
-    df = clean_null_tokens(df)
+    raw = (spark.read.option("header", True).option("inferSchema", False)
+           .option("mode", "FAILFAST").option("multiLine", multi_line)
+           .option("quote", '"').option("escape", '"').csv(path))
+    missing = [h for h in headers if h not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}; the header has {raw.columns}")
+    df = clean_null_tokens(raw.select(*[F.col(f"`{h}`") for h in headers]))
     return df.withColumn(SEQ, F.monotonically_increasing_id()) if with_seq else df
 
 
-def read_sources(spark: SparkSession, src_dir: str, with_seq: bool = True) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, src_dir: str, with_seq: bool = True,
+                 multi_line=MULTI_LINE_SOURCES) -> dict[str, DataFrame]:
     """The six source files ``{src_dir}/{name}.csv``, keyed by name."""
     return {name: scan_csv(spark, f"{src_dir.rstrip('/')}/{name}.csv", hdr,
-                           with_seq=with_seq and name not in ("transactions", "discounts"))
+                           with_seq=with_seq and name not in ("transactions", "discounts"),
+                           multi_line=name in multi_line)
             for name, hdr in S.CSV_HEADERS.items()}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write a frame as CSV with a header row (NULL as an empty cell,
-    quotes doubled inside quoted fields)."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """Write a frame as CSV with a header row (NULL as an empty cell, quotes
+    doubled inside quoted fields, white space as it is)."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
+def staging_path(staging_dir: str, name: str) -> str:
+    return f"{staging_dir.rstrip('/')}/{STAGING_TABLES[name]}"
+
+
 def append_staging(df: DataFrame, staging_dir: str, name: str, mode: str = "append") -> int:
     """S2 + S3: append one source to its staging table and return the rows
     written, counted by an observation during the write (no second pass).
     ``mode="overwrite"`` replaces what an earlier, unfinished run left."""
     obs = Observation(f"load_{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(
-        f"{staging_dir.rstrip('/')}/{STAGING_TABLES[name]}")
-    return int(obs.get["rows"])
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    path = staging_path(staging_dir, name)
+    now = tables.current_version(df.sparkSession, path) if mode == "append" else None
+    if now:
+        counted.write.mode("append").parquet(now)
+    else:
+        tables.replace_version(counted, path)
+    return int(tables.observed(obs).get("rows", 0))
 
 
 def read_staging(spark: SparkSession, staging_dir: str, name: str) -> DataFrame:
     """S9 for a staging table."""
-    return spark.read.parquet(f"{staging_dir.rstrip('/')}/{STAGING_TABLES[name]}")
+    path = staging_path(staging_dir, name)
+    return spark.read.parquet(tables.current_version(spark, path) or path)
 
 
 def truncate_staging(spark: SparkSession, staging_dir: str, names=None) -> None:
-    """Empty staging tables, keeping their columns."""
+    """Empty staging tables, keeping their columns; a table that was
+    never loaded has nothing to empty."""
     for name in names or list(STAGING_TABLES):
-        path = f"{staging_dir.rstrip('/')}/{STAGING_TABLES[name]}"
-        try:
-            schema = spark.read.parquet(path).schema
-        except Exception:  # noqa: BLE001 - never created: nothing to empty
-            continue
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        path = staging_path(staging_dir, name)
+        now = tables.current_version(spark, path)
+        if now is not None:
+            tables.replace_version(spark.createDataFrame([], spark.read.parquet(now).schema), path)

@@ -18,6 +18,9 @@ from raincheck.functions.weather import rain_flag
 from raincheck.operators.conform import conform
 
 OK_STATUS = 200
+FAILED_STATUS = 400
+#: Days of history that a forecast request asks for (fixed value).
+PAST_DAYS = 92
 _ARRAYS = ["time", "temperature_2m_max", "temperature_2m_min", "precipitation_sum"]
 
 
@@ -26,12 +29,19 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     ``<store_id>.json`` (or ``store_<store_id>.json``), as payload rows
     (store_id, status, body). Each file is read whole, as one row; a file
     holds one store's response, so its size is bounded by the day range.
+    A file name without a store id is an error. The status is taken from the
+    content: a response that says ``"error": true``, or has no ``daily``
+    block, is a failed request.
     """
     raw = spark.read.option("wholetext", True).text(path)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\.json$", 1)
+    file = F.col("_metadata.file_name")
+    name = F.regexp_extract(file, r"(\d+)\.json$", 1)
+    failed = F.coalesce(F.get_json_object("value", "$.error"), F.lit("false")) == "true"
+    failed = failed | F.get_json_object("value", "$.daily").isNull()
     return raw.select(
-        F.when(name != "", name).cast("int").alias("store_id"),
-        F.lit(OK_STATUS).alias("status"),
+        F.when(name != "", name).otherwise(F.raise_error(F.concat(
+            F.lit("no store id in the payload file name "), file))).cast("int").alias("store_id"),
+        F.when(failed, F.lit(FAILED_STATUS)).otherwise(F.lit(OK_STATUS)).alias("status"),
         F.col("value").alias("body"))
 
 
@@ -92,10 +102,12 @@ def weather_file_day(run_date_col) -> F.Column:
     return day_offset(run_date_col, 1)
 
 
-def write_weather_file(records: DataFrame, out_dir: str, run_date: dt.date) -> str:
+def write_weather_file(records: DataFrame, out_dir: str, run_date: dt.date, batch_id: str = "") -> str:
     """Write the flattened weather as CSV with a header, replacing an
-    earlier file of the same run; returns the file's directory."""
+    earlier file of the same batch; returns the file's directory."""
     path = f"{out_dir.rstrip('/')}/weather/{weather_file_name(run_date)}"
+    if batch_id:
+        path += f"/{batch_id}"
     records.select(*S.WEATHER_FILE_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
     return path
 
@@ -110,25 +122,34 @@ def load_weather(spark: SparkSession, path: str) -> DataFrame:
 _VALUES = ["temp_max", "temp_min", "is_rain"]
 
 
-def newest_per_day(rows: DataFrame, keep_run_date: bool = True) -> DataFrame:
-    """One row per (store_id, date_id): the one from the latest run_date.
+def merge_weather(existing: DataFrame | None, incoming: DataFrame, run_date: dt.date) -> DataFrame:
+    """R2: keyed merge on (store_id, date_id): the newest run wins (of one
+    run date, the rows that come in), store-days that do not come in are kept.
+    Returns rows with a ``run_date`` column.
 
-    One aggregate per key (max of a struct led by run_date, then the values,
+    One aggregate per key (max of a struct led by the order, then the values,
     so ties are deterministic); partial aggregation bounds a hot key's work.
     """
-    m = rows.groupBy("store_id", "date_id").agg(F.max(F.struct("run_date", *_VALUES)).alias("_w"))
-    return m.select("store_id", "date_id", *[F.col(f"_w.{c}").alias(c) for c in _VALUES],
-                    *([F.col("_w.run_date").alias("run_date")] if keep_run_date else []))
-
-
-def merge_weather(existing: DataFrame | None, incoming: DataFrame, run_date: dt.date) -> DataFrame:
-    """R2: keyed merge on (store_id, date_id): the newest run wins, days not
-    in the new run are kept. Returns rows with a ``run_date`` column."""
-    new = incoming.withColumn("run_date", F.lit(run_date))
-    both = new if existing is None else existing.select(*new.columns).unionByName(new)
-    return newest_per_day(both)
-
-
-def current_weather(history: DataFrame) -> DataFrame:
-    """The weather table as the marts see it: newest run per store-day."""
-    return newest_per_day(history, keep_run_date=False)
+    order = F.struct("run_date", "_new", *_VALUES)
+    both = incoming.withColumn("run_date", F.lit(run_date)).withColumn("_new", F.lit(1))
+    if existing is not None:
+        both = existing.withColumn("_new", F.lit(0)).select(*both.columns).unionByName(both)
+    m = both.groupBy("store_id", "date_id").agg(F.max(order).alias("_w"))
+    return m.select("store_id", "date_id", *[F.col(f"_w.{c}").alias(c) for c in (*_VALUES, "run_date")])
+
+
+# ---------------------------------------------------------------- requests
+def weather_requests(staging_stores: DataFrame, past_days: int = PAST_DAYS) -> DataFrame:
+    """The forecast requests of a batch: one per staged store, with its
+    position and the days of history to ask for."""
+    return staging_stores.select(
+        F.col("`Store ID`").cast("int").alias("store_id"),
+        F.col("`Latitude`").cast("decimal(9,6)").alias("latitude"),
+        F.col("`Longitude`").cast("decimal(9,6)").alias("longitude"),
+        F.lit(past_days).alias("past_days")).distinct()
+
+
+def unanswered_requests(requests: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Requests without a successful payload."""
+    ok = payloads.where(F.col("status") == OK_STATUS).select(F.col("store_id").cast("int").alias("store_id"))
+    return requests.join(ok, "store_id", "left_anti")

@@ -1,24 +1,39 @@
 """Final tables as Parquet folders under one output root.
 
-Layout, chosen so that no job overwrites a path it reads:
+Layout, chosen so that no job overwrites a path it reads and a failed job
+leaves the table as it was:
   dimensions with a key  -> append only (insert-if-absent)
   fact, discounts        -> partitioned by batch_id; a batch is replaced
                             (dynamic partition overwrite) or appended
-  weather                -> partitioned by run_date; read through the
-                            newest-run-wins merge
-  marts                  -> overwritten from all history (or appended)
+  weather, marts         -> versions: each replacement is a folder of its own
+                            (``v00000007``), and the newest one whose job has
+                            committed (``_SUCCESS``) is the table
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from raincheck import schemas as S
 
-BATCH_PARTITIONED = {"fact_transactions": "batch_id", "dim_discounts": "batch_id",
-                     "dim_store_weather": "run_date"}
+BATCH_PARTITIONED = {"fact_transactions": "batch_id", "dim_discounts": "batch_id"}
+VERSIONED = {"dim_store_weather", *S.STRICT_MARTS}
+#: Committed versions that stay: the current one and the one readers may still hold.
+KEPT_VERSIONS = 2
+
+
+def observed(obs: Observation) -> dict:
+    """The metrics of an observed write; none when the optimizer proved the
+    input empty and removed the plan that would have counted it."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
 
 
 def table_path(root: str, name: str) -> str:
@@ -27,20 +42,74 @@ def table_path(root: str, name: str) -> str:
 
 def table_schema(name: str) -> T.StructType:
     st = S.struct_of(S.TABLES[name])
-    part = BATCH_PARTITIONED.get(name)
-    if part == "batch_id":
-        st = st.add("batch_id", T.StringType())
-    elif part == "run_date":
+    if name in BATCH_PARTITIONED:
+        st = st.add(BATCH_PARTITIONED[name], T.StringType())
+    elif name == "dim_store_weather":
         st = st.add("run_date", T.DateType())
     return st
 
 
+# ---------------------------------------------------------------- versions
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(number, committed) of the version folders under a path, ascending."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for status in fs.listStatus(p):
+        m = re.fullmatch(r"v(\d+)", status.getPath().getName())
+        if m:
+            done = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+            out.append((int(m.group(1)), bool(done)))
+    return sorted(out)
+
+
+def _version_path(path: str, k: int) -> str:
+    return f"{path.rstrip('/')}/v{k:08d}"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest committed version, None before the first."""
+    done = [k for k, ok in _versions(spark, path) if ok]
+    return _version_path(path, done[-1]) if done else None
+
+
+def replace_version(df: DataFrame, path: str) -> str:
+    """Write ``df`` as the next version; readers see it once the job commits.
+
+    ``df`` may read the current version. A failed write leaves a folder
+    without ``_SUCCESS``, which nobody reads and a later replacement removes.
+    """
+    spark = df.sparkSession
+    before = _versions(spark, path)
+    new = _version_path(path, before[-1][0] + 1 if before else 1)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(new)
+    committed = [k for k, ok in before if ok]
+    keep = set(committed[-(KEPT_VERSIONS - 1):])
+    fs, _ = _fs(spark, path)
+    for k, _ok in before:
+        if k not in keep:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(_version_path(path, k)), True)
+    return new
+
+
+# ---------------------------------------------------------------- tables
 def define_table(spark: SparkSession, root: str, name: str) -> None:
-    """Create one final table if absent: an empty write in "ignore" mode
-    leaves existing data alone."""
-    w = spark.createDataFrame([], table_schema(name)).write.mode("ignore")
+    """Create one final table if absent; existing data is left alone."""
+    empty = spark.createDataFrame([], table_schema(name))
+    path = table_path(root, name)
+    if name in VERSIONED:
+        if current_version(spark, path) is None:
+            replace_version(empty, path)
+        return
+    w = empty.write.mode("ignore")
     part = BATCH_PARTITIONED.get(name)
-    (w.partitionBy(part) if part else w).parquet(table_path(root, name))
+    (w.partitionBy(part) if part else w).parquet(path)
 
 
 def define_tables(spark: SparkSession, root: str) -> list[str]:
@@ -52,40 +121,56 @@ def define_tables(spark: SparkSession, root: str) -> list[str]:
     return list(S.TABLES)
 
 
+def data_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder that holds a table's rows now."""
+    path = table_path(root, name)
+    return (current_version(spark, path) or path) if name in VERSIONED else path
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A final table with its declared schema (partition column last)."""
-    return spark.read.schema(table_schema(name)).parquet(table_path(root, name))
+    return spark.read.schema(table_schema(name)).parquet(data_path(spark, root, name))
 
 
 def append_rows(df: DataFrame, root: str, name: str) -> None:
-    df.write.mode("append").parquet(table_path(root, name))
+    df.write.mode("append").parquet(data_path(df.sparkSession, root, name))
 
 
-def write_partitioned(df: DataFrame, root: str, name: str, mode: str) -> None:
-    """Write into the table's batch partitions.
+def write_batch(df: DataFrame, root: str, name: str, batch_id: str, mode: str) -> None:
+    """Write one batch of a batch-partitioned table.
 
-    ``mode="idempotent"``: only the partitions present in ``df`` are
-    replaced (re-running a batch replaces it, other batches stay).
-    ``mode="append"``: rows are added, as a plain INSERT would.
+    ``mode="idempotent"``: the batch's partition is replaced, also by nothing
+    when ``df`` is empty; other batches stay. ``mode="append"``: rows are
+    added, as a plain INSERT would.
     """
-    part = BATCH_PARTITIONED[name]
-    w = df.write.partitionBy(part)
+    part, path = BATCH_PARTITIONED[name], table_path(root, name)
+    obs = Observation(f"batch_{name}")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).withColumn(part, F.lit(batch_id)).write.partitionBy(part)
     if mode == "append":
-        w.mode("append").parquet(table_path(root, name))
-    else:
-        (w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .parquet(table_path(root, name)))
+        w.mode("append").parquet(path)
+        return
+    w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if not int(observed(obs).get("rows", 0)):
+        # A dynamic overwrite touches only partitions that get rows.
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+        fs, p = _fs(spark, f"{path}/{part}={folder}")
+        fs.delete(p, True)
 
 
 def overwrite(df: DataFrame, root: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(table_path(root, name))
+    """Replace a versioned table."""
+    replace_version(df, table_path(root, name))
 
 
 def row_counts(spark: SparkSession, root: str, names=None) -> DataFrame:
-    """(table_name, rows) for the given tables, counted by Spark."""
-    frames = [read_table(spark, root, n).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(n).alias("table_name"), "rows") for n in (names or S.TABLES)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    """(table_name, columns, rows): the column names and types as written, and
+    the rows counted by Spark."""
+    out = None
+    for n in names or S.TABLES:
+        written = spark.read.parquet(data_path(spark, root, n))
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in written.schema.fields)
+        f = read_table(spark, root, n).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(n).alias("table_name"), F.lit(columns).alias("columns"), "rows")
+        out = f if out is None else out.unionByName(f)
     return out

@@ -85,7 +85,7 @@ def test_shared_dir_uses_session_setting_or_one_local_folder():
     from raincheck import session
 
     class Ctx:
-        applicationId = "app-x"
+        applicationId, master = "app-x", "local[2]"
         def __init__(self): self.dir = None
         def getCheckpointDir(self): return self.dir
         def setCheckpointDir(self, d): self.dir = d + "/uuid"

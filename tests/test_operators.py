@@ -128,3 +128,49 @@ def test_read_saved_responses(spark):
     rows = payloads.flatten_weather(payloads.read_payload_files(spark, d)).collect()
     assert sorted((r.store_id, r.date_id) for r in rows) == [
         (7, "2025-03-01"), (7, "2025-03-02"), (12, "2025-03-01")]
+
+
+def test_payload_file_without_a_store_id_fails(spark):
+    import tempfile
+    d = tempfile.mkdtemp(prefix="raincheck-pay-")
+    with open(f"{d}/north.json", "w") as f:
+        f.write("{}")
+    with pytest.raises(Exception, match="north.json"):
+        payloads.read_payload_files(spark, d).collect()
+
+
+def test_payload_file_status_comes_from_its_content(spark):
+    import tempfile
+    d = tempfile.mkdtemp(prefix="raincheck-pay-")
+    for store, body in [(1, '{"error": true, "reason": "limit"}'), (2, "not json"), (3, '{"daily": {"time": []}}')]:
+        with open(f"{d}/{store}.json", "w") as f:
+            f.write(body)
+    got = {r.store_id: r.status for r in payloads.read_payload_files(spark, d).collect()}
+    assert got == {1: payloads.FAILED_STATUS, 2: payloads.FAILED_STATUS, 3: payloads.OK_STATUS}
+
+
+def test_pivot_of_colliding_and_non_latin_categories(spark):
+    import tempfile
+
+    from raincheck.operators import adhoc
+    names = ["A B", "A-B", "a b", "漢字", "かな", "!!", None]
+    products = H.products(spark, [dict(product_id=i, category=c) for i, c in enumerate(names)])
+    fact = H.fact(spark, [dict(product_id=i, quantity=i + 1, line_total=float(i)) for i in range(len(names))])
+    out = adhoc.category_pivot(fact, products)
+    assert len({c.lower() for c in out.columns}) == 2 + 2 * 6
+    assert {"漢字_quantity", "かな_amount"} <= set(out.columns)
+    path = tempfile.mkdtemp(prefix="raincheck-pivot-") + "/t"
+    out.write.parquet(path)
+    row = spark.read.parquet(path).first()
+    assert sorted(row[c] for c in out.columns if c.endswith("_quantity")) == [1, 2, 3, 4, 5, 6]
+
+
+def test_weather_of_the_same_day_that_comes_in_wins(spark):
+    day = dt.date(2025, 3, 5)
+    old = H.weather(spark, [dict(store_id=1, date_id=D, temp_max=Decimal("9.00")), dict(store_id=2, date_id=D)])
+    new = H.weather(spark, [dict(store_id=1, date_id=D, temp_max=Decimal("1.00"))])
+    held = payloads.merge_weather(None, old, day)
+    again = payloads.merge_weather(held, new, day).collect()
+    assert {r.store_id: r.temp_max for r in again} == {1: Decimal("1.00"), 2: Decimal("15.00")}
+    late = payloads.merge_weather(held, new, dt.date(2025, 3, 1)).collect()
+    assert {r.store_id: r.temp_max for r in late} == {1: Decimal("9.00"), 2: Decimal("15.00")}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from raincheck.plans.pipeline import run_pipeline
 from raincheck.plans.registry import fixture_staging
 from raincheck.sources import csv, tables
-from raincheck.sources.fixture import RetailFixture
+from raincheck.plans.fixture import RetailFixture
 
 RUN = dt.date(2025, 3, 1)
 
@@ -38,7 +38,8 @@ def test_batch_rerun_is_idempotent_and_new_batch_adds(spark, fx):
     r = run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, batch_id="b1")
     first = counts(spark, root)
     rev1 = revenue(spark, root)
-    assert r.weather_file.endswith("/weather/2025-02-28")
+    assert r.weather_file.endswith("/weather/2025-02-28/b1")
+    assert r.unanswered_stores == 0
     assert os.path.isdir(r.weather_file)
     assert r.audit["transactions"] == first["fact_transactions"]
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, batch_id="b1")
@@ -78,13 +79,26 @@ def test_bad_value_commits_nothing(spark, fx):
     assert fact.count() == 0
 
 
-def test_csv_header_mismatch_fails(spark):
+def test_csv_missing_column_is_named(spark):
     d = tempfile.mkdtemp(prefix="raincheck-csv-")
     path = f"{d}/stores.csv"
     with open(path, "w") as f:
         f.write("Store ID,Country\n1,X\n")
-    with pytest.raises(Exception):
-        csv.scan_csv(spark, path, ["Store ID", "Nation"]).collect()
+    with pytest.raises(ValueError, match="Nation"):
+        csv.scan_csv(spark, path, ["Store ID", "Nation"])
+
+
+def test_csv_extra_and_reordered_columns_padding_and_line_breaks(spark):
+    d = tempfile.mkdtemp(prefix="raincheck-csv-")
+    path = f"{d}/stores.csv"
+    with open(path, "w") as f:
+        f.write('More,Country,Store ID\nx,"two\nlines",1\ny,  pad  ,2\n')
+    scan = csv.scan_csv(spark, path, ["Store ID", "Country"], multi_line=True)
+    assert scan.columns == ["Store ID", "Country"]
+    want = {"1": "two\nlines", "2": "  pad  "}
+    assert {r["Store ID"]: r["Country"] for r in scan.collect()} == want
+    back = csv.scan_csv(spark, csv.write_csv(scan, f"{d}/again"), ["Store ID", "Country"], multi_line=True)
+    assert {r["Store ID"]: r["Country"] for r in back.collect()} == want
 
 
 def test_csv_null_tokens_become_null(spark):
@@ -128,24 +142,6 @@ def test_pipeline_from_csv_files_equals_typed_run(spark, fx):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_shuffle_join_path_gives_same_marts(spark, fx):
-    """Weather above the broadcast bound: fact x weather is shuffled once and
-    kept for the three marts; results equal the broadcast path."""
-    small = fresh_root()
-    r1 = run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, small, RUN)
-    spark.conf.set("raincheck.weather.broadcastMaxRows", "0")
-    try:
-        big = fresh_root()
-        r2 = run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, big, RUN)
-    finally:
-        spark.conf.unset("raincheck.weather.broadcastMaxRows")
-    assert (r1.mart_lines, r1.unmatched_lines) == (r2.mart_lines, r2.unmatched_lines)
-    for m in ("data_mart_weather_region_impact", "data_mart_product_weather_sensitivity",
-              "data_mart_store_size_weather_impact"):
-        a, b = tables.read_table(spark, small, m), tables.read_table(spark, big, m)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_dashboard_over_written_warehouse_equals_direct_queries(spark, fx, small_sf):
     from raincheck.plans import dashboard
     from raincheck.plans.registry import QUERIES, present
@@ -209,20 +205,20 @@ def test_sql_over_registered_views_equals_panels(spark, fx):
     root = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
     dashboard.register_views(spark, root)
+    names = set(dashboard.register_views(spark, root))
+    assert {"staging_stores", "staging_transactions"} <= names
+    assert spark.sql("select * from staging_stores").count() == 0          # emptied after the load
     q2 = spark.sql("""
-        with ranked as (
-          select p.category, p.sub_category, w.is_rain,
-                 sum(cast(f.line_total as decimal(18,4))) as total_revenue,
-                 rank() over (partition by w.is_rain
-                              order by sum(cast(f.line_total as decimal(18,4))) desc nulls first) as rnk
-          from fact_transactions f
-          join dim_products p on f.product_id = p.product_id
-          join dim_store_weather w on f.store_id = w.store_id and f.date = w.date_id
-          group by p.category, p.sub_category, w.is_rain)
-        select category, sub_category,
-               case when is_rain then 'Rainy' else 'Not Rainy' end as weather_condition,
-               cast(total_revenue as double) as total_revenue
-        from ranked where rnk <= 5""")
+        select category, sub_category, if(is_rain, 'Rainy', 'Not Rainy') weather_condition,
+               cast(revenue as double) total_revenue
+        from (select *, rank() over (partition by is_rain order by revenue desc nulls first) place
+              from (select category, sub_category, is_rain, sum(cast(line_total as decimal(18,4))) revenue
+                    from fact_transactions
+                    join dim_products using (product_id)
+                    join dim_store_weather on dim_store_weather.store_id = fact_transactions.store_id
+                                          and date_id = date
+                    group by all))
+        where place <= 5""")
     panel = present(dashboard.panels(spark, root)["top_products_by_weather"])
     assert q2.exceptAll(panel).count() == 0 and panel.exceptAll(q2).count() == 0
     q4 = spark.sql("""
@@ -254,12 +250,121 @@ def test_command_line_with_saved_response_files(spark, fx):
 def test_strict_types_write_the_declared_mart_widths(spark, fx):
     root = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, strict_types=True)
-    m3 = spark.read.parquet(f"{root}/data_mart_store_size_weather_impact")
+    m3 = spark.read.parquet(tables.data_path(spark, root, "data_mart_store_size_weather_impact"))
     types = {f.name: f.dataType.simpleString() for f in m3.schema.fields}
     assert types["total_revenue"] == "decimal(12,2)" and types["transaction_count"] == "int"
     default = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, default, RUN)
-    d3 = spark.read.parquet(f"{default}/data_mart_store_size_weather_impact")
+    d3 = spark.read.parquet(tables.data_path(spark, default, "data_mart_store_size_weather_impact"))
     assert {f.name: f.dataType.simpleString() for f in d3.schema.fields}["total_revenue"] == "decimal(18,2)"
     assert sorted(map(tuple, m3.select("store_size", "total_revenue").collect())) == \
         sorted(map(tuple, d3.select("store_size", "total_revenue").collect()))
+
+
+def store_days(spark, root):
+    t = tables.read_table(spark, root, "dim_store_weather")
+    return {r.store_id: r["count"] for r in t.groupBy("store_id").count().collect()}
+
+
+def test_second_batch_of_a_day_keeps_the_first_one_s_weather(spark, fx):
+    root = fresh_root()
+    even = F.col("store_id") % 2 == 0
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads.where(even), root, RUN, batch_id="b1")
+    first = store_days(spark, root)
+    r = run_pipeline(spark, fixture_staging(fx), fx.weather_payloads.where(~even), root, RUN, batch_id="b2")
+    both = store_days(spark, root)
+    assert first and {k: both[k] for k in first} == first and len(both) > len(first)
+    assert r.unanswered_stores == len(first)
+    assert both == {r.store_id: r["count"] for r in fx.staging_weather.groupBy("store_id").count().collect()}
+
+
+def test_rerun_with_a_failed_store_keeps_its_days(spark, fx):
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, batch_id="b1")
+    before = store_days(spark, root)
+    some = sorted(before)[0]
+    broken = fx.weather_payloads.withColumn("status", F.when(F.col("store_id") == some, 500).otherwise(F.col("status")))
+    r = run_pipeline(spark, fixture_staging(fx), broken, root, RUN, batch_id="b1")
+    assert r.failed_payloads == 1 and r.unanswered_stores == 1
+    assert store_days(spark, root) == before
+
+
+def test_failed_mart_write_leaves_the_mart(spark, fx):
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
+    name = "data_mart_store_size_weather_impact"
+    before = sorted(map(str, tables.read_table(spark, root, name).collect()))
+    bad = tables.read_table(spark, root, name).withColumn(
+        "store_size", F.when(F.col("store_size").isNotNull(), F.raise_error(F.lit("no"))).cast("string"))
+    with pytest.raises(Exception):
+        tables.overwrite(bad, root, name)
+    assert sorted(map(str, tables.read_table(spark, root, name).collect())) == before
+    tables.overwrite(tables.read_table(spark, root, name).limit(1), root, name)      # reads what it replaces
+    assert tables.read_table(spark, root, name).count() == 1
+
+
+def test_rerun_with_an_empty_source_empties_its_batch(spark, fx):
+    root = fresh_root()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, batch_id="b1")
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, batch_id="b2")
+    had = counts(spark, root)["dim_discounts"]
+    stg = fixture_staging(fx)
+    run_pipeline(spark, {**stg, "discounts": stg["discounts"].where("Discont is null")}, fx.weather_payloads, root, RUN,
+                 batch_id="b1")
+    left = tables.read_table(spark, root, "dim_discounts").groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in left} == {"b2": had // 2}
+
+
+def test_failing_staging_read_is_not_swallowed(spark):
+    d = tempfile.mkdtemp(prefix="raincheck-stg-")
+    os.makedirs(f"{d}/staging_stores/v00000001")
+    with open(f"{d}/staging_stores/v00000001/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    open(f"{d}/staging_stores/v00000001/_SUCCESS", "w").close()
+    with pytest.raises(Exception):
+        csv.truncate_staging(spark, d, ["stores"])
+    csv.truncate_staging(spark, d, ["customers"])        # never loaded: nothing to empty
+
+
+def test_line_breaks_load_through_the_command_line(spark, fx):
+    from raincheck.plans import pipeline
+    src = tempfile.mkdtemp(prefix="raincheck-src-")
+    stg = fixture_staging(fx)
+    stg["products"] = stg["products"].withColumn("Description EN", F.concat(F.col("`Description EN`"), F.lit("\n line two")))
+    stg["transactions"] = stg["transactions"].withColumn("SKU", F.lit("a\nb"))
+    for name, df in stg.items():
+        csv.write_csv(df, f"{src}/{name}.csv")
+    pay = tempfile.mkdtemp(prefix="raincheck-pay-") + "/payloads"
+    fx.weather_payloads.write.json(pay)
+    root = fresh_root()
+    pipeline.main(["--sources", src, "--payloads", pay, "--root", root, "--run-date", "2025-03-01",
+                   "--multi-line-transactions"])
+    got = tables.read_table(spark, root, "dim_products").where(F.col("description_en").endswith("\n line two")).count()
+    assert got == stg["products"].count()
+    assert tables.read_table(spark, root, "fact_transactions").where("sku = 'a\nb'").count() == stg["transactions"].count()
+
+
+def test_reports_are_sorted(spark, fx, small_sf):
+    from raincheck.plans.registry import QUERIES
+
+    def none_last(*values):
+        return tuple((v is None, v) for v in values)
+    q1 = QUERIES["revenue_by_weather_over_time"](spark, small_sf).collect()
+    assert len(q1) > 1 and [r.time for r in q1] == sorted((r.time for r in q1), key=none_last)
+    q2 = QUERIES["top_products_by_weather"](spark, small_sf).collect()
+    assert [(r.weather_condition == "Rainy", -r.total_revenue) for r in q2] == sorted(
+        (r.weather_condition == "Rainy", -r.total_revenue) for r in q2)
+    q3 = QUERIES["revenue_by_size_and_temperature"](spark, small_sf).collect()
+    assert [none_last(r.store_size, r.temperature_range) for r in q3] == sorted(
+        none_last(r.store_size, r.temperature_range) for r in q3)
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from raincheck import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                           sparkContext=SimpleNamespace(master="spark://h:7077", applicationId="a",
+                                                        getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(fake)

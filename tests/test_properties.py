@@ -45,12 +45,17 @@ def test_input_order_changes_nothing(inputs):
 def test_broadcast_and_shuffle_join_agree(spark, inputs):
     i = inputs
     a = marts.size_impact(i.fact, i.stores, i.weather)
-    spark.conf.set("raincheck.weather.broadcastMaxRows", "0")
+    want = sorted(a.collect(), key=str)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
     try:
+        for k in keys:
+            spark.conf.set(k, "-1")
         b = marts.size_impact(i.fact, i.stores, i.weather)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        assert sorted(b.collect(), key=str) == want
     finally:
-        spark.conf.unset("raincheck.weather.broadcastMaxRows")
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_hot_store_day_is_split_and_exact(spark, inputs):
@@ -68,7 +73,8 @@ def test_hot_store_day_is_split_and_exact(spark, inputs):
     skewed = fact.unionByName(copies)
     expected = marts.size_impact(skewed, i.stores, i.weather, strict=False)
     want = expected.collect()
-    conf = {"raincheck.weather.broadcastMaxRows": "0",
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
