@@ -145,3 +145,30 @@ def query(spark, sf_dir: str) -> DataFrame:
         F.sha2(said, 256).alias("turns_sha256"),
         F.length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+# What the grammar writes, from its definition: escaped where reading the raw
+# text back would change it or end the turn early.
+ORACLE = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, regexp_matches(text, '\\[\\#<:]') OR contains(' ' || text, ' </turn>' || chr(10)) AS conflict,
+    length(replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn', '\</turn')) AS escaped,
+    length(replace(replace(replace(replace(role, '\', '\\'), '###', '\#\#\#'), '</turn', '\</turn'), ':', '\:'))
+      + CASE WHEN regexp_matches(role, '^[a-z]') THEN 0 ELSE 2 END AS head
+  FROM turns
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(4 + head + 2 + CASE WHEN conflict THEN escaped ELSE length(text) END + 9) AS formatted_chars
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""

@@ -280,3 +280,35 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, hot: int = HOT, bucket_byte
 
 def query(spark, sf_dir: str) -> DataFrame:
     return dedup_bytes(C.table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+ORACLE = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), chunks AS (
+  SELECT doc_id, c, substr(x, 2 * c + 1, 1198) AS x
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99, 500)) AS c FROM bytes WHERE len(x) >= 200)
+), windows AS (
+  SELECT doc_id, c + i AS p, md5(substr(x, 2 * i + 1, 200)) AS s
+  FROM (SELECT doc_id, c, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM chunks)
+), later AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1
+), marked AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, true) AS opens FROM later
+), numbered AS (
+  SELECT doc_id, p, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked
+), spans AS (
+  SELECT doc_id, run, min(p) AS lo, max(p) + 100 AS hi FROM numbered GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS kept_from FROM spans
+), kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * kept_from + 1, 2 * (lo - kept_from)), '' ORDER BY lo) AS head,
+    max(hi) AS tail_from, sum(hi - lo) AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT bytes.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(tail_from, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)
+"""

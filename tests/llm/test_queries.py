@@ -25,7 +25,7 @@ def test_one_query_per_operator():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_against_duckdb(llm_spark, small_sf, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small_sf}/{t}.parquet'")
     want = con.execute(queries.ORACLE[name])
     columns = [c[0] for c in want.description]
