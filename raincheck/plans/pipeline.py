@@ -83,14 +83,15 @@ def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) ->
 
 def load_weather(spark: SparkSession, payload_frame: DataFrame, root: str, run_date: dt.date,
                  mode: str, result: RunResult) -> None:
-    """Flatten the payloads, write the dated weather file, and load the same
-    records into the weather table: merged by store-day (or appended)."""
+    """Flatten the payloads once; from the flattened records write the dated
+    weather file and load the weather table: merged by store-day (or appended)."""
     obs = Observation("weather_payloads")
     records = payloads.weather_records(payloads.flatten_weather(payload_frame, obs))
+    records = spark.read.parquet(tables.replace_version(records, f"{root}/work/weather_records"))
     result.weather_file = payloads.write_weather_file(records, root, run_date, result.batch_id)
     got = tables.observed(obs)
     result.payloads, result.failed_payloads = int(got.get("payloads", 0)), int(got.get("failed_payloads", 0))
-    incoming = payloads.store_weather(payloads.weather_records(payloads.flatten_weather(payload_frame)))
+    incoming = payloads.store_weather(records)
     if mode == "append":
         tables.append_rows(incoming.withColumn("run_date", F.lit(run_date)), root, "dim_store_weather")
         return
