@@ -44,7 +44,7 @@ from raincheck.llm import common as C
 
 WIDTH = 100
 GRAM = 32
-BUCKET_BYTES = 1_000_000
+BUCKET_BYTES = 200_000
 HOT = 2_000
 
 PLACES = "d bigint, tag int, start bigint, n int"
@@ -81,32 +81,28 @@ class Collection:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(offsets) - 1
         first, last = offsets[:-1].astype(np.int32), offsets[1:].astype(np.int32)
-        # Preceding symbol of every place: a byte + 1, or 0 where a string begins.
-        before = np.zeros(len(data) + 1, np.uint16)
+        # Preceding symbol of every place: a byte + 1, or 0 where a string
+        # begins. UTF-8 has no byte 255, so one byte is enough.
+        kind = np.uint8 if not len(data) or data.max() < 255 else np.uint16
+        before = np.zeros(len(data) + 1, kind)
         before[1:] = data
         before[1:] += 1
-        starts = np.zeros(len(data) + 1, bool)
-        starts[first] = True
-        self.place = last.copy()                     # round 0: the n empty suffixes
-        self.string = np.arange(n, dtype=np.int32)
         at_end = before[last]
         at_end[first == last] = 0
-        self.bwt = at_end
-        string0 = self.string
+        before[first] = 0
+        self.place, self.bwt = last, at_end          # round 0: the n empty suffixes
         for _ in range(int((last - first).max()) if n else 0):
             order = np.argsort(self.bwt, kind="stable")
             order = order[np.count_nonzero(self.bwt == 0):]      # a whole string has no longer suffix
             place = self.place[order] - 1
-            self.string = np.concatenate((string0, self.string[order]))
-            grown = before[place]
-            grown[starts[place]] = 0
             self.place = np.concatenate((last, place))
-            self.bwt = np.concatenate((at_end, grown))
+            self.bwt = np.concatenate((at_end, before[place]))
+        self.string = np.concatenate((np.arange(n), np.searchsorted(offsets, self.place[n:], "right") - 1))
 
     def repeats(self, data: np.ndarray, offsets: np.ndarray, width: int, d: np.ndarray, start: np.ndarray):
         """(string, place in it) of every ``width``-byte string that occurs earlier."""
         room = offsets[self.string + 1] - self.place >= width
-        string, place = self.string[room].astype(np.int64), self.place[room].astype(np.int64)
+        string, place = self.string[room], self.place[room].astype(np.int64)
         if not len(string):
             return string, place
         same = np.ones(len(string), bool)
@@ -154,8 +150,9 @@ def _strings(hot_at: int, buckets: int, width: int):
                 head = np.maximum.accumulate(np.where(new, np.arange(len(part)), 0))
                 later = (d[row] != d[row[head]]) | (part != part[head])
                 if later.any():
-                    yield _batch(np.zeros(int(later.sum()), np.int64), d[row[later]], tag[row[later]], part[later],
-                                 np.full(int(later.sum()), -1), [None] * int(later.sum()))
+                    docs = d[row[later]]                  # settled: spread by document
+                    yield _batch(docs % buckets, docs, tag[row[later]], part[later],
+                                 np.full(len(docs), -1), [None] * len(docs))
                 one = np.ones(int((~later).sum()), np.int64)
                 yield from _emit(data, offsets, row[~later], part[~later], one, C.mix(key[~later] ^ h1[~later]),
                                  d, tag, buckets, width)
