@@ -1,19 +1,24 @@
 """Document fingerprints by winnowing.
 
-Operator 8 [native]. A text is cut into pieces (runs of at most ``piece``
-non-space characters, counted from the start of each word). Every k
-consecutive pieces give a hash that rolls along the text; of every ``window``
-consecutive k-gram hashes the smallest is chosen, the rightmost of equal ones,
-and kept once with its position. Any run of ``window + k - 1`` pieces that two
-texts share therefore gives both a common hash. Only built-in SQL functions
-are used.
+Operator 8 [native]. A k-gram is ``CHARS`` consecutive non-space characters
+(code points), and one starts at every such character of the text; each is
+hashed as a whole (64 bits of the string; SQL has no rolling hash). Of every
+``window`` consecutive k-gram hashes the smallest is chosen, the rightmost of
+equal ones, and kept once with its position. Any ``window + k - 1`` non-space
+characters that two texts share, at whatever offsets, therefore give both a
+common hash (``with_char_fingerprint``). Only built-in SQL functions are used.
+
+``with_fingerprint`` does the same over pieces (runs of at most ``piece``
+non-space characters, counted from the start of each word). Its guarantee is
+in pieces, so it does not hold inside runs longer than a piece, where equal
+passages may be cut at other offsets; the query does not use it.
 
 A chosen hash is one bigint: 32 bits of hash (stored complemented) above 32
 bits of position, so that the plain maximum is the smallest hash and, among
 equals, the rightmost position.
 
-Defined results: null text: empty; a text with no pieces has an empty
-fingerprint, one with fewer than k pieces a single hash of all it has; two
+Defined results: null text: empty; a text with no units (characters, pieces) has an empty
+fingerprint, one with fewer than k a single hash of all it has; two
 empty fingerprints have likeness 1, one empty one 0. Documents are ordered by
 (id, null first; hash of the text); repeated rows follow one another. An empty
 table gives no rows; columns outside ``doc_id`` and ``text`` are not read.
@@ -26,9 +31,15 @@ from pyspark.sql import functions as F
 
 from raincheck.llm.common import doc_key, row_key, stored
 
+#: Characters of a k-gram, and k-grams of a window.
+CHARS = 16
+CHAR_WINDOW = 16
+#: The same in pieces, and characters of a piece.
 K = 3
 WINDOW = 4
 PIECE = 8
+#: k-grams of a text whose strings are in memory at a time.
+_CHUNK = 4_096
 #: Documents that one ordered run of the next-document step aims at.
 RUN_ROWS = 2_000
 _RANKS = 256
@@ -36,6 +47,46 @@ _RANKS = 256
 _HASH_BITS = -(1 << 32)
 
 
+def _tagged(g: Column, i: Column) -> Column:
+    return g.bitwiseAND(F.lit(_HASH_BITS)).bitwiseOR(i.cast("bigint"))
+
+
+def _empty() -> Column:
+    return F.expr("cast(array() as array<bigint>)")
+
+
+def with_char_fingerprint(df: DataFrame, text: str, out: str, k: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
+    """Add ``out``: the chosen hashes with positions, in order of position; a
+    k-gram at every non-space character, positions counted in those.
+
+    A lookahead reads the k-gram at a place and moves on by one character. The
+    text is taken in chunks that overlap by k - 1 characters, so the strings
+    of one chunk only are in memory, however long the text.
+    """
+    c, v = f"__c_{out}", f"__v_{out}"
+    df = df.withColumn(c, F.regexp_replace(text, r"\s+", ""))
+    grams = F.lit(r"(?s)(?=(.{%d}))." % k)
+    chunks = F.regexp_extract_all(c, F.lit(r"(?s)(?=(.{1,%d})).{1,%d}" % (_CHUNK + k - 1, _CHUNK)), F.lit(1))
+    n = F.length(c)
+    df = df.withColumn(v, F.when(n >= k, F.flatten(F.transform(chunks, lambda part, q: F.transform(
+        F.regexp_extract_all(part, grams, F.lit(1)), lambda g, i: _tagged(F.xxhash64(g), i + q * _CHUNK)))))
+        .when(n > 0, F.array(_tagged(F.xxhash64(c), F.lit(0)))).otherwise(_empty())).drop(c)
+    # Greatest over 2, 4, 8.. values, then two of these ranges joined to the
+    # full width. Past the end a range is cut short; those places go at last.
+    have, last = 1, v
+    while have < window:
+        step = min(have, window - have)
+        name = f"__w{have}_{out}"
+        df = df.withColumn(name, F.zip_with(
+            F.col(last), F.slice(F.col(last), step + 1, F.greatest(F.size(last) - step, F.lit(0))),
+            lambda x, y: F.greatest(x, y)))
+        have, last = have + step, name
+    m = F.size(v)
+    df = df.withColumn(out, F.when(m > window, F.array_distinct(F.slice(F.col(last), F.lit(1), m - window + 1)))
+                       .when(m > 0, F.array(F.array_max(v))).otherwise(F.col(v)))
+    return df.drop(*[x for x in df.columns if x.startswith("__") and x.endswith("_" + out)])
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW,
                      piece: int = PIECE) -> DataFrame:
     """Add ``out``: the chosen hashes with positions, in order of position.
@@ -48,15 +99,10 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, window: int
     df = df.withColumn(h, F.transform(
         F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % piece), F.lit(0)), lambda p: F.xxhash64(p)))
     n = F.size(h)
-
-    def tagged(g: Column, i: Column) -> Column:
-        return g.bitwiseAND(F.lit(_HASH_BITS)).bitwiseOR(i.cast("bigint"))
-
-    empty = F.expr("cast(array() as array<bigint>)")
     df = df.withColumn(v, F.when(n >= k, F.transform(
         F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
-        lambda i: tagged(F.xxhash64(*[F.get(F.col(h), i + j) if j else F.get(F.col(h), i) for j in range(k)]), i)))
-        .when(n > 0, F.array(tagged(F.xxhash64(h), F.lit(0)))).otherwise(empty)).drop(h)
+        lambda i: _tagged(F.xxhash64(*[F.get(F.col(h), i + j) if j else F.get(F.col(h), i) for j in range(k)]), i)))
+        .when(n > 0, F.array(_tagged(F.xxhash64(h), F.lit(0)))).otherwise(_empty())).drop(h)
     # Greatest over 2, 4, 8.. values, then one pass that joins two of these
     # ranges to windows of the full width.
     have, last = 1, v
@@ -135,16 +181,16 @@ def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     dealt = rows.repartition("__run")
 
     inside = Window.partitionBy("__run").orderBy("d", "th")
-    most = with_fingerprint(dealt, "text", "fingerprint").withColumn("d", doc_key()).withColumn("th", row_key())
+    most = with_char_fingerprint(dealt, "text", "fingerprint").withColumn("d", doc_key()).withColumn("th", row_key())
     most = (most.withColumn("next_text", F.lead("text").over(inside))
             .withColumn("next_fingerprint", F.lead("fingerprint").over(inside))
             .where(F.col("next_text").isNotNull()))
 
     heads = dealt.join(ends.select("__run", "first"), "__run").where(place == F.col("first")).dropDuplicates(["__run"])
-    heads = with_fingerprint(heads.select(F.col("__run").alias("next_run"), F.col("text").alias("next_text")),
+    heads = with_char_fingerprint(heads.select(F.col("__run").alias("next_run"), F.col("text").alias("next_text")),
                              "next_text", "next_fingerprint")
     tails = dealt.join(ends.select("__run", "last", "next_run"), "__run").where(place == F.col("last"))
-    tails = with_fingerprint(tails.dropDuplicates(["__run"]).drop("last"), "text", "fingerprint")
+    tails = with_char_fingerprint(tails.dropDuplicates(["__run"]).drop("last"), "text", "fingerprint")
     names = ["doc_id", "text", "fingerprint", "next_text", "next_fingerprint"]
     return most.select(names).unionByName(tails.join(heads, "next_run").select(names))
 
@@ -155,7 +201,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     cut = F.floor(n / 4).cast("int")
     docs = docs.withColumn("n_chars", n.cast("bigint")).withColumn("edited", F.concat(
         F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut)))
-    docs = with_fingerprint(docs, "edited", "edited_fingerprint")
+    docs = with_char_fingerprint(docs, "edited", "edited_fingerprint")
     docs = (docs.withColumn("__a", hashes(F.col("fingerprint")))
             .withColumn("__b", hashes(F.col("edited_fingerprint")))
             .withColumn("__c", hashes(F.col("next_fingerprint"))))

@@ -130,6 +130,49 @@ def test_winnowing_matches_a_plain_one(messy):
             assert [x & 0xFFFFFFFF for x in r["fp"]] == picks
 
 
+def brute_chars(t, k, w):
+    """Positions of the chosen k-grams, and the k-grams."""
+    c = re.sub(r"[ \t-\r]", "", t or "")
+    if len(c) < k:
+        return ([0], [c]) if c else ([], [])
+    grams = [c[i:i + k] for i in range(len(c) - k + 1)]
+    h = [-((xxhash.xxh64_intdigest(g.encode(), 42) ^ 1 << 63) >> 32) for g in grams]      # stored complemented
+    picks = []
+    for a in range(max(1, len(h) - w + 1)):
+        part = h[a:a + w]
+        at = a + max(j for j, x in enumerate(part) if x == min(part))
+        if at not in picks[-1:]:
+            picks.append(at)
+    return picks, [grams[p] for p in picks]
+
+
+@pytest.mark.parametrize("chunk, k, w", [(4096, winnowing.CHARS, winnowing.CHAR_WINDOW), (7, 5, 6), (3, 5, 1)])
+def test_winnowing_takes_a_gram_at_every_character(messy, monkeypatch, chunk, k, w):
+    monkeypatch.setattr(winnowing, "_CHUNK", chunk)
+    short = messy.where(F.coalesce(F.length("text"), F.lit(0)) < 30_000)
+    for r in winnowing.with_char_fingerprint(short, "text", "fp", k, w).select("text", "fp").collect():
+        picks, grams = brute_chars(r["text"], k, w)
+        assert [x & 0xFFFFFFFF for x in r["fp"]] == picks
+        assert [x >> 32 & 0xFFFFFFFF for x in r["fp"]] == [xxhash.xxh64_intdigest(g.encode(), 42) >> 32 for g in grams]
+
+
+def test_winnowing_finds_shared_passages_at_any_offset(llm_spark):
+    rng = np.random.default_rng(3)
+
+    def run(n):
+        return "".join(chr(x) for x in rng.integers(0x4E00, 0x9FA5, n))
+    least = winnowing.CHARS + winnowing.CHAR_WINDOW - 1
+    shared, whole = run(least), run(2_000)
+    texts = [(i, run(40 + i) + shared + run(50)) for i in range(17)] + [(100, whole), (101, "x" + whole)]
+    docs = llm_spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in winnowing.with_next(docs).select(
+        "doc_id", winnowing.hashes(F.col("fingerprint")).alias("h"),
+        winnowing.likeness(winnowing.hashes(F.col("fingerprint")),
+                           winnowing.hashes(F.col("next_fingerprint"))).alias("near")).collect()}
+    assert set.intersection(*(set(got[i]["h"]) for i in range(17)))
+    assert got[100]["near"] > 0.95
+
+
 def test_winnowing_empty(nothing):
     assert winnowing.with_next(nothing).collect() == []
 
