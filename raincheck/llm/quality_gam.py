@@ -10,7 +10,8 @@ table; pairs are ranked by how much of the residual a coarse grid of them
 explains, and the best are boosted the same way over two-dimensional bins.
 Scoring adds up table entries, vectorised over the rows of a batch.
 
-Training rows are bounded by ``max_rows`` (those of smallest id hash), so the
+Training rows are bounded by ``max_rows`` (labels of smallest id hash, and of
+documents that share an id one: smallest text hash, then features), so the
 matrix the driver trains on is at most that many rows of the fixed features;
 scoring covers every row of the table in one map with no shuffle.
 
@@ -206,11 +207,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
               .groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     chosen = C.stored(chosen.select(F.col("doc_id").alias("__id"), "quality"), "labelled")
-    # Bounded by max_rows rows of 12 bytes, so it may be broadcast.
+    # Bounded by max_rows rows of 12 bytes, so it may be broadcast. The documents
+    # of a labelled id are not bounded: one of each id is kept before the collect.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("y", T.IntegerType()),
-                           T.StructField("x", T.ArrayType(T.DoubleType()))])
-    got = rows.select(F.col("doc_id").cast("bigint"), "quality", "text").mapInArrow(_labelled, schema).toArrow()
+                           T.StructField("th", T.LongType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
+    found = rows.select(F.col("doc_id").cast("bigint"), "quality", C.row_key(), "text").mapInArrow(_labelled, schema)
+    got = (found.groupBy("id").agg(F.min(F.struct("th", "x", "y")).alias("one"))
+           .select("id", "one.y", "one.x").toArrow())
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = got.column("y").to_numpy().astype(float)
     order = np.lexsort((*x.T, y, got.column("id").to_numpy()))       # not the order of arrival
@@ -219,12 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = C.text_bytes(batch.column(2))
+        data, offsets = C.text_bytes(batch.column(3))
         for i, j in C.blocks(offsets):
             x = features(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
-                 pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
+                [*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(list(x), pa.list_(pa.float64()))],
+                ["id", "y", "th", "x"])
 
 
 def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:

@@ -254,6 +254,29 @@ def test_quality_without_labels(llm_spark, messy):
     assert all(r["s"] > 0.8 for r in quality_gam.score(messy, quality_gam.train(messy, one), "s").collect())
 
 
+def test_quality_learns_one_row_of_a_repeated_id(llm_spark, monkeypatch):
+    seen = []
+
+    class Recorder:
+        def __init__(self, x, y):
+            seen.append((x, y))
+    monkeypatch.setattr(quality_gam, "Model", Recorder)
+    labels = llm_spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    docs = llm_spark.createDataFrame([(i, "word " * (i + 1)) for i in range(40)], "doc_id bigint, text string")
+    ids = sorted(r[0] for r in labels.where(~quality_gam.held_out()).collect())
+    copies = docs.where(F.col("doc_id") == ids[0]).crossJoin(llm_spark.range(300)).select("doc_id", "text")
+    quality_gam.train(docs, labels)
+    quality_gam.train(docs.unionByName(copies), labels)
+    assert [len(y) for _, y in seen] == [len(ids)] * 2
+    assert all(np.array_equal(a, b) for a, b in zip(*seen))
+    # Different texts under one id: one of them, whatever the order of the rows.
+    other = copies.withColumn("text", F.concat("text", F.expr("uuid()"))).collect()
+    for rows in (other, other[::-1]):
+        quality_gam.train(docs.unionByName(llm_spark.createDataFrame(rows, docs.schema)), labels, max_rows=10)
+    assert [len(y) for _, y in seen[2:]] == [10] * 2
+    assert all(np.array_equal(a, b) for a, b in zip(*seen[2:]))
+
+
 def test_quality_held_out_accuracy(llm_spark, small_sf):
     sf = small_sf.replace("0.001", "0.01")
     rows = quality_gam.query(llm_spark, sf).join(llm_spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
