@@ -5,8 +5,10 @@ from __future__ import annotations
 from raincheck.llm import (
     best_fit,
     chat_format,
+    conversation_repair,
     decontaminate,
     line_dedup,
+    prefix_trie,
     quality_gam,
     simhash_dedup,
     substring_dedup,
@@ -27,6 +29,8 @@ _OPERATORS = {
     "op8_document_fingerprints": winnowing,
     "op9_benchmark_decontamination": decontaminate,
     "op10_best_fit_packing": best_fit,
+    "op11_conversation_repair": conversation_repair,
+    "op13_conversation_prefix_trie": prefix_trie,
 }
 
 

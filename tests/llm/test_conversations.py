@@ -1,0 +1,259 @@
+"""Conversation structure repair and the conversation prefix trie."""
+
+import hashlib
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from raincheck.llm import conversation_repair as cr
+from raincheck.llm import prefix_trie as pt
+
+SCHEMA = ("conv_id bigint, turn bigint, role string, text string, node string, parent int, place string, "
+          "depth string, audit string, kind double")
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "n", 1, "p", "d", "a", 0.5) for r in rows], SCHEMA)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def messy(seed=3, convs=60):
+    """Nulls, ties, repeated rows, empty and long texts, copies of whole conversations, odd roles."""
+    rng = random.Random(seed)
+    texts = ["Yes.", "no", "", " ", None, "Why?", "A longer answer.\nWith lines!", "x" * 30000 + ".", "　"]
+    roles = ["system", "user", "assistant", "user", "assistant", None, "", "tool", "User"]
+    rows, first = [], [(t, r, x) for t, r, x in ((0, "system", "Be kind."), (1, "user", "Hi?"), (2, "assistant", "Yes."))]
+    for c in range(convs):
+        own = list(first) if c % 3 else []
+        own += [(rng.choice([None, rng.randint(0, 12)]), rng.choice(roles), rng.choice(texts)) for _ in range(rng.randint(0, 9))]
+        own += own[:1] * rng.choice([0, 0, 2])
+        rows += [(c - 7, *r) for r in own]
+    rows += [(None, 1, "user", "Hi?"), (None, None, "assistant", "no")]
+    rng.shuffle(rows)
+    return rows
+
+
+# --- repair ---------------------------------------------------------------
+
+def all_edits(kinds):
+    """Every edit sequence with at most two inserts a gap: least (cost, audit)."""
+    best = None
+    for ops in itertools.product("KRD", repeat=len(kinds)):
+        for gaps in itertools.product(range(3), repeat=len(kinds) + 1):
+            for told in itertools.product("ua", repeat=ops.count("R")):
+                said, cost, audit, names = "", 0, "", iter(told)
+                for k, op, gap in zip(kinds, ops, gaps, strict=False):
+                    audit += "I" * gap + op
+                    said += "?" * gap + {"K": k[0], "R": "", "D": ""}[op] + (next(names) if op == "R" else "")
+                    cost += 3 * gap + {"K": 0, "R": 3, "D": 4}[op] + (3 if k[1] == "t" and op != "D" else 0)
+                    if k[1] == "-" and op != "D":
+                        break
+                else:
+                    audit, said, cost = audit + "I" * gaps[-1], said + "?" * gaps[-1], cost + 3 * gaps[-1]
+                    for s in ("", "s"):
+                        pairs = (len(said) - len(s)) // 2
+                        goal = s + "ua" * pairs
+                        if len(goal) == len(said) and (pairs or not s) and all(
+                                a == b or (a == "?" and b != "s") for a, b in zip(said, goal, strict=True)):
+                            best = min(filter(None, (best, (cost, audit))))
+    return best
+
+
+def test_edits_against_all_sequences():
+    rng = random.Random(5)
+    kinds = [a + b for a in "suao" for b in "-t."]
+    for n in (0, 1, 2, 3):
+        for _ in range(1 if n == 0 else 40):
+            case = [rng.choice(kinds) for _ in range(n)]
+            cost, steps = cr.edits(case)
+            assert (cost, "".join(steps)) == all_edits(case), case
+
+
+def test_edits_against_one_pass():
+    """Longer conversations: whole audits carried through every turn."""
+    rng = random.Random(6)
+    kinds = [a + b for a in "suuaao" for b in "-t.."]
+    for n in (7, 40, 133):
+        case = [rng.choice(kinds) for _ in range(n)]
+        have = {cr.START: (0, "")}
+        for k in case:
+            new = {}
+            for s, (cost, audit) in have.items():
+                for to, paid, letters in cr.moves(k)[s]:
+                    new[to] = min(new.get(to, (1 << 60, "")), (cost + paid, audit + letters))
+            have = new
+        want = min((c + 3 * len(cr.CLOSING[s]), a + cr.CLOSING[s]) for s, (c, a) in have.items())
+        cost, steps = cr.edits(case)
+        assert (cost, "".join(steps)) == want
+
+
+def expected_repairs(rows):
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        key = f"{' ' if c is None else c}:{' ' if t is None else t}"
+        kind = zlib.crc32(key.encode()) % 20
+        r, x = " " if r is None else r, " " if x is None else x
+        x = "" if kind == 1 else x.translate(str.maketrans("", "", ".!?")) if kind == 2 else x
+        r = "user" if kind == 4 else r
+        by[c] += [(t, r, x)] * {0: 0, 3: 2}.get(kind, 1)
+    out = {}
+    for c, own in by.items():
+        own.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        seen, kinds, faults = set(), [], defaultdict(int)
+        for _, r, x in own:
+            last = x.strip(" \t\n\x0b\x0c\r")[-1:]
+            fault = "blank" if not last else "duplicate" if (r, x) in seen else "truncated" if last not in ".!?" else ""
+            seen.add((r, x))
+            faults[fault] += 1
+            kinds.append((r[0] if r[:1] in ("s", "u", "a") and r else "o") + {"": ".", "truncated": "t"}.get(fault, "-"))
+        cost, steps = cr.edits(kinds)
+        audit, said, queue = "".join(steps), [], iter(own)
+        goal = len(audit) - audit.count("D")
+        names = ["s"] * (goal % 2) + ["user", "assistant"] * (goal // 2)
+        for op in audit:
+            row = None if op == "I" else next(queue)
+            if op != "D":
+                name = names[len(said)]
+                said.append(f"{name}:" if op == "I" else f"{name}:{row[2]}" if op == "R" else f"{row[1]}:{row[2]}")
+        turns = [t for t, _, _ in own if t is not None]
+        out[c] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults["blank"], faults["duplicate"],
+                  faults["truncated"], sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:], strict=False)),
+                  cost, audit, sha("\n".join(said)))
+    return out
+
+
+def test_repair_query(llm_spark, tmp_path):
+    rows = messy()
+    frame(llm_spark, rows).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r[0]: tuple(r)[1:] for r in cr.query(llm_spark, str(tmp_path)).collect()}
+    assert got == expected_repairs(rows)
+
+
+def test_all_rows_dropped(llm_spark):
+    turns = frame(llm_spark, [(5, 1, "user", "Hi."), (5, 2, "assistant", "No.")]).withColumn("copies", F.lit(0))
+    row = cr.repair(turns).first()
+    assert tuple(row) == (5, 0, 0, 0, 0, 0, 0, "", [])
+
+
+def test_repair_keeps_texts_and_long_conversations(llm_spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"turn {t}.") for t in range(3000)]
+    got = cr.repair(frame(llm_spark, rows + [(2, 0, "user", "Hi.")])).collect()
+    by = {r["conv_id"]: r for r in got}
+    assert by[1]["audit"] == "K" * 3000 and by[1]["cost"] == 0
+    assert [t["text"] for t in by[1]["repaired"]] == [r[3] for r in rows]
+    # Deleting costs more than the missing answer.
+    assert (by[2]["audit"], by[2]["cost"]) == ("KI", 3)
+    assert [tuple(t) for t in by[2]["repaired"]] == [("user", "Hi."), ("assistant", "")]
+
+
+def test_repair_empty(llm_spark):
+    assert cr.repair(frame(llm_spark, [])).collect() == []
+
+
+# --- trie -----------------------------------------------------------------
+
+def turn_hashes(spark, rows):
+    """(role, text) -> the order of equal places: the operator sorts ties by the turn's hashes."""
+    got = frame(spark, rows).select("role", "text", F.xxhash64(F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))).alias("h"))
+    return {(r["role"] or "", r["text"] or ""): r["h"] for r in got.collect()}
+
+
+def expected_nodes(rows, h):
+    convs = defaultdict(list)
+    for c, t, r, x in rows:
+        convs[c].append((t is not None, t or 0, h[(r or "", x or "")], (r or "", x or "")))
+    own = {c: [t[3] for t in sorted(v)] for c, v in convs.items()}
+    full = {}
+    for c, turns in own.items():
+        n = 0 if c is None else zlib.crc32(str(c).encode()) % 9
+        base = [] if c is None else own.get(c - int(__import__("math").fmod(c, 5)), [])
+        full[c] = tuple(base[:n]) + tuple(turns[n:])
+    low = lambda c: (c is not None, c or 0)
+    members = defaultdict(list)
+    for c, turns in full.items():
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    kids = defaultdict(list)
+    for node in members:
+        if node:
+            kids[node[:-1]].append(node)
+
+    def below(node):
+        own_saved = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        parts = [below(k) for k in kids[node]]
+        return (sum(p[0] for p in parts) or 1, own_saved + sum(p[1] for p in parts))
+
+    out = []
+    for node, who in members.items():
+        ends = sorted((c for c in who if full[c] == node), key=low)
+        parent = sorted(members[node[:-1]], key=low)[0] if node else None
+        out.append((sorted(who, key=low)[0], len(node), parent, len(who), len(kids[node]), *below(node),
+                    sha(",".join("null" if c is None else str(c) for c in ends))))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_trie_query(llm_spark, tmp_path, partitions):
+    rows = messy(seed=9, convs=45)
+    was = llm_spark.conf.get("spark.sql.shuffle.partitions")
+    aqe = llm_spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        llm_spark.conf.set("spark.sql.shuffle.partitions", partitions)      # more partitions: more pieces of the tour
+        llm_spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        frame(llm_spark, rows).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+        got = sorted((tuple(r) for r in pt.query(llm_spark, str(tmp_path)).collect()), key=str)
+    finally:
+        llm_spark.conf.set("spark.sql.shuffle.partitions", was)
+        llm_spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+    assert got == expected_nodes(rows, turn_hashes(llm_spark, rows))
+
+
+def test_tour_places(llm_spark):
+    """Arcs take the places 1..2n, and a subtree's arcs lie between its node's two."""
+    rows = messy(seed=11, convs=25)
+    nodes = pt.trie(*pt.rebuilt(frame(llm_spark, rows))).collect()
+    places = sorted(p for r in nodes for p in (r["enter"], r["exit"]))
+    assert places == list(range(1, 2 * len(nodes) + 1))
+    by = {bytes(r["node"]): r for r in nodes}
+    count = defaultdict(int)
+    for r in nodes:
+        while r is not None:
+            count[bytes(r["node"])] += 1
+            above = by.get(bytes(r["parent"])) if r["parent"] is not None else None
+            assert above is None or (above["enter"] > r["enter"] > r["exit"] > above["exit"])
+            r = above
+    assert {k: r["n_nodes"] for k, r in by.items()} == dict(count)
+
+
+def test_sibling_levels(llm_spark):
+    """A crowded parent: its children form one list, in order, over all three levels."""
+    names = [hashlib.md5(str(i).encode()).digest() for i in range(500)] + [b"\x07\x07" + bytes([i]) * 14 for i in range(9)]
+    rows = [(pt.ROOT, None, 0)] + [(n, pt.ROOT, 1) for n in names]
+    links = {bytes(r["node"]): r for r in pt.linked(llm_spark.createDataFrame(
+        [(bytearray(a), b and bytearray(b), d) for a, b, d in rows], "node binary, parent binary, depth int")).collect()}
+    at, seen = bytes(links[pt.ROOT]["first_child"]), []
+    while at:
+        seen.append(at)
+        follow = links[at]["next"] if at in links else None
+        at = bytes(follow) if follow is not None else None
+    assert seen == sorted(names) and links[pt.ROOT]["n_children"] == len(names)
+
+
+def test_trie_empty(llm_spark):
+    got = pt.trie(*pt.rebuilt(frame(llm_spark, []))).collect()
+    assert [(r["depth"], r["n_convs"], r["n_children"], r["n_leaves"], r["ends_sha256"]) for r in got] == [(0, 0, 0, 1, sha(""))]
+
+
+def test_hot_start_is_not_one_task(llm_spark):
+    """All conversations share their first turn: the nodes' rows still spread over the partitions."""
+    rows = [(c * 5, t, "user", "same" if t == 0 else f"{c} {t}") for c in range(300) for t in range(9)]
+    path = pt.steps(pt.rebuilt(frame(llm_spark, rows))[1])
+    dealt = path.repartitionByRange(8, "a1", "a2", "a3", "conv_id", "depth").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 0.3 * sum(r["count"] for r in dealt)
