@@ -7,6 +7,7 @@ from raincheck.llm import (
     chat_format,
     conversation_repair,
     decontaminate,
+    html_extract,
     line_dedup,
     prefix_trie,
     quality_gam,
@@ -30,6 +31,7 @@ _OPERATORS = {
     "op9_benchmark_decontamination": decontaminate,
     "op10_best_fit_packing": best_fit,
     "op11_conversation_repair": conversation_repair,
+    "op12_html_extraction": html_extract,
     "op13_conversation_prefix_trie": prefix_trie,
 }
 
