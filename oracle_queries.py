@@ -112,27 +112,27 @@ def exact_avg_sql(col: str, in_scale: int = 2, out_scale: int = 2) -> str:
 
 ORACLE: dict[str, str] = {}
 
-# Every line that has weather, with all that the reports group by. The marts
-# and the ranking below are each one aggregation of this relation.
+# The marts by definition: the weather of each store's days with the store's
+# attributes, and the lines with their product's.
 _TEMP_RANGE = ("case when {t} < 10 then 'cold' when {t} between 10 and 25 then 'moderate' "
                "else 'hot' end")
 
-_LINES = f"""
-weather_lines as (
-  select invoice_id, quantity, cast(line_total as decimal(18,4)) amount, invoice_total, product_id, f.store_id,
-         f.date sale_date, is_rain, temp_max, temp_min, {_TEMP_RANGE.format(t="temp_max")} temperature_range
-  from fact_transactions f join dim_store_weather on date_id = f.date using_store),
-enriched as (
-  select l.*, country, city, dim_stores.size store_size, category, sub_category
-  from weather_lines l
-  left join dim_stores on dim_stores.store_id = l.store_id
-  left join dim_products on dim_products.product_id = l.product_id)
-""".replace("using_store", "and dim_store_weather.store_id = f.store_id")
-
-_RANKED = _LINES.rstrip() + """,
+_SOLD = f"""
+store_days as (
+  select w.store_id, w.date_id, w.is_rain, w.temp_max, w.temp_min, {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
+         s.country, s.city, s.size store_size
+  from dim_store_weather w join dim_stores s on s.store_id = w.store_id),
+product_lines as (
+  select f.invoice_id, f.store_id, f.date, f.quantity, cast(f.line_total as decimal(18,4)) amount,
+         p.product_id, p.category, p.sub_category
+  from fact_transactions f join dim_products p on p.product_id = f.product_id)
+"""
+
+_RANKED = _SOLD.rstrip() + """,
 pair_revenue as (
-  select is_rain, category, sub_category, sum(amount) revenue
-  from enriched group by grouping sets ((is_rain, category, sub_category))),
+  select w.is_rain, l.category, l.sub_category, sum(l.amount) revenue
+  from product_lines l join dim_store_weather w on w.store_id = l.store_id and w.date_id = l.date
+  group by w.is_rain, l.category, l.sub_category),
 ranking as (
   select a.*, 1 + (select count(*) from pair_revenue b
                    where b.is_rain is not distinct from a.is_rain and b.revenue > a.revenue) place
@@ -318,20 +318,23 @@ from ranking where place <= 5
 """, _RANKED)
 
 # ---------------------------------------------------------------- M1-M3
-_MARTS = _LINES.rstrip() + f""",
+_MARTS = _SOLD.rstrip() + f""",
 m1 as (
-  select country, city, store_size, is_rain, sale_date,
-         count(distinct invoice_id) transaction_count, sum(invoice_total) total_revenue,
-         {exact_avg_sql("temp_max")} avg_temp_max, {exact_avg_sql("temp_min")} avg_temp_min
-  from enriched where country is not null group by all),
+  select d.country, d.city, d.store_size, d.is_rain, f.date sale_date,
+         count(distinct f.invoice_id) transaction_count, sum(f.invoice_total) total_revenue,
+         {exact_avg_sql("d.temp_max")} avg_temp_max, {exact_avg_sql("d.temp_min")} avg_temp_min
+  from fact_transactions f join store_days d on d.store_id = f.store_id and d.date_id = f.date
+  group by d.country, d.city, d.store_size, d.is_rain, f.date),
 m2 as (
-  select product_id, category, sub_category, is_rain, temperature_range,
-         count(invoice_id) transaction_count, sum(quantity) total_quantity, sum(amount) total_revenue
-  from enriched where category is not null group by all),
+  select l.product_id, l.category, l.sub_category, w.is_rain, {_TEMP_RANGE.format(t="w.temp_max")} temperature_range,
+         count(l.invoice_id) transaction_count, sum(l.quantity) total_quantity, sum(l.amount) total_revenue
+  from product_lines l join dim_store_weather w on w.store_id = l.store_id and w.date_id = l.date
+  group by l.product_id, l.category, l.sub_category, w.is_rain, {_TEMP_RANGE.format(t="w.temp_max")}),
 m3 as (
-  select store_size, is_rain, temperature_range, count(distinct invoice_id) transaction_count,
-         {exact_avg_sql("invoice_total", 0, 2)} avg_transaction_value, sum(invoice_total) total_revenue
-  from enriched where country is not null group by all)
+  select d.store_size, d.is_rain, d.temperature_range, count(distinct f.invoice_id) transaction_count,
+         {exact_avg_sql("f.invoice_total", 0, 2)} avg_transaction_value, sum(f.invoice_total) total_revenue
+  from fact_transactions f join store_days d on d.store_id = f.store_id and d.date_id = f.date
+  group by d.store_size, d.is_rain, d.temperature_range)
 """
 ORACLE["region_impact"] = with_fixture("""
 select country, city, store_size, is_rain, sale_date, transaction_count,
@@ -378,6 +381,24 @@ from (select case when is_rain then 'Rainy' else 'Not Rainy' end weather_conditi
       from m1 group by is_rain) t
 """, _MARTS)
 
+# ---------------------------------------------------------------- O1-O3
+ORACLE["sorted_time_series"] = with_fixture("""
+select sale_date "time", case when is_rain then 'Rainy' else 'Not Rainy' end metric,
+       rank() over (order by sale_date nulls last) "position"
+from m1 group by sale_date, is_rain
+""", _MARTS)
+
+ORACLE["sorted_top_products"] = with_fixture("""
+select category, sub_category, if(is_rain, 'Rainy', 'Not Rainy') weather_condition, cast(place as bigint) "rank",
+       rank() over (order by is_rain nulls last, place) "position"
+from ranking where place <= 5
+""", _RANKED)
+
+ORACLE["sorted_sizes"] = with_fixture("""
+select store_size, temperature_range, rank() over (order by store_size nulls last, temperature_range nulls last) "position"
+from (select distinct store_size, temperature_range from m3) t
+""", _MARTS)
+
 # ---------------------------------------------------------------- X1-X3
 ORACLE["category_sales"] = with_fixture("""
 select cast(f.store_id as bigint) store_id, f.date, p.category, count(f.invoice_id) transaction_count,
@@ -409,6 +430,18 @@ ORACLE["category_pivot"] = with_fixture(
     + " from fact_transactions f join dim_products p on f.product_id = p.product_id"
       " group by f.store_id, f.date")
 
+ORACLE["category_maps"] = with_fixture("""
+select cast(store_id as bigint) store_id, date, count(*) categories,
+       string_agg(category || '=' || cast(quantity as varchar), ';' order by category) quantity,
+       string_agg(category || '=' || cast(cast(amount as decimal(28,4)) as varchar), ';' order by category) amount
+from sold group by store_id, date
+""", """
+sold as (
+  select f.store_id, f.date, p.category, sum(f.quantity) quantity, sum(cast(f.line_total as decimal(18,4))) amount
+  from fact_transactions f join dim_products p on f.product_id = p.product_id
+  group by f.store_id, f.date, p.category)
+""")
+
 # ---------------------------------------------------------------- S1-S9, E1, R2
 ORACLE["csv_roundtrip"] = with_fixture("""
 select invoice_id, cast(line as bigint) line, cast(customer_id as bigint) customer_id,
@@ -420,17 +453,20 @@ select invoice_id, cast(line as bigint) line, cast(customer_id as bigint) custom
 from fact_transactions
 """)
 
-_STAGING_COUNTS = """
-select 'customers' t, count(*) n from customer
-union all select 'discounts', count(*) from part
-union all select 'employees', count(*) from customer
-union all select 'products', count(*) from part
-union all select 'stores', count(*) from supplier
-union all select 'transactions', count(*) from lineitem join orders on l_orderkey = o_orderkey
+_STAGED = """
+select 'customers' t, c_custkey % 2 export from customer
+union all select 'discounts', p_partkey % 2 from part
+union all select 'employees', c_custkey % 2 from customer
+union all select 'products', p_partkey % 2 from part
+union all select 'stores', s_suppkey % 2 from supplier
+union all select 'transactions', l_orderkey % 2 from lineitem join orders on l_orderkey = o_orderkey
 """
+_STAGING_COUNTS = f"select t, count(*) n from ({_STAGED}) s group by t"
 
 ORACLE["load_audit"] = f"""
-select t table_name, n rows, n audited_rows from ({_STAGING_COUNTS}) c
+select 'staging_' || t table_name, cast(export as bigint) export, count(*) rows,
+       sum(count(*)) over (partition by t)::bigint loaded_rows
+from ({_STAGED}) s group by t, export
 """
 
 ORACLE["truncate_staging"] = f"""
@@ -446,7 +482,7 @@ _COLUMNS = {
     "dim_customers": "customer_id int, name string, email string, telephone string, city string, country string, "
                      "gender string, date_of_birth date, job_title string",
     "dim_discounts": "start_date_id date, end_date_id date, discount_rate decimal(3,2), description string, "
-                     "category string, sub_category string, batch_id date",
+                     "category string, sub_category string, batch_id string",
     "dim_employees": "employee_id int, store_id int, name string, position string",
     "dim_products": "product_id int, category string, sub_category string, description_pt string, "
                     "description_de string, description_fr string, description_es string, description_en string, "
@@ -457,7 +493,7 @@ _COLUMNS = {
                          "unit_price double, quantity int, date date, datetime date, discount double, "
                          "line_total double, store_id int, employee_id int, currency string, "
                          "currency_symbol string, sku string, transaction_type string, payment_method string, "
-                         "invoice_total decimal(10,0), batch_id date",
+                         "invoice_total decimal(10,0), batch_id string",
     "dim_store_weather": "store_id int, date_id date, temp_max decimal(5,2), temp_min decimal(5,2), "
                          "is_rain boolean, run_date date",
     "data_mart_weather_region_impact":
@@ -483,6 +519,8 @@ ORACLE["batch_run"] = with_fixture("\nunion all ".join(
     f"select '{t}' table_name, '{columns}' \"columns\", count(*) \"rows\" from {_COUNTED.get(t, t)}"
     for t, columns in _COLUMNS.items()), _MARTS)
 
+ORACLE["catalog_tables"] = ORACLE["batch_run"]
+
 _KEYS = "concat_ws('|', {})"
 
 

@@ -50,16 +50,27 @@ def column_names(categories: list[str]) -> dict[str, str]:
     return out
 
 
-def pivot_categories(products: DataFrame) -> list[str]:
-    """Distinct categories of the product dimension: the columns of the pivot."""
-    return sorted(r[0] for r in products.select("category").distinct().collect() if r[0] is not None)
+def category_maps(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """X3 with any number of categories: per store and date, maps from category
+    to quantity and amount. No category is named in the plan, and none passes
+    through the driver; a category without sales has no entry."""
+    j = category_lines(fact, products, ["store_id", "date", "quantity", "line_total"])
+    sold = j.where(F.col("category").isNotNull()).groupBy("store_id", "date", "category").agg(
+        F.sum("quantity").alias("quantity"), exact_sum("line_total").alias("amount"))
+    entries = sold.groupBy("store_id", "date").agg(F.sort_array(F.collect_list(
+        F.struct("category", "quantity", "amount"))).alias("e"))
+
+    def measure(name):
+        return F.map_from_entries(F.transform("e", lambda e: F.struct(e["category"], e[name]))).alias(name)
+
+    return entries.select("store_id", "date", measure("quantity"), measure("amount"))
 
 
-def category_pivot(fact: DataFrame, products: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """One quantity and one amount column per category, per store and
-    date, 0 where a category had no sales. Pivot values are passed
-    explicitly (read from the product dimension when not given)."""
-    cats = categories if categories is not None else pivot_categories(products)
+def category_pivot(fact: DataFrame, products: DataFrame, categories: list[str]) -> DataFrame:
+    """One quantity and one amount column for each of the given categories,
+    per store and date, 0 where a category had no sales. For all categories of
+    the data, whatever they are, see ``category_maps``."""
+    cats = list(categories)
     j = category_lines(fact, products, ["store_id", "date", "quantity", "line_total"])
     # Pivot on the position of the category, so that no category text has to
     # serve as a column name inside the plan.

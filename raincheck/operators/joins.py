@@ -41,15 +41,17 @@ def join_product(lines: DataFrame, products: DataFrame,
 
 
 def join_weather_audited(lines: DataFrame, weather: DataFrame, audit,
-                         cols=("temp_max", "temp_min", "is_rain")) -> DataFrame:
+                         cols=("temp_max", "temp_min", "is_rain"), weight: str | None = None) -> DataFrame:
     """J2 with an audit of the lines it drops (R6), in the same join.
 
     A left join marks lines that found a weather row; an observation counts
     the others (``unmatched_lines``) while the plan runs; then only matched
-    lines continue, so the result equals ``join_weather``.
+    lines continue, so the result equals ``join_weather``. ``weight`` names a
+    column with the number of lines that a row stands for.
     """
+    n = F.col(weight) if weight else F.lit(1)
     w = _weather_side(weather, cols, [F.lit(True).alias("_has_weather")])
     j = lines.join(w, ["store_id", "date"], "left")
-    j = j.observe(audit, F.count(F.lit(1)).alias("lines"),
-                  F.count(F.when(F.col("_has_weather").isNull(), 1)).alias("unmatched_lines"))
+    j = j.observe(audit, F.coalesce(F.sum(n), F.lit(0)).alias("lines"),
+                  F.coalesce(F.sum(F.when(F.col("_has_weather").isNull(), n)), F.lit(0)).alias("unmatched_lines"))
     return j.filter(F.col("_has_weather")).drop("_has_weather")

@@ -55,16 +55,17 @@ def _weighted(temperature: str):
     return F.sum(value), F.sum(F.when(F.col(temperature).isNotNull(), F.col("lines")).otherwise(0))
 
 
-def region_impact_from(days: DataFrame, strict: bool = False) -> DataFrame:
+def region_impact_from(days: DataFrame, strict: bool = False, invoice: str = "invoice_id") -> DataFrame:
     """M1 from ``region_days``: one row per country, city, size, rain, day.
 
     ``total_revenue`` adds the invoice total once per line, as the source does.
+    ``invoice`` names the column that tells invoices apart.
     """
     cols = _cols(M1, strict)
     g = days.groupBy(
         "country", "city", "store_size", "is_rain", day_trunc("date").alias("sale_date"),
     ).agg(
-        F.count_distinct("invoice_id").alias("transaction_count"),
+        F.count_distinct(invoice).alias("transaction_count"),
         F.sum("revenue").alias("total_revenue"),
         exact_ratio(*_weighted("temp_max"), "decimal(5,2)").alias("avg_temp_max"),
         exact_ratio(*_weighted("temp_min"), "decimal(5,2)").alias("avg_temp_min"),

@@ -29,7 +29,7 @@ def product_revenue_by_weather(fact: DataFrame, products: DataFrame, weather: Da
 
 
 def top_products_by_weather(fact: DataFrame, products: DataFrame, weather: DataFrame,
-                            n: int = 5) -> DataFrame:
+                            n: int = 5, keep_rank: bool = False) -> DataFrame:
     """Q2 (table): the top ``n`` category/sub-category pairs by line revenue
     within each rain flag, ties included; ordered by rain flag, then rank."""
     g = product_revenue_by_weather(fact, products, weather)
@@ -37,7 +37,7 @@ def top_products_by_weather(fact: DataFrame, products: DataFrame, weather: DataF
     return (top.orderBy(F.col("is_rain").asc_nulls_last(), F.col("rank"))
                .select("category", "sub_category",
                        weather_label("is_rain").alias("weather_condition"),
-                       F.col("total_revenue").cast("double").alias("total_revenue")))
+                       F.col("total_revenue").cast("double").alias("total_revenue"), *(["rank"] if keep_rank else [])))
 
 
 def revenue_by_size_and_temperature(size_mart: DataFrame) -> DataFrame:

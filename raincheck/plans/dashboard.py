@@ -33,14 +33,16 @@ def panels(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def category_analysis(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """X1-X3 keyed by name."""
+def category_analysis(spark: SparkSession, root: str, categories: list[str] | None = None) -> dict[str, DataFrame]:
+    """X1-X3 keyed by name; the wide pivot for the given categories, maps of
+    all categories without."""
     fact = tables.read_table(spark, root, "fact_transactions")
     products = tables.read_table(spark, root, "dim_products")
     return {
         "category_sales": adhoc.category_sales(fact, products),
         "category_totals": adhoc.category_totals(fact, products),
-        "category_pivot": adhoc.category_pivot(fact, products),
+        **({"category_maps": adhoc.category_maps(fact, products)} if categories is None
+           else {"category_pivot": adhoc.category_pivot(fact, products, categories)}),
     }
 
 
@@ -65,7 +67,7 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     names = list(S.TABLES)
     staging_dir = f"{root.rstrip('/')}/staging"
     for source, name in csv.STAGING_TABLES.items():
-        if tables.current_version(spark, csv.staging_path(staging_dir, source)):
+        if tables.live(spark, csv.staging_path(staging_dir, source)):
             csv.read_staging(spark, staging_dir, source).createOrReplaceTempView(name)
             names.append(name)
     return names

@@ -121,10 +121,15 @@ class RetailFixture:
     # ------------------------------------------------------------ discounts
     @cached_property
     def staging_discounts(self) -> DataFrame:
+        return self.staging_discounts_with()
+
+    def staging_discounts_with(self, *more: str) -> DataFrame:
+        """The discounts, with further columns of the part each comes from."""
         p = self.t("part")
         k = F.col("p_partkey")
         day0 = F.lit(DISCOUNT_DAY_ZERO).cast("date")
         return p.select(
+            *more,
             F.date_add(day0, (k % 2000).cast("int")).alias("Start"),
             F.date_add(day0, (k % 2000 + 14).cast("int")).alias("End"),
             F.expr("cast((p_partkey % 50) / 100.0 as decimal(3,2))").alias("Discont"),

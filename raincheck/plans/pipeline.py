@@ -6,21 +6,22 @@ reads written tables, not a long lineage, and a failed stage can be re-run.
 
 Modes:
   "idempotent" (default): staging is replaced, a batch's fact and discount
-      partitions are replaced, weather keeps one row per store-day (a run
-      replaces the store-days it delivers and keeps all others), marts are
-      recomputed from all history. Weather, marts and staging are replaced by
-      a new version that readers see once it is committed. Running the same
-      batch twice equals running it once.
+      parts are replaced, weather keeps one row per store-day (a run
+      replaces the store-days it delivers and keeps all others, month by
+      month), and the marts are brought up to date from what changed
+      (``plans.refresh``). Readers see each table's new rows once they are
+      committed. Running the same batch twice equals running it once.
   "append": every run adds rows as a plain INSERT would (duplicated loads
-      double-count; weather duplicates multiply in the join), and marts are
-      appended. This reproduces the original task graph's behaviour.
+      double-count; weather duplicates multiply in the join), and marts over
+      all rows are appended. This reproduces the original task graph's
+      behaviour.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 
 from raincheck.operators import dims, facts, marts
 from raincheck.operators.joins import join_store, join_weather_audited
-from raincheck.sources import csv, payloads, tables
+from raincheck.plans.concurrent import concurrently
+from raincheck.plans.refresh import month_part, refresh, sync_reductions
+from raincheck.sources import catalog, csv, payloads, tables
 
 DIM_BUILDERS = {
     "customers": ("dim_customers", dims.dim_customers),
@@ -48,9 +51,11 @@ class RunResult:
     failed_payloads: int = 0
     weather_file: str = ""
     unanswered_stores: int = 0                         # staged stores without a successful payload
-    defined: list[str] = field(default_factory=list)   # tables ensured (created if absent)
-    mart_lines: int = 0
-    unmatched_lines: int = 0
+    defined: list[str] = field(default_factory=list)   # catalog tables that show the written ones
+    mart_lines: int = 0                                # lines in the months that were computed
+    unmatched_lines: int = 0                           # of these, lines without weather
+    mart_months: list[str] = field(default_factory=list)   # months computed by this run
+    fact_parts: list[str] = field(default_factory=list)    # fact parts read by this run
     seconds: dict[str, float] = field(default_factory=dict)
 
     @contextmanager
@@ -62,17 +67,6 @@ class RunResult:
             self.seconds[name] = round(time.perf_counter() - t0, 3)
 
 
-def concurrently(tasks: dict) -> dict:
-    """Run independent Spark actions as concurrent jobs (one driver thread
-    each), so small jobs share the cluster instead of queueing; returns
-    each task's result and re-raises the first failure."""
-    if len(tasks) <= 1:
-        return {k: f() for k, f in tasks.items()}
-    with ThreadPoolExecutor(max_workers=min(len(tasks), 8)) as pool:
-        futures = {k: pool.submit(f) for k, f in tasks.items()}
-        return {k: fut.result() for k, fut in futures.items()}
-
-
 def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) -> dict[str, int]:
     """Ingest: write each source to its staging table, counting rows."""
     write_mode = "append" if mode == "append" else "overwrite"
@@ -82,74 +76,86 @@ def load_staging(staging: dict[str, DataFrame], staging_dir: str, mode: str) ->
 
 
 def load_weather(spark: SparkSession, payload_frame: DataFrame, root: str, run_date: dt.date,
-                 mode: str, result: RunResult) -> None:
-    """Flatten the payloads once; from the flattened records write the dated
-    weather file and load the weather table: merged by store-day (or appended)."""
+                 mode: str, result: RunResult, buckets: int | None = None) -> None:
+    """Flatten the payloads into the dated weather file, then load the weather
+    table from that file: merged by store-day (or appended). Only the months
+    that come in are read and written again."""
     obs = Observation("weather_payloads")
     records = payloads.weather_records(payloads.flatten_weather(payload_frame, obs))
-    records = spark.read.parquet(tables.replace_version(records, f"{root}/work/weather_records"))
     result.weather_file = payloads.write_weather_file(records, root, run_date, result.batch_id)
     got = tables.observed(obs)
     result.payloads, result.failed_payloads = int(got.get("payloads", 0)), int(got.get("failed_payloads", 0))
-    incoming = payloads.store_weather(records)
+    incoming = payloads.load_weather(spark, result.weather_file)
+    path, month = tables.table_path(root, "dim_store_weather"), tables.month_of("date_id")
+    cluster, note = ("store_id", "date_id"), {"buckets": buckets}
     if mode == "append":
-        tables.append_rows(incoming.withColumn("run_date", F.lit(run_date)), root, "dim_store_weather")
+        tables.replace_parts(incoming.withColumn("run_date", F.lit(run_date)), path,
+                             F.concat(month, F.lit(f"~{uuid.uuid4().hex[:16]}")), set(), buckets, cluster, note=note)
         return
-    held = tables.read_table(spark, root, "dim_store_weather")
-    names = held.columns
-    tables.overwrite(payloads.merge_weather(held, incoming, run_date).select(*names), root, "dim_store_weather")
-
-
-def build_marts(spark: SparkSession, root: str, mode: str = "idempotent",
-                strict_types: bool = False, result: RunResult | None = None) -> None:
-    """Transform: the three marts over all loaded history.
-
-    The fact is joined with weather once for M1 and M3 and reduced to one row
-    per store, day and invoice, which is written and read by both; M2 groups
-    by product and joins the weather itself. Lines without weather drop out of
-    every mart; their number is audited (``result.unmatched_lines``).
-    """
-    fact = tables.read_table(spark, root, "fact_transactions").select(
-        "invoice_id", "product_id", "store_id", "date", "quantity", "line_total", "invoice_total")
-    weather = tables.read_table(spark, root, "dim_store_weather").drop("run_date")
-    stores = tables.read_table(spark, root, "dim_stores")
-    products = tables.read_table(spark, root, "dim_products")
-
-    audit = Observation("mart_lines")
-    lines = join_weather_audited(fact.select("invoice_id", "store_id", "date", "invoice_total"), weather, audit)
-    days = spark.read.parquet(tables.replace_version(
-        marts.invoice_days(lines), f"{root}/work/invoice_days"))
-    if result is not None:
-        got = tables.observed(audit)
-        result.mart_lines, result.unmatched_lines = int(got.get("lines", 0)), int(got.get("unmatched_lines", 0))
-    region = join_store(days, stores)
-    outputs = {
-        marts.M1: marts.region_impact_from(region, strict_types),
-        marts.M2: marts.product_sensitivity(fact, products, weather, strict_types),
-        marts.M3: marts.size_impact_from(region, strict_types),
-    }
-
-    def write(name):
-        t0 = time.perf_counter()
-        if mode == "append":
-            tables.append_rows(outputs[name], root, name)
-        else:
-            tables.overwrite(outputs[name], root, name)
-        if result is not None:
+    months = {r[0] for r in incoming.select(month.alias("m")).distinct().collect()}     # bounded by the calendar
+    if not months:
+        return
+    touched = {p for p in tables.live(spark, path) if month_part(p) in months}
+    held = tables.read_table(spark, root, "dim_store_weather", touched)
+    tables.replace_parts(payloads.merge_weather(held, incoming, run_date).select(*held.columns), path, month, touched,
+                         buckets, cluster, note=note)
+
+
+def mart_frames(fact: DataFrame, weather: DataFrame, stores: DataFrame, products: DataFrame,
+                strict_types: bool = False, audit: Observation | None = None) -> dict[str, DataFrame]:
+    """The three marts over all given lines, from the lines themselves: what
+    ``refresh`` keeps up to date."""
+    lines = fact.select("invoice_id", "store_id", "date", "invoice_total")
+    joined = join_weather_audited(lines, weather, audit or Observation(f"lines_{uuid.uuid4().hex[:8]}"))
+    region = join_store(marts.invoice_days(joined), stores)
+    return {marts.M1: marts.region_impact_from(region, strict_types),
+            marts.M2: marts.product_sensitivity(fact, products, weather, strict_types),
+            marts.M3: marts.size_impact(fact, stores, weather, strict_types)}
+
+
+def build_marts(spark: SparkSession, root: str, mode: str = "idempotent", strict_types: bool = False,
+                result: RunResult | None = None, buckets: int | None = None) -> None:
+    """Transform: the three marts brought up to date (or, in append mode,
+    computed over all rows and appended). Lines without weather drop out of
+    every mart; their number is audited (``result.unmatched_lines``)."""
+    result = result or RunResult(root=root, batch_id="")
+
+    def timed(name, f):
+        def run():
+            t0 = time.perf_counter()
+            f()
             result.seconds[f"marts: {name}"] = round(time.perf_counter() - t0, 3)
+        return run
 
-    concurrently({n: (lambda n=n: write(n)) for n in outputs})
+    if mode == "append":
+        audit = Observation("mart_lines")
+        frames = mart_frames(tables.read_table(spark, root, "fact_transactions"),
+                             tables.read_table(spark, root, "dim_store_weather").drop("run_date"),
+                             tables.read_table(spark, root, "dim_stores"),
+                             tables.read_table(spark, root, "dim_products"), strict_types, audit)
+        concurrently({n: timed(n, lambda n=n, df=df: tables.append_rows(df, tables.table_path(root, n)))
+                      for n, df in frames.items()})
+        got = tables.observed(audit)
+    else:
+        got = refresh(spark, root, strict_types, buckets, timed)
+        result.mart_months = got["months"]
+        result.fact_parts = result.fact_parts + got["parts"]
+    result.mart_lines, result.unmatched_lines = int(got.get("lines") or 0), int(got.get("unmatched_lines") or 0)
 
 
 def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_frame: DataFrame,
                  root: str, run_date: dt.date, batch_id: str | None = None,
-                 mode: str = "idempotent", strict_types: bool = False) -> RunResult:
+                 mode: str = "idempotent", strict_types: bool = False,
+                 database: str | None = None, buckets: int | None = None) -> RunResult:
     """Run ingest, load and transform for one batch.
 
     ``staging`` maps each source name (customers, discounts, employees,
     products, stores, transactions) to a frame with the CSV header columns,
     e.g. from ``csv.read_sources``. ``payload_frame`` holds the weather
-    responses (store_id, status, body).
+    responses (store_id, status, body). ``database``: the catalog database that
+    shows the written tables (created if absent). ``buckets``: cluster the
+    reductions and the weather by store and day in so many buckets, so that
+    their join needs no exchange; keep it the same for all runs.
     """
     if mode not in ("idempotent", "append"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -158,35 +164,45 @@ def run_pipeline(spark: SparkSession, staging: dict[str, DataFrame], payload_fra
     result = RunResult(root=root, batch_id=batch_id)
     staging_dir = f"{root}/staging"
 
+    def path(name):
+        return tables.table_path(root, name)
+
     with result.phase("ingest"):
         result.audit = load_staging(staging, staging_dir, mode)
         stg = {name: csv.read_staging(spark, staging_dir, name) for name in staging}
 
-    with result.phase("define_tables"):
-        result.defined = tables.define_tables(spark, root)
-    with result.phase("dim_dates"):
-        tables.append_rows(
-            dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")),
-            root, "dim_dates")
-    with result.phase("weather"):
+    def count_unanswered():
         result.unanswered_stores = payloads.unanswered_requests(
             payloads.weather_requests(stg["stores"]), payload_frame).count()
-        load_weather(spark, payload_frame, root, run_date, mode, result)
-    with result.phase("dimensions_and_fact"):
+
+    def load_fact():
+        tables.write_batch(facts.fact_transactions(stg["transactions"]), root, "fact_transactions", batch_id, mode)
+        if mode == "idempotent":
+            # Needs no weather, so it need not wait for the other loads.
+            result.fact_parts = sync_reductions(spark, root, buckets)
+
+    with result.phase("load"):
         loads = {
             table: (lambda t=table, b=build, n=name: tables.append_rows(
-                b(stg[n], tables.read_table(spark, root, t)), root, t))
+                b(stg[n], tables.read_table(spark, root, t)), path(t)))
             for name, (table, build) in DIM_BUILDERS.items()}
+        loads["fact_transactions"] = load_fact
+        loads["dim_store_weather"] = lambda: load_weather(spark, payload_frame, root, run_date, mode, result, buckets)
+        loads["dim_dates"] = lambda: tables.append_rows(
+            dims.dim_dates(stg["transactions"], tables.read_table(spark, root, "dim_dates")), path("dim_dates"))
         loads["dim_discounts"] = lambda: tables.write_batch(
             dims.dim_discounts(stg["discounts"]), root, "dim_discounts", batch_id, mode)
-        loads["fact_transactions"] = lambda: tables.write_batch(
-            facts.fact_transactions(stg["transactions"]), root, "fact_transactions", batch_id, mode)
+        loads["unanswered"] = count_unanswered
+        loads["load_audit"] = lambda: tables.put_part(csv.load_audit(spark, staging_dir, list(staging)),
+                                                      path("load_audit"), f"batch {batch_id}")
         concurrently(loads)
-    with result.phase("truncate_staging"):
-        concurrently({n: (lambda n=n: csv.truncate_staging(spark, staging_dir, [n])) for n in staging})
-
     with result.phase("marts"):
-        build_marts(spark, root, mode, strict_types, result)
+        concurrently({
+            "marts": lambda: build_marts(spark, root, mode, strict_types, result, buckets),
+            "truncate": lambda: csv.truncate_staging(spark, staging_dir, list(staging))})
+    if database:
+        with result.phase("catalog"):
+            result.defined = catalog.publish(spark, root, database, strict_types)
     return result
 
 
@@ -219,7 +235,12 @@ def main(argv: list[str] | None = None) -> RunResult:
                          "response per <store_id>.json file")
     ap.add_argument("--multi-line-transactions", action="store_true",
                     help="allow line breaks inside quoted fields of transactions.csv too "
-                         "(the file is then read by one task)")
+                         "(each of its files is then read by one task)")
+    ap.add_argument("--single-line", default="",
+                    help="sources (comma-separated) without line breaks inside quoted fields: "
+                         "their files are split over tasks")
+    ap.add_argument("--database", help="catalog database that shows the written tables")
+    ap.add_argument("--buckets", type=int, help="cluster lines and weather by store and day")
     ap.add_argument("--master")
     ap.add_argument("--input-gb", type=float,
                     help="size of the largest input; sizes shuffle partitions and splits")
@@ -229,9 +250,11 @@ def main(argv: list[str] | None = None) -> RunResult:
         payload_frame = payloads.read_payload_files(spark, a.payloads)
     else:
         payload_frame = spark.read.schema("store_id int, status int, body string").json(a.payloads)
-    multi_line = csv.MULTI_LINE_SOURCES + (("transactions",) if a.multi_line_transactions else ())
+    single = {n.strip() for n in a.single_line.split(",")}
+    multi_line = [n for n in csv.MULTI_LINE_SOURCES + (("transactions",) if a.multi_line_transactions else ())
+                  if n not in single]
     result = run_pipeline(spark, csv.read_sources(spark, a.sources, multi_line=multi_line), payload_frame, a.root,
-                          a.run_date, a.batch_id, a.mode, a.strict_types)
+                          a.run_date, a.batch_id, a.mode, a.strict_types, a.database, a.buckets)
     print(result)
     return result
 

@@ -8,9 +8,10 @@ results compare across engines.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -297,6 +298,10 @@ def q_transactions_by_weather(spark, d):
 
 
 # ---------------------------------------------------------------- X1-X3
+#: The part types of the driver's tables (fixed values): the wide pivot's columns.
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
 @query("category_sales")
 def q_category_sales(spark, d):
     i = Inputs(spark, d)
@@ -312,7 +317,46 @@ def q_category_totals(spark, d):
 @query("category_pivot")
 def q_category_pivot(spark, d):
     i = Inputs(spark, d)
-    return present(adhoc.category_pivot(i.fact, i.products))
+    return present(adhoc.category_pivot(i.fact, i.products, CATEGORIES))
+
+
+@query("category_maps")
+def q_category_maps(spark, d):
+    """X3 without a list of categories: the maps, written out."""
+    i = Inputs(spark, d)
+
+    def text(m):
+        return F.expr(f"array_join(transform(map_entries({m}), e -> concat(e.key, '=', cast(e.value AS string))), ';')").alias(m)
+
+    maps = adhoc.category_maps(i.fact, i.products)
+    return present(maps.select("store_id", "date", F.size("quantity").alias("categories"), text("quantity"), text("amount")))
+
+
+# ---------------------------------------------------------------- O1-O3
+def _placed(ordered: DataFrame, keys: list[str]) -> DataFrame:
+    """The place at which rows with these keys begin in a sorted frame. The
+    panels hold a row per day and flag at most."""
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    first = at.withColumn("_first", F.min("_at").over(Window.partitionBy(*keys)))
+    return first.withColumn("position", F.rank().over(Window.orderBy("_first"))).drop("_at", "_first")
+
+
+@query("sorted_time_series")
+def q_sorted_time_series(spark, d):
+    return present(_placed(reports.revenue_by_weather_over_time(_m1(Inputs(spark, d))), ["time"]).drop("value"))
+
+
+@query("sorted_top_products")
+def q_sorted_top_products(spark, d):
+    i = Inputs(spark, d)
+    top = reports.top_products_by_weather(i.fact, i.products, i.weather, keep_rank=True)
+    return present(_placed(top, ["weather_condition", "rank"]).drop("total_revenue"))
+
+
+@query("sorted_sizes")
+def q_sorted_sizes(spark, d):
+    return present(_placed(reports.revenue_by_size_and_temperature(_m3(Inputs(spark, d))),
+                           ["store_size", "temperature_range"]).drop("total_revenue"))
 
 
 # ---------------------------------------------------------------- S1-S9, E1, R2
@@ -325,17 +369,26 @@ def fixture_staging(fx: RetailFixture) -> dict[str, DataFrame]:
             "stores": fx.staging_stores, "transactions": fx.staging_transactions}
 
 
+def two_exports(df: DataFrame, path: str, key: str) -> str:
+    """A source as two exports in one folder: the second has its columns in
+    reverse order and one more."""
+    odd = F.pmod(F.col(f"`{key}`").cast("bigint"), F.lit(2)) == 1
+    csv.write_csv(df.where(~odd), f"{path}/export-0")
+    csv.write_csv(df.where(odd).select(*[F.col(f"`{c}`") for c in reversed(df.columns)], F.lit("x").alias("Not Ours")),
+                  f"{path}/export-1")
+    return path
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, d):
     """S1 + P10: staged lines written as CSV text, scanned back by column
-    name with null tokens, then loaded into the fact shape. The file has its
-    columns in reverse order and one more, and a text cell with padding, a
-    quote and a line break in every row."""
+    name with null tokens, then loaded into the fact shape. One folder holds
+    two exports with different headers, and a text cell with padding, a quote
+    and a line break in every row."""
     fx = RetailFixture(spark, d)
     stg = fx.staging_transactions.withColumn(
         "Color", F.concat(F.lit("  \"a\"\n"), F.col("`Product ID`").cast("string"), F.lit(" ")))
-    out = stg.select(*[F.col(f"`{c}`") for c in reversed(stg.columns)], F.lit("x").alias("Not Ours"))
-    path = csv.write_csv(out, scratch_path(spark, "csv") + "/transactions.csv")
+    path = two_exports(stg, scratch_path(spark, "csv") + "/transactions.csv", "Product ID")
     back = csv.scan_csv(spark, path, S.CSV_HEADERS["transactions"], multi_line=True)
     return present(facts.fact_transactions(back))
 
@@ -349,16 +402,23 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 @query("load_audit")
 def q_load_audit(spark, d):
-    """S2 + S3: rows appended to each staging table, counted while writing,
-    beside the rows read back."""
+    """S1 + S2 + S3: each source as two exports with different headers, loaded;
+    rows per staging table and source file, beside the rows counted while
+    writing."""
     fx = RetailFixture(spark, d)
-    staging_dir = scratch_path(spark, "staging")
-    frames = []
-    for n, df in fixture_staging(fx).items():
-        audited = csv.append_staging(df, staging_dir, n)
-        frames.append(csv.read_staging(spark, staging_dir, n).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(n).alias("table_name"), "rows", F.lit(audited).cast("bigint").alias("audited_rows")))
-    return _union(frames)
+    src, staging_dir = scratch_path(spark, "exports"), scratch_path(spark, "staging")
+    keys = {"customers": "Customer ID", "employees": "Employee ID", "products": "Product ID", "stores": "Store ID"}
+    staging = fixture_staging(fx)
+    staging["transactions"] = staging["transactions"].withColumn("_key", F.regexp_extract("`Invoice ID`", r"\d+", 0))
+    staging["discounts"] = fx.staging_discounts_with("p_partkey").withColumnRenamed("p_partkey", "_key")
+    pipeline.concurrently({n: (lambda n=n, df=df: two_exports(df, f"{src}/{n}.csv", keys.get(n, "_key")))
+                           for n, df in staging.items()})
+    loaded = pipeline.load_staging(csv.read_sources(spark, src), staging_dir, "append")
+    counted = csv.load_audit(spark, staging_dir).groupBy(
+        "table_name", F.regexp_extract("file", r"/export-(\d)/", 1).cast("bigint").alias("export")).agg(
+        F.sum("rows").alias("rows"))
+    observed = F.create_map(*[F.lit(x) for n, k in loaded.items() for x in (csv.STAGING_TABLES[n], k)])
+    return present(counted.withColumn("loaded_rows", observed[F.col("table_name")].cast("bigint")))
 
 
 @query("truncate_staging")
@@ -400,6 +460,22 @@ def q_batch_run(spark, d):
     return tables.row_counts(spark, root)
 
 
+@query("catalog_tables")
+def q_catalog_tables(spark, d):
+    """E1 + S7 + J2: one full batch, clustered by store and day, read through
+    the catalog: columns as declared there and rows per table."""
+    fx = RetailFixture(spark, d)
+    root, database = scratch_path(spark, "pipeline"), f"raincheck_{uuid.uuid4().hex[:12]}"
+    pipeline.run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN_DATE, database=database, buckets=4)
+    frames = []
+    for name in S.TABLES:
+        shown = spark.table(f"{database}.{name}").drop(tables.PART)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shown.schema.fields)
+        frames.append(shown.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(columns).alias("columns"), "rows"))
+    return _union(frames)
+
+
 @query("batch_marts")
 def q_batch_marts(spark, d):
     """E1 over two batches: the second run of the day delivers the other
@@ -436,7 +512,6 @@ def q_merge_weather(spark, d):
     covers even stores on even day numbers, one degree warmer."""
     fx = RetailFixture(spark, d)
     root = scratch_path(spark, "weather")
-    tables.define_table(spark, root, "dim_store_weather")
     dn = F.datediff("date_id", F.lit("1995-01-01").cast("date"))
     newer = fx.staging_weather.filter((F.col("store_id") % 2 == 0) & (dn % 2 == 0)).withColumn(
         "temp_max", (F.col("temp_max") + 1).cast("decimal(5,2)"))

@@ -8,6 +8,7 @@ body`` where ``body`` holds ``daily`` parallel arrays. Failed requests
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from raincheck import schemas as S
 from raincheck.functions.dates import day_offset
 from raincheck.functions.weather import rain_flag
 from raincheck.operators.conform import conform
+from raincheck.sources import csv
 
 OK_STATUS = 200
 FAILED_STATUS = 400
@@ -103,20 +105,26 @@ def weather_file_day(run_date_col) -> F.Column:
 
 
 def write_weather_file(records: DataFrame, out_dir: str, run_date: dt.date, batch_id: str = "") -> str:
-    """Write the flattened weather as CSV with a header, replacing an
-    earlier file of the same batch; returns the file's directory."""
+    """Write the flattened weather as CSV with a header; returns the file's
+    directory. A file that the same batch wrote before is replaced once the new
+    one is complete: a failed write leaves it as it was."""
     path = f"{out_dir.rstrip('/')}/weather/{weather_file_name(run_date)}"
     if batch_id:
         path += f"/{batch_id}"
-    records.select(*S.WEATHER_FILE_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    spark = records.sparkSession
+    jvm, top = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{top.getParent().toString()}/_draft-{uuid.uuid4().hex[:12]}")
+    csv.write_csv(records.select(*S.WEATHER_FILE_COLUMNS), draft.toString(), mode="error")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(top, True)
+    if not fs.rename(draft, top):
+        raise RuntimeError(f"cannot put the weather file in place at {path}")
     return path
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Read a weather file back (text first, then typed)."""
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-           .schema(S.all_string_schema(S.WEATHER_FILE_COLUMNS)).csv(path))
-    return store_weather(raw)
+    """Read a weather file back, columns by name (text first, then typed)."""
+    return store_weather(csv.scan_csv(spark, path, S.WEATHER_FILE_COLUMNS))
 
 
 _VALUES = ["temp_max", "temp_min", "is_rain"]
@@ -125,7 +133,8 @@ _VALUES = ["temp_max", "temp_min", "is_rain"]
 def merge_weather(existing: DataFrame | None, incoming: DataFrame, run_date: dt.date) -> DataFrame:
     """R2: keyed merge on (store_id, date_id): the newest run wins (of one
     run date, the rows that come in), store-days that do not come in are kept.
-    Returns rows with a ``run_date`` column.
+    Returns rows with a ``run_date`` column. ``existing`` need only hold the
+    months that come in.
 
     One aggregate per key (max of a struct led by the order, then the values,
     so ties are deterministic); partial aggregation bounds a hot key's work.

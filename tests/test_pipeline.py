@@ -144,10 +144,11 @@ def test_pipeline_from_csv_files_equals_typed_run(spark, fx):
 
 def test_dashboard_over_written_warehouse_equals_direct_queries(spark, fx, small_sf):
     from raincheck.plans import dashboard
-    from raincheck.plans.registry import QUERIES, present
+    from raincheck.plans.registry import CATEGORIES, QUERIES, present
     root = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN)
-    got = {**dashboard.panels(spark, root), **dashboard.category_analysis(spark, root)}
+    assert "category_maps" in dashboard.category_analysis(spark, root)
+    got = {**dashboard.panels(spark, root), **dashboard.category_analysis(spark, root, CATEGORIES)}
     for name, df in got.items():
         want = QUERIES["share_of_total" if name == "transactions_by_weather" else name](spark, small_sf)
         a = present(df)
@@ -247,15 +248,20 @@ def test_command_line_with_saved_response_files(spark, fx):
     assert r.failed_payloads == 0
 
 
+def as_written(spark, root, name):
+    path = tables.table_path(root, name)
+    return spark.read.parquet(*tables.folders(tables.live(spark, path), path))
+
+
 def test_strict_types_write_the_declared_mart_widths(spark, fx):
     root = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, strict_types=True)
-    m3 = spark.read.parquet(tables.data_path(spark, root, "data_mart_store_size_weather_impact"))
+    m3 = as_written(spark, root, "data_mart_store_size_weather_impact")
     types = {f.name: f.dataType.simpleString() for f in m3.schema.fields}
     assert types["total_revenue"] == "decimal(12,2)" and types["transaction_count"] == "int"
     default = fresh_root()
     run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, default, RUN)
-    d3 = spark.read.parquet(tables.data_path(spark, default, "data_mart_store_size_weather_impact"))
+    d3 = as_written(spark, default, "data_mart_store_size_weather_impact")
     assert {f.name: f.dataType.simpleString() for f in d3.schema.fields}["total_revenue"] == "decimal(18,2)"
     assert sorted(map(tuple, m3.select("store_size", "total_revenue").collect())) == \
         sorted(map(tuple, d3.select("store_size", "total_revenue").collect()))
@@ -297,9 +303,10 @@ def test_failed_mart_write_leaves_the_mart(spark, fx):
     bad = tables.read_table(spark, root, name).withColumn(
         "store_size", F.when(F.col("store_size").isNotNull(), F.raise_error(F.lit("no"))).cast("string"))
     with pytest.raises(Exception):
-        tables.overwrite(bad, root, name)
+        tables.replace_table(bad, tables.table_path(root, name))
     assert sorted(map(str, tables.read_table(spark, root, name).collect())) == before
-    tables.overwrite(tables.read_table(spark, root, name).limit(1), root, name)      # reads what it replaces
+    # A table may be replaced by what is read from it.
+    tables.replace_table(tables.read_table(spark, root, name).limit(1), tables.table_path(root, name))
     assert tables.read_table(spark, root, name).count() == 1
 
 
@@ -317,10 +324,10 @@ def test_rerun_with_an_empty_source_empties_its_batch(spark, fx):
 
 def test_failing_staging_read_is_not_swallowed(spark):
     d = tempfile.mkdtemp(prefix="raincheck-stg-")
-    os.makedirs(f"{d}/staging_stores/v00000001")
-    with open(f"{d}/staging_stores/v00000001/part-0.parquet", "w") as f:
+    os.makedirs(f"{d}/staging_stores/data/a")
+    with open(f"{d}/staging_stores/data/a/part-0.parquet", "w") as f:
         f.write("not parquet")
-    open(f"{d}/staging_stores/v00000001/_SUCCESS", "w").close()
+    tables.commit(spark, f"{d}/staging_stores", {"x": {"folder": "data/a", "sub": "", "of": 1}})
     with pytest.raises(Exception):
         csv.truncate_staging(spark, d, ["stores"])
     csv.truncate_staging(spark, d, ["customers"])        # never loaded: nothing to empty
