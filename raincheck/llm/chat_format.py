@@ -7,9 +7,12 @@ Operator 4 [native]. A conversation is rendered as turns
 and read by a deterministic grammar: the text splits at every close mark, each
 piece is a header ``### `` role ``: `` and a body, and in role and body a
 backslash before ``\ # < :`` stands for that character; any other backslash is
-itself. A turn is first rendered raw and read back; when what is read differs
-from the source, its conflicting characters are escaped and it is rendered
-again. The escaped form always reads back, which the operator checks for every
+itself. Control strings inside a text, ``###`` at the beginning of a line and
+``</turn`` anywhere, always get a backslash, so both stand in a formatted text as
+marks only. A turn is first rendered like this and read back; when what is read
+differs from the source (the text has backslashes of its own that would be read
+as escapes), all its conflicting characters are escaped and it is rendered
+again. That form always reads back, which the operator checks for every
 conversation before it returns it (an error is raised otherwise).
 
 The role is written with its first letter in upper case when that is
@@ -24,7 +27,7 @@ row, as the output is one text per conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CLOSE = " </turn>\n"
@@ -44,6 +47,12 @@ def escape(c: Column) -> Column:
     return F.replace(c, F.lit("</turn"), F.lit("\\</turn"))
 
 
+def guard(c: Column) -> Column:
+    """Backslashes before the control strings alone."""
+    c = F.regexp_replace(c, r"(^|\n)###", r"$1\\###")
+    return F.replace(c, F.lit("</turn"), F.lit("\\</turn"))
+
+
 def escape_role(c: Column) -> Column:
     return F.replace(escape(c), F.lit(":"), F.lit("\\:"))
 
@@ -80,8 +89,9 @@ def parse(formatted: Column) -> Column:
 
 
 def conflicts(text: Column) -> Column:
-    """Whether a turn with this raw body reads back as anything but the turn."""
-    raw = parse(render(F.lit("X"), text))
+    """Whether a turn with only its control strings escaped reads back as
+    anything but the turn."""
+    raw = parse(render(F.lit("X"), guard(text)))
     return (F.size(raw) != 1) | (F.get(raw, F.lit(0))["text"] != text)
 
 
@@ -92,33 +102,24 @@ def format_chats(turns: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("head", show_role(F.col("role")))
-    # Raw first; escaped where the raw form does not read back. Only a text
-    # with a backslash or a close mark can differ, so others skip the parse.
-    suspect = F.contains("text", F.lit("\\")) | F.contains("text", F.lit("</turn"))
+    # Only a text with a backslash can be read back as another, so others skip the parse.
+    suspect = F.contains("text", F.lit("\\"))
     rows = rows.withColumn("body", F.when(suspect & conflicts(F.col("text")), escape(F.col("text")))
-                           .otherwise(F.col("text")))
+                           .otherwise(guard(F.col("text"))))
+    # Where a turn's body begins: what the turns before it take, and its own header.
+    before = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    lead, n = F.length("head") + 6, F.length("body")
+    rows = rows.withColumn("start", (F.coalesce(F.sum(lead + n + len(CLOSE)).over(before), F.lit(0)) + lead).cast("int"))
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(
-        F.struct("turn", "role", "text", "head", "body"))).alias("t"))
+        F.struct("turn", "role", "text", "start", "head", "body"))).alias("t"))
     out = grouped.select(
         "conv_id",
         F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"),
         F.array_join(F.transform("t", lambda t: render(t["head"], t["body"])), "").alias("formatted"),
-        # (is loss, characters before the body, characters of the body)
-        F.transform("t", lambda t: F.struct(
-            (t["role"] == loss_role).alias("loss"),
-            (F.length(t["head"]) + 6).alias("lead"),
-            F.length(t["body"]).alias("n"))).alias("sizes"))
+        F.transform(F.filter("t", lambda t: t["role"] == loss_role), lambda t: F.struct(
+            t["start"].alias("start"), F.length(t["body"]).alias("n"))).alias("loss_spans"))
     out = out.withColumn("turns", parse(F.col("formatted")))
-    # Each turn takes lead + n + close; spans are running sums over the turns.
-    spans = F.aggregate(
-        "sizes",
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,n:int>>)").alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["lead"] + s["n"] + len(CLOSE)).alias("at"),
-            F.when(s["loss"], F.array_append(acc["spans"], F.struct(
-                (acc["at"] + s["lead"]).alias("start"), s["n"].alias("n"))))
-            .otherwise(acc["spans"]).alias("spans")))["spans"]
-    out = out.withColumn("loss_spans", spans)
     checked = F.when(F.col("turns") == F.col("source"), F.col("formatted")).otherwise(
         F.raise_error(F.lit("a formatted conversation does not read back as its source")).cast("string"))
     return out.select("conv_id", checked.alias("formatted"), "turns", "loss_spans")
@@ -147,15 +148,16 @@ def query(spark, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
-# What the grammar writes, from its definition: escaped where reading the raw
-# text back would change it or end the turn early.
+# What the grammar writes, from its definition: control strings escaped, and
+# everything where a text's own backslashes would be read as escapes.
 ORACLE = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), sized AS (
-  SELECT *, regexp_matches(text, '\\[\\#<:]') OR contains(' ' || text, ' </turn>' || chr(10)) AS conflict,
+  SELECT *, regexp_matches(text, '\\[\\#<:]') AS conflict,
+    length(replace(regexp_replace(text, '(^|\n)###', '\1\\###', 'g'), '</turn', '\</turn')) AS guarded,
     length(replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn', '\</turn')) AS escaped,
     length(replace(replace(replace(replace(role, '\', '\\'), '###', '\#\#\#'), '</turn', '\</turn'), ':', '\:'))
       + CASE WHEN regexp_matches(role, '^[a-z]') THEN 0 ELSE 2 END AS head
@@ -164,7 +166,7 @@ WITH turns AS (
   SELECT conv_id, count(*) AS n_turns,
     string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
     coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
-    sum(4 + head + 2 + CASE WHEN conflict THEN escaped ELSE length(text) END + 9) AS formatted_chars
+    sum(4 + head + 2 + CASE WHEN conflict THEN escaped ELSE guarded END + 9) AS formatted_chars
   FROM sized GROUP BY conv_id
 )
 SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
