@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from raincheck import schemas as S
 from raincheck.sources import tables
@@ -47,7 +48,8 @@ def define_tables(spark: SparkSession, root: str, database: str, strict_types: b
 def point_at(spark: SparkSession, table: str, parts: dict[str, dict], path: str) -> None:
     """Make the partitions of a catalog table the given parts."""
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    held = {r[0].split("=", 1)[1] for r in rows}
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    held = {unescape(r[0].split("=", 1)[1]) for r in rows}
     quoted = {p: p.replace("'", "\\'") for p in held | set(parts)}
     if held:
         gone = ", ".join(f"PARTITION (`{tables.PART}` = '{quoted[p]}')" for p in sorted(held))
@@ -83,9 +85,9 @@ def write_bucketed(df: DataFrame, target: str, buckets: int, cluster=CLUSTER) ->
     spark = df.sparkSession
     name = _clustered(spark, df.schema, target, buckets, cluster)
     try:
-        # The rows of a bucket come from one task, so a part has one file a bucket.
+        # A part's bucket comes from one task, so it is one file, however many tasks there are.
         (df.select(*[c for c in df.columns if c != tables.PART], tables.PART)
-           .repartition(buckets, *cluster).write.insertInto(name))
+           .repartition(F.col(tables.PART), F.pmod(F.hash(*cluster), F.lit(buckets))).write.insertInto(name))
     finally:
         spark.sql(f"DROP TABLE {name}")             # the rows stay: the table is external
 
