@@ -16,8 +16,11 @@ time (one of more than twice that many rows is packed in runs of that size).
 Only ids and lengths are exchanged, never texts.
 
 Defined results: a null, empty or blank text has no words and gives one row
-with a null bin; equal lengths are ordered by id, then by text hash; repeated rows are packed
-each by itself; an empty table gives no rows; extra columns are not read.
+with a null bin; texts of any length are cut into pieces; equal lengths are
+ordered by id, then by text hash; repeated rows are packed each by itself, and
+the copies of a row that stands very often are dealt over many shards (which of
+them goes where makes no difference but for the names of the bins); an empty
+table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -100,7 +103,8 @@ def pack_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, fixed: int = F
                        F.least(F.col("n") - start, F.lit(largest)).alias("n_tokens"))
     rows = C.stored(rows, "pieces")                       # ids and lengths only
     shards = max(1, -(-rows.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("d", "th", "piece"), F.lit(shards)).cast("bigint"))
+    rows = spread_copies(rows, max(1, shard_rows // 10))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("d", "th", "piece", "salt"), F.lit(shards)).cast("bigint"))
     rows = rows.repartition("shard").sortWithinPartitions(
         "shard", F.desc("n_tokens"), "d", "th", "piece")
     schema = T.StructType([
@@ -112,6 +116,21 @@ def pack_documents(docs: DataFrame, sizes: Sequence[int] = SIZES, fixed: int = F
         _packer(tuple(sizes), fixed, 2 * shard_rows), schema)
 
 
+def spread_copies(rows: DataFrame, most: int) -> DataFrame:
+    """Adds ``salt``, which deals the copies of a row that stands more than
+    ``most`` times over as many shards as they need; 0 for all others. ``rows``
+    is a written table: a copy is told from another by its place in the files,
+    which stays the same however often it is read."""
+    key = ["d", "th", "piece"]
+    many = C.stored(rows.groupBy(*key).count().where(F.col("count") > most), "copies")
+    if many.isEmpty():
+        return rows.withColumn("salt", F.lit(0))
+    placed = rows.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("place"))
+    spread = many.select(*key, F.ceil(F.col("count") / most).alias("spread"))
+    return placed.join(spread, key, "left").withColumn(
+        "salt", F.pmod("place", F.coalesce("spread", F.lit(1))).cast("int")).drop("place", "spread")
+
+
 def _packer(sizes, fixed, most):
     def finish(parts: list[pa.RecordBatch], shard: int, run: int) -> pa.RecordBatch:
         whole = pa.Table.from_batches(parts).combine_chunks()

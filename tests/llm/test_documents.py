@@ -338,6 +338,30 @@ def test_packing_is_whole_and_fits(messy, pairs, shard):
             at += p["n_tokens"]
 
 
+def test_packing_deals_copies_over_shards(llm_spark):
+    """Two thirds of the rows are one row: its copies spread over the shards, none is lost."""
+    rows = [(5, "a b c")] * 6000 + [(k, "w " * (k % 50)) for k in range(100, 3100)]
+    df = llm_spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = best_fit.pack_documents(df, sizes=(64, 128), shard_rows=300).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got) == sorted((d, len(t.split())) for d, t in rows)
+    shards = {}
+    for r in got:
+        if r["doc_id"] == 5:
+            shard = r["bin_id"].split("-")[0]
+            shards[shard] = shards.get(shard, 0) + 1
+    assert len(shards) >= 25 and max(shards.values()) < 6000 / 5
+    used = {}
+    for r in got:
+        if r["bin_id"] is not None:
+            used.setdefault(r["bin_id"], []).append((r["bin_offset"], r["n_tokens"], r["bin_size"]))
+    for pieces in used.values():
+        at = 0
+        for offset, n, size in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= size
+
+
 def test_packing_empty(nothing):
     assert best_fit.pack_documents(nothing).collect() == []
 
