@@ -98,12 +98,18 @@ def global_marks(rows: np.ndarray) -> np.ndarray:
     return np.concatenate((rows[later], kept[several]))
 
 
+def anywhere(d: np.ndarray, start: np.ndarray, buckets: int) -> np.ndarray:
+    """An even bucket for rows that need not meet others, from document and place."""
+    mixed = C.mix(C.mix(d.astype(np.int64).view(np.uint64)) ^ start.astype(np.int64).view(np.uint64))
+    return (mixed % np.uint64(buckets)).astype(np.int64)
+
+
 def _send(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
     rows = local_marks(rows)
     asks = rows["kind"] <= TELL
     bucket = (C.mix(rows["key"]) % np.uint64(buckets)).astype(np.int64)
-    # What is settled needs no meeting: spread it by document.
-    bucket[~asks] = (rows["d"][~asks] % buckets)
+    # What is settled needs no meeting: spread it evenly, whatever the ids and however many rows share one.
+    bucket[~asks] = anywhere(rows["d"][~asks], rows["start"][~asks], buckets)
     order = np.argsort(bucket, kind="stable")
     rows, bucket = rows[order], bucket[order]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))

@@ -150,3 +150,18 @@ def test_marks_of_a_key_with_many_equal_segments():
     assert np.count_nonzero(sent["kind"] == anchors.REMOVED) == 999
     assert np.count_nonzero(sent["kind"] == anchors.ASK) == 1
     assert len(anchors.global_marks(sent[sent["kind"] <= anchors.TELL])) == 0
+
+
+def test_settled_rows_spread_whatever_their_ids():
+    """Ids that share a factor with the number of buckets, and one id for all rows."""
+    import numpy as np
+
+    from raincheck.llm import anchors
+    n, buckets = 20_000, 64
+    for d in (np.arange(n) * 1000, np.full(n, -(1 << 63)), np.arange(n) * buckets):
+        got = np.bincount(anchors.anywhere(d, np.arange(n), buckets), minlength=buckets)
+        assert got.min() > n / buckets / 2 and got.max() < 2 * n / buckets
+    rows = np.zeros(4000, anchors.ROW)
+    rows["key"], rows["h"], rows["d"], rows["n"] = 7, 9, np.repeat([0, 1000], 2000), 1
+    rows["start"] = np.tile(np.arange(2000), 2)          # one content many times: all but the first are settled
+    assert len(set(anchors._send(rows, 16).column(0).to_pylist())) == 16
