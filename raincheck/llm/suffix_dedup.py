@@ -151,7 +151,7 @@ def _strings(hot_at: int, buckets: int, width: int):
                 later = (d[row] != d[row[head]]) | (part != part[head])
                 if later.any():
                     docs = d[row[later]]                  # settled: they need not meet others
-                    yield _batch(anchors.anywhere(docs, part[later], buckets), docs, tag[row[later]], part[later],
+                    yield _batch(A.anywhere(docs, part[later], buckets), docs, tag[row[later]], part[later],
                                  np.full(len(docs), -1), [None] * len(docs))
                 one = np.ones(int((~later).sum()), np.int64)
                 yield from _emit(data, offsets, row[~later], part[~later], one, C.mix(key[~later] ^ h1[~later]),
