@@ -8,12 +8,12 @@ components.
 Links are found between distinct fingerprints. The 64 bits are cut into blocks
 of which any two linked fingerprints must agree on some (``masks``), and each
 fingerprint goes to one group per mask, keyed by its bits under that mask.
-Inside a group the fingerprints are sorted by Gray rank, so that neighbours
-share most bits; leaves of consecutive fingerprints and upper nodes above them
-keep the bits that all their members share. Two nodes whose shared bits
-already differ too much are dropped with everything below them; a child adds
-only the bits that its parents had not compared yet to the differences
-accumulated so far. Leaves that survive are compared bit by bit. A group gives
+Inside a group, of whatever size, the fingerprints are sorted by Gray rank, so
+that neighbours share most bits; upper nodes over consecutive fingerprints keep
+the bits that all their members share. Two nodes whose shared bits already
+differ too much are dropped with everything below them; a child adds only the
+bits that its parents had not compared yet to the differences accumulated so
+far, until single fingerprints have been compared in all bits. A group gives
 one row per linked fingerprint (to its local root), never the pairs; groups of
 more than ``most`` fingerprints are dealt out as pairs of chunks, so that no
 task holds more than two chunks. Components are then joined over all groups by
@@ -45,9 +45,11 @@ MAX_DISTANCE = 4
 SEED = 42
 #: Fingerprints of one group that one task compares at a time (two chunks of it).
 MOST = 8_192
-#: Group size that the number of blocks aims at.
-GROUP = 256
-LEAF, FAN = 32, 8
+#: Group size that the masks aim at.
+GROUP = 1_024
+#: Children of a node, and pairs of nodes that are compared at a time.
+FAN = 2
+PAIRS = 16_384
 
 
 # -- fingerprints ---------------------------------------------------------
@@ -129,74 +131,69 @@ class Components:
 
 
 class Index:
-    """Hierarchy over fingerprints in Gray order; nodes keep their shared bits."""
+    """Hierarchy over fingerprints in Gray order; nodes keep their shared bits.
+
+    The lowest nodes are the fingerprints themselves, which share all bits with
+    themselves, so the differences accumulated down to them are exact.
+    ``looked`` and ``dropped`` count the pairs of upper nodes, and those of them
+    that went with everything below because their shared bits differ too much.
+    """
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        low = np.bitwise_and.reduceat(codes, np.arange(0, len(codes), LEAF))
-        high = np.bitwise_or.reduceat(codes, np.arange(0, len(codes), LEAF))
+        self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
+        low = high = self.codes
         self.levels = [(~(low ^ high), low)]             # (mask of shared bits, those bits)
         while len(low) > FAN:
             at = np.arange(0, len(low), FAN)
             low, high = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at)
             self.levels.append((~(low ^ high), low))
+        self.looked = self.dropped = 0
+
+    def components(self, most: int) -> Components:
+        """Components of the links between fingerprints with at most ``most`` differing bits.
 
-    def near_leaves(self, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of leaves (a <= b) whose shared bits differ in at most ``most``."""
-        n = len(self.levels[-1][0])
-        a, b = np.triu_indices(n)
-        done, differ = np.zeros(len(a), np.uint64), np.zeros(len(a), np.int64)
-        for depth in range(len(self.levels) - 1, -1, -1):
+        Pairs of nodes (a <= b) are followed down depth first, ``PAIRS`` at a
+        time, so memory is bounded whatever the group looks like.
+        """
+        n = len(self.codes)
+        out = Components(n)
+        a, b = np.triu_indices(len(self.levels[-1][0]))
+        todo = [(len(self.levels) - 1, a, b, np.zeros(len(a), np.uint64), np.zeros(len(a), np.int64))]
+        while todo:
+            depth, *pairs = todo.pop()
+            if len(pairs[0]) > PAIRS:
+                todo.append((depth, *(x[PAIRS:] for x in pairs)))
+                pairs = [x[:PAIRS] for x in pairs]
+            a, b, done, differ = pairs
             mask, bits = self.levels[depth]
             joint = mask[a] & mask[b]
-            fresh = joint & ~done                        # bits the parents had not compared
-            differ = differ + np.bitwise_count((bits[a] ^ bits[b]) & fresh)
-            keep = differ <= most
-            a, b, done, differ = a[keep], b[keep], joint[keep], differ[keep]
+            differ = differ + np.bitwise_count((bits[a] ^ bits[b]) & joint & ~done)   # bits not compared above
+            near = differ <= most
             if depth:
+                self.looked += len(a)
+                self.dropped += len(a) - int(near.sum())
+            at = np.arange(0, n, FAN ** depth)
+            least, top = np.minimum.reduceat(out.root, at), np.maximum.reduceat(out.root, at)
+            keep = near & ((least[a] != top[b]) | (least[b] != top[a]))   # else one component already
+            a, b, done, differ = a[keep], b[keep], joint[keep], differ[keep]
+            if not depth:
+                out.link(a, b)
+            elif len(a):
                 size = len(self.levels[depth - 1][0])
                 ca = (a[:, None] * FAN + np.repeat(np.arange(FAN), FAN)).ravel()
                 cb = (b[:, None] * FAN + np.tile(np.arange(FAN), FAN)).ravel()
-                ok = (ca < size) & (cb < size) & (ca <= cb)
-                a, b = ca[ok], cb[ok]
-                done, differ = np.repeat(done, FAN * FAN)[ok], np.repeat(differ, FAN * FAN)[ok]
-        return a, b
-
-    def components(self, most: int) -> Components:
-        n = len(self.codes)
-        out = Components(n)
-        leaves = len(self.levels[0][0])
-        member = np.minimum(np.arange(leaves * LEAF), n - 1).reshape(leaves, LEAF)   # the last repeats
-        a, b = self.near_leaves(most)
-        for at in range(0, len(a), 512):
-            x, y = a[at:at + 512], b[at:at + 512]
-            roots = out.root[member]
-            one = roots.min(axis=1) == roots.max(axis=1)     # a leaf within one component
-            open_ = ~(one[x] & one[y] & (roots[x, 0] == roots[y, 0]))
-            x, y = x[open_], y[open_]
-            if not len(x):
-                continue
-            c = self.codes[member]
-            near = np.bitwise_count(c[x][:, :, None] ^ c[y][:, None, :]) <= most
-            p, i, j = np.nonzero(near)
-            out.link(member[x[p], i], member[y[p], j])
+                ok = (cb < size) & (ca <= cb)
+                todo.append((depth - 1, ca[ok], cb[ok],
+                             np.repeat(done, FAN * FAN)[ok], np.repeat(differ, FAN * FAN)[ok]))
         return out
 
 
 def link_group(codes: np.ndarray, most: int = MAX_DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, root) for the fingerprints of a group that are linked to another."""
-    codes = codes[np.argsort(gray_rank(codes), kind="stable")]
-    if len(codes) <= LEAF:
-        near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= most
-        i, j = np.nonzero(np.triu(near, 1))
-        if not len(i):
-            return codes[:0], codes[:0]
-        comps = Components(len(codes))
-        comps.link(i, j)
-    else:
-        comps = Index(codes).components(most)
-    moved = np.flatnonzero(comps.root != np.arange(len(codes)))
-    return codes[moved], codes[comps.root[moved]]
+    index = Index(codes)
+    root = index.components(most).root
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return index.codes[moved], index.codes[root[moved]]
 
 
 # -- links over all fingerprints -------------------------------------------
@@ -204,18 +201,21 @@ def link_group(codes: np.ndarray, most: int = MAX_DISTANCE) -> tuple[np.ndarray,
 def masks(n: int, max_distance: int = MAX_DISTANCE, group: int = GROUP) -> list[int]:
     """Bit masks such that fingerprints within the distance agree under one.
 
-    ``max_distance + k`` blocks, every choice of k of them a mask; the least k
-    whose masks are wide enough to give n random fingerprints groups of about
-    ``group``.
+    The 64 bits are cut into ``max_distance + k`` blocks; every choice of k
+    blocks is a mask, of as many low bits of each as give n random fingerprints
+    groups of about ``group``, and k is the least that can. Groups are as large
+    as the index wants them, which keeps the masks, and so the rows, few:
+    5 up to 4 million fingerprints and 15 up to 10^9 at a distance of 4.
     """
+    need = max(0, -(-n // group) - 1).bit_length()
+    if not need:
+        return [0]
     for k in range(1, 65 - max_distance):
-        blocks = max_distance + k
-        cuts = [64 * i // blocks for i in range(blocks + 1)]
-        bits = min(sum(sorted(cuts[i + 1] - cuts[i] for i in range(blocks))[:k]), 63)
-        if n >> bits <= group or k == 4:
-            parts = [((1 << cuts[i + 1]) - (1 << cuts[i])) for i in range(blocks)]
-            return [sum(c) for c in combinations(parts, k)]
-    return [(1 << 64) - 1]
+        cuts = [64 * i // (max_distance + k) for i in range(max_distance + k + 1)]
+        width = -(-need // k)
+        if width <= min(j - i for i, j in zip(cuts, cuts[1:])):
+            return [sum(((1 << width) - 1) << c for c in chosen) for chosen in combinations(cuts[:-1], k)]
+    return [0]
 
 
 def near_links(fps: DataFrame, n: int, max_distance: int = MAX_DISTANCE, most: int = MOST) -> DataFrame:

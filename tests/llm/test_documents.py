@@ -68,7 +68,7 @@ def test_index_finds_all_links():
             x ^= np.uint64(1) << rng.integers(0, 64, len(x)).astype(np.uint64)
         near.append(x)
     codes = np.unique(np.concatenate([*near, rng.integers(0, 1 << 63, 900).astype(np.uint64)]))
-    for n in (5, 33, len(codes)):
+    for n in (1, 2, 3, 5, 33, len(codes)):
         part = rng.permutation(codes)[:n]
         fp, root = simhash_dedup.link_group(part, 4)
         got = dict(zip(fp.tolist(), root.tolist()))
@@ -81,7 +81,37 @@ def test_index_finds_all_links():
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
-@pytest.mark.parametrize("n,distance", [(10, 4), (10 ** 7, 4), (10 ** 10, 4), (1000, 1), (1000, 10)])
+@pytest.mark.parametrize("pairs", [7, simhash_dedup.PAIRS])
+def test_index_links_a_dense_group_in_bounded_steps(monkeypatch, pairs):
+    monkeypatch.setattr(simhash_dedup, "PAIRS", pairs)
+    fp, root = simhash_dedup.link_group(np.arange(1024, dtype=np.uint64), 1)    # a chain through all of them
+    assert len(fp) == 1023 and len(set(root.tolist())) == 1
+
+
+def test_index_prunes_on_the_given_texts(llm_spark):
+    """The masks leave large groups of a real table, most pairs in them go unread, and no link is lost."""
+    docs = llm_spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    codes = np.unique(np.array([r["fp"] for r in simhash_dedup.fingerprints(docs).select("fp").collect()],
+                               np.int64).view(np.uint64))
+    singles = looked = dropped = largest = 0
+    found = set()
+    for m in simhash_dedup.masks(len(codes)):
+        keys = codes & np.uint64(m)
+        for v in np.unique(keys):
+            index = simhash_dedup.Index(codes[keys == v])
+            root = index.components(4).root
+            n = len(root)
+            singles, looked, dropped = singles + n * (n - 1) // 2, looked + index.looked, dropped + index.dropped
+            largest = max(largest, n)
+            moved = np.flatnonzero(root != np.arange(n))
+            found |= set(index.codes[moved].tolist()) | set(index.codes[root[moved]].tolist())
+    assert largest > 256 and dropped > 0 and looked < singles / 2
+    apart = np.bitwise_count(codes[:, None] ^ codes[None, :])
+    np.fill_diagonal(apart, 64)
+    assert found == set(codes[apart.min(axis=1) <= 4].tolist())
+
+
+@pytest.mark.parametrize("n,distance", [(0, 4), (10, 4), (5000, 4), (10 ** 7, 4), (10 ** 10, 4), (1000, 1), (1000, 10)])
 def test_masks_meet_all_near_pairs(n, distance):
     rng = np.random.default_rng(n % 97)
     masks = simhash_dedup.masks(n, distance)
