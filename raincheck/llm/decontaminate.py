@@ -8,14 +8,20 @@ leads to a bucket of patterns that share that suffix hash, and the words
 themselves are compared to confirm. Many stretches of text advance in step as
 numpy arrays, each by its own shift.
 
-The items are read in blocks of at most ``max_patterns`` patterns. The tables
-of a block are the only broadcast and bounded by that number; every further
-block is another pass of the same map over the documents, so neither the
-documents nor the benchmark are shuffled and no size is refused.
+Spark splits the items into distinct patterns and deals these by hash into
+blocks of about ``max_patterns`` rows and ``max_bytes`` bytes. The tables of a
+block are the only broadcast, and one block is live at a time: the first is
+searched for in the map that returns the documents, each further one in a pass
+of its own that writes the texts it hits, after which its broadcast is
+destroyed. Written hits meet their documents by the hash of the text, a merge
+join that is needed for more than one block only. No size is refused.
 
 Defined results: null and empty texts have no words and are never hit; null or
 empty items give no pattern; a null item_id counts as the empty string;
-repeated items and repeated documents give the same answer as one; an empty
+repeated items and repeated documents give the same answer as one, and
+documents with the same text the same hits; of items that share a pattern all
+are named; a very long text is searched in stretches, a very long word is one
+word (and the one pattern row that may exceed a block's bytes); an empty
 benchmark hits nothing; an empty documents table gives no rows. Input columns
 are passed through under any name, results are added under the names given.
 """
@@ -23,6 +29,7 @@ are passed through under any name, results are added under the names given.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +41,12 @@ from raincheck.llm import common as C
 
 WINDOW_WORDS = 10
 BLOCK = 2
+#: Pattern rows and bytes that one broadcast block aims at, and a row's bytes beside its text.
 MAX_PATTERNS = 200_000
+MAX_BYTES = 16 << 20
+ROW_BYTES = 64
+#: Patterns of one batch that the splitting of items passes on.
+_BATCH = 4_096
 #: Window ends that one search cursor covers.
 STRETCH = 256
 
@@ -157,55 +169,83 @@ class Patterns:
         return np.diff(first), [covered[edges[r]:edges[r + 1]] - first[r] for r in range(rows)], ids
 
 
-def pattern_blocks(items: DataFrame, n: int = WINDOW_WORDS, max_patterns: int = MAX_PATTERNS
-                   ) -> Iterator[dict[tuple[bytes, ...], set[str]]]:
-    """Blocks of patterns -> item ids; one partition of items at a time is on the driver."""
-    block: dict[tuple[bytes, ...], set[str]] = {}
-    for row in items.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        words = text_words(row[1])
-        for i in range(max(1, len(words) - n + 1) if words else 0):
-            block.setdefault(tuple(words[i:i + n]), set()).add(row[0] or "")
-            if len(block) >= max_patterns:
-                yield block
-                block = {}
-    yield block
+def pattern_rows(items: DataFrame, n: int = WINDOW_WORDS) -> DataFrame:
+    """pattern (its words, one space between), item: the distinct patterns of every item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = text_words(text)
+                count = max(1, len(words) - n + 1) if words else 0
+                for at in range(0, count, _BATCH):
+                    part = [b" ".join(words[i:i + n]) for i in range(at, min(at + _BATCH, count))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part, pa.binary()), pa.array([item] * len(part), pa.string())], ["pattern", "item"])
+
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return rows.mapInArrow(run, "pattern binary, item string").distinct()
+
+
+def read_block(rows: DataFrame, k: int, blocks: int) -> Patterns:
+    """The tables of one block of patterns; the driver holds no other meanwhile."""
+    windows: dict[tuple[bytes, ...], set[str]] = {}
+    block = rows.where(F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks)) == k).toArrow()
+    for pattern, item in zip(block.column(0).to_pylist(), block.column(1).to_pylist()):
+        windows.setdefault(tuple(pattern.split(b" ")), set()).add(item)
+    return Patterns(windows)
 
 
 def match_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", out: str = "hits",
-                    n: int = WINDOW_WORDS, max_patterns: int = MAX_PATTERNS) -> DataFrame:
+                    n: int = WINDOW_WORDS, max_patterns: int = MAX_PATTERNS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Add ``out``: struct(n_words, hit_words: indices of hit words, items: ids)."""
-    spark = docs.sparkSession
-    columns = docs.columns
-    where = columns.index(text)
-    for k, windows in enumerate(pattern_blocks(items, n, max_patterns)):
-        if k and not windows:
-            continue
-        shared = spark.sparkContext.broadcast(Patterns(windows))
-        schema = T.StructType([*docs.schema.fields[:len(columns)], T.StructField(out, RESULT)])
-        docs = docs.mapInArrow(_matcher(shared, where, k > 0, out), schema)
-    return docs
-
-
-def _matcher(shared, where: int, again: bool, out: str):
+    share = docs.sparkSession.sparkContext.broadcast
+    rows = C.stored(pattern_rows(items, n), "patterns")
+    size = F.octet_length("pattern") + F.octet_length("item") + F.lit(ROW_BYTES)
+    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    blocks = max(1, -(-count // max_patterns), -(-total // max_bytes))
+
+    key = "__key"
+    while key in docs.columns:
+        key += "_"
+    of_text = F.md5(F.coalesce(F.col(text), F.lit("")))
+    written = []
+    for k in range(1, blocks):
+        tables = share(read_block(rows, k, blocks))
+        hits = _searched(docs.select(of_text.alias(key), text), tables, 1, "h").where(F.size("h.hit_words") > 0)
+        written.append(C.stored(hits.groupBy(key).agg(F.first("h").alias("h")), "block-hits"))
+        tables.destroy()
+
+    found = _searched(docs, share(read_block(rows, 0, blocks)), docs.columns.index(text), out)
+    if not written:
+        return found
+    more = reduce(DataFrame.unionByName, written).groupBy(key).agg(          # a row of each block at most
+        F.flatten(F.collect_list("h.hit_words")).alias("w"), F.flatten(F.collect_list("h.items")).alias("i"))
+    more = C.stored(more.select(key, F.struct("w", "i").alias(key + "more")), "hits")
+    found = C.by_key(found.withColumn(key, of_text), more, [key], "left")
+    first, rest = F.col(out), F.col(key + "more")
+    merged = F.struct(first["n_words"].alias("n_words"), *[
+        F.when(rest.isNull(), first[a]).otherwise(F.array_sort(F.array_union(first[a], rest[b]))).alias(a)
+        for a, b in (("hit_words", "w"), ("items", "i"))])
+    return found.select(*docs.columns, merged.alias(out))
+
+
+def _searched(docs: DataFrame, shared, where: int, out: str) -> DataFrame:
+    """Add ``out`` for the patterns of one block; the text is column number ``where``."""
+    kind = pa.struct([("n_words", pa.int64()), ("hit_words", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = shared.value
-        kind = pa.struct([("n_words", pa.int64()), ("hit_words", pa.list_(pa.int32())),
-                          ("items", pa.list_(pa.string()))])
         for batch in batches:
             data, offsets = C.text_bytes(batch.column(where))
             for i, j in C.blocks(offsets):
                 part = batch.slice(i, j - i)
                 counts, covered, ids = patterns.match(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                if again:                              # join to what earlier blocks of items found
-                    old = part.column(part.num_columns - 1).to_pylist()
-                    covered = [np.union1d(c, np.array(o["hit_words"], np.int64)) for c, o in zip(covered, old)]
-                    ids = [s | set(o["items"]) for s, o in zip(ids, old)]
-                    part = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1])
                 found = pa.StructArray.from_arrays(
                     [pa.array(counts, pa.int64()), pa.array([c.astype(np.int32) for c in covered], pa.list_(pa.int32())),
                      pa.array([sorted(s) for s in ids], pa.list_(pa.string()))], fields=list(kind))
                 yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, out])
-    return run
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, RESULT)]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -248,6 +248,18 @@ def test_decontamination(llm_spark, messy, pairs, block):
     assert rows == brute_hits(pairs, items)
 
 
+def test_decontamination_bounds_blocks_by_bytes(llm_spark, messy, pairs, monkeypatch):
+    items = bench_rows(pairs) + [(9, "y" * 5000 + " z")]
+    bench = llm_spark.createDataFrame(items, "item_id bigint, text string").repartition(4)
+    whole = decontaminate.match_benchmark(messy, bench, out="found")
+    sizes, real = [], decontaminate.read_block
+    monkeypatch.setattr(decontaminate, "read_block", lambda rows, k, n: sizes.append((k, n)) or real(rows, k, n))
+    blocks = decontaminate.match_benchmark(messy, bench, out="found", max_bytes=2_500)
+    assert sorted(k for k, _ in sizes) == list(range(sizes[0][1])) and len(sizes) >= 3
+    assert blocks.schema["found"].dataType.fieldNames() == whole.schema["found"].dataType.fieldNames()
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_decontamination_empty(llm_spark, messy, nothing):
     none = llm_spark.createDataFrame([], "item_id bigint, text string")
     assert all(r["hits_"]["hit_words"] == [] for r in decontaminate.match_benchmark(messy, none, out="hits_").collect())
