@@ -20,12 +20,15 @@ equals, the rightmost position.
 Defined results: null text: empty; a text with no units (characters, pieces) has an empty
 fingerprint, one with fewer than k a single hash of all it has; two
 empty fingerprints have likeness 1, one empty one 0. Documents are ordered by
-(id, null first; hash of the text); repeated rows follow one another. An empty
+(id, null first; hash of the text); repeated rows follow one another. Rows of
+one id may span runs; rows that share id and text stay in one. An empty
 table gives no rows; columns outside ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,25 +144,32 @@ def likeness(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)) * F.lit(2.0) / total)
 
 
-def _runs(docs: DataFrame, run_rows: int, d: Column) -> Column:
-    """A non-decreasing function of the id that cuts the documents into runs.
+def _runs(docs: DataFrame, run_rows: int, d: Column, th: Column) -> Column:
+    """A non-decreasing function of (id, text hash) that cuts the documents into runs.
 
     Up to 256 quantiles of the id, then equal steps between two of them, so a
-    run has about ``run_rows`` documents at any size of the table.
+    run has about ``run_rows`` documents at any size of the table. An id that
+    is more than one quantile holds a good part of all rows: its own rows come
+    first in their interval, in equal steps of the text hash.
     """
     ranks = [i / _RANKS for i in range(_RANKS + 1)]
     n, q = docs.agg(F.count(F.lit(1)), F.percentile_approx("__d", ranks, 10_000)).first()
-    if not n:
+    if not n or n <= run_rows:
         return F.lit(0).cast("bigint")
-    bounds = sorted(set(q))
+    times = Counter(q)
+    bounds = sorted(times)
+    hot = {x: max(1, -(-n * c // (_RANKS * run_rows))) for x, c in times.items() if c > 1}
     steps = max(1, -(-n // (max(1, len(bounds) - 1) * run_rows)))
-    if n <= run_rows:
-        return F.lit(0).cast("bigint")
+    wide = max([steps, *hot.values()])
     at = F.array_size(F.filter(F.lit(bounds), lambda b: b <= d))
     low, high = F.get(F.lit(bounds), at - 1), F.get(F.lit(bounds), at)
     part = F.when((at == 0) | (at >= len(bounds)), F.lit(0)).otherwise(F.least(F.lit(steps - 1), F.floor(
-        (d.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double")) * steps)))
-    return at.cast("bigint") * steps + part
+        (d.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double")) * steps))) + wide
+    if hot:
+        own = F.get(F.lit([hot.get(x, 0) for x in bounds]), at - 1)          # its steps, 0 for an id that is not hot
+        part = F.when((at > 0) & (low == d) & (own > 0), F.least(own - 1, F.floor(
+            (th.cast("double") / 2.0 ** 64 + 0.5) * own))).otherwise(part)
+    return at.cast("bigint") * (2 * wide) + part
 
 
 def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -171,7 +181,7 @@ def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     the run; the last ones are joined to the first ones of the runs that follow.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("__run", _runs(rows.select(doc_key().alias("__d")), run_rows, doc_key()))
+    rows = rows.withColumn("__run", _runs(rows.select(doc_key().alias("__d")), run_rows, doc_key(), row_key()))
     place = F.struct(doc_key().alias("d"), row_key().alias("th"))
     ends = rows.groupBy("__run").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     order = Window.orderBy("__run")                      # one small row per run

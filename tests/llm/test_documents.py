@@ -203,6 +203,23 @@ def test_winnowing_finds_shared_passages_at_any_offset(llm_spark):
     assert got[100]["near"] > 0.95
 
 
+@pytest.mark.parametrize("hot", [None, 0, 1500, 5000])
+def test_winnowing_spreads_a_hot_id(llm_spark, hot):
+    """A third of the rows under one id: no run holds much more than the others, and no row loses its next one."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i * 7919 % 3001} {i}") for i in range(3000)]
+    docs = llm_spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    d, th = winnowing.doc_key(), winnowing.row_key()
+    run = winnowing._runs(docs.select(d.alias("__d")), 50, d, th)
+    sizes = docs.groupBy(run.alias("run")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(d, th)).alias("a"), F.max(F.struct(d, th)).alias("b")).orderBy("run").collect()
+    assert max(r["n"] for r in sizes) <= 150
+    assert all(x["b"] < y["a"] for x, y in zip(sizes, sizes[1:]))
+    hashed = docs.select("doc_id", "text", d.alias("d"), th.alias("th")).collect()
+    order = [r["text"] for r in sorted(hashed, key=lambda r: (r["d"], r["th"]))]
+    got = winnowing.with_next(docs, run_rows=50).select("text", "next_text").collect()
+    assert sorted((r["text"], r["next_text"]) for r in got) == sorted(zip(order, order[1:] + order[:1]))
+
+
 def test_winnowing_empty(nothing):
     assert winnowing.with_next(nothing).collect() == []
 
