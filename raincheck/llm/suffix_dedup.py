@@ -3,28 +3,30 @@
 Operator 3. Treats texts as UTF-8 bytes and removes each byte covered by a
 ``WIDTH``-byte string that also starts earlier.
 
-Candidates first: a window's anchor is its smallest k-gram hash (the leftmost
-of equal ones); stretches of windows with one anchor are compared over all
+Candidates first: a window's anchor is its k-gram with the smallest hash (its
+upper 32 bits; the leftmost of equal ones); stretches of windows with one anchor are compared over all
 documents by ``anchors.marks``, which settles stretches that are equal as a
 whole and drops those whose anchor occurs once. What is left, the stretches
 that share an anchor but differ, is a collection of short strings, dealt out
 by anchor into buckets of about ``BUCKET_BYTES``.
 
 In each bucket the Burrows-Wheeler transform of the whole collection is built
-as in external column-wise construction: round r adds to every string its
-suffix of length r, that is one symbol per string, and the files of the
-transform (suffix order, preceding symbols) are rewritten front to back. The
-new order is the old one, sorted stably by preceding symbol. Buckets are
-bounded, so these sequential files are arrays in the task's memory and need no
-local disk. At the end neighbours that have ``WIDTH`` bytes in common form
-classes of equal strings, and every member after the earliest is a repeat.
+as in external column-wise construction: round r inserts the suffix of length
+r of every string, that is one symbol per string, and the files of the
+transform (suffix order, preceding symbols, common prefixes of neighbours) are
+rewritten front to back. A new suffix goes where the old order, by preceding
+symbol, has the one that it prolongs; its common prefixes follow from the old
+ones by range minima. Buckets are bounded, so these sequential
+files are arrays in the task's memory and need no local disk. At the end the
+order is cut where the common prefix is under ``WIDTH``: what stays together
+is a class of equal strings, and every member after the earliest is a repeat.
 
 An anchor with more than ``HOT`` stretches (a passage in very many documents,
 with different text around) would make a large bucket: its windows are dealt
 out one by one, by their content, after merging equal ones in each task.
 
 Defined results: null text: empty; texts shorter than the width lose nothing;
-a null doc_id is before all others; rows that share a doc_id are one document
+a very long text is cut into stretches like any other; a null doc_id is before all others; rows that share a doc_id are one document
 as to order, so equal places of theirs remove neither; repeated rows get equal
 results; an empty table gives no rows; extra columns are not read.
 """
@@ -46,6 +48,9 @@ WIDTH = 100
 GRAM = 32
 BUCKET_BYTES = 200_000
 HOT = 2_000
+HALF = np.uint64(32)
+#: The position in a mark; its symbol is above.
+LOW = (1 << 32) - 1
 
 PLACES = "d bigint, tag int, start bigint, n int"
 
@@ -56,15 +61,15 @@ def cut_segments(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram
     none = np.zeros(0, np.int64)
     if not count.any():
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    bits = np.uint64(int(len(data)).bit_length())
     rolling = C.Rolling(data)
     n = len(data) - gram + 1
     grams = C.mix((rolling.sums[gram:] - rolling.sums[:-gram]) * rolling.down[:n])
-    # The place below the hash: the smallest value is the leftmost smallest hash.
-    value = ((grams >> bits) << bits) | np.arange(n, dtype=np.uint64)
+    # The place (Arrow strings are under 2 GB) below half of the hash: the smallest value is
+    # the leftmost smallest half, whatever the block's length.
+    value = ((grams >> HALF) << HALF) | np.arange(n, dtype=np.uint64)
     least = C.sliding_min(value, width - gram + 1)
     p = C.counted_ranges(offsets[:-1], count)
-    anchor = (least[p] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    anchor = (least[p] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.ones(len(p), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)
     at = np.flatnonzero(new)
@@ -76,41 +81,98 @@ def cut_segments(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram
 
 
 class Collection:
-    """Suffix order and BWT of a collection of byte strings, built by columns."""
+    """Suffix order, BWT and common prefixes of a collection of byte strings, by columns.
+
+    The order of the suffixes is (``string``, ``place``); ``bwt`` holds the
+    symbol before each (a byte + 1, or 0 where a string begins) and ``lcp`` the
+    length of the prefix that each shares with the suffix before it.
+
+    During the rounds the transform is kept by symbol: ``marks`` has, for every
+    suffix with a symbol before it, symbol and position, in this order. The
+    n-th of them is the suffix that follows the n-th non-empty one's first symbol.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         n = len(offsets) - 1
-        first, last = offsets[:-1].astype(np.int32), offsets[1:].astype(np.int32)
-        # Preceding symbol of every place: a byte + 1, or 0 where a string
-        # begins. UTF-8 has no byte 255, so one byte is enough.
-        kind = np.uint8 if not len(data) or data.max() < 255 else np.uint16
-        before = np.zeros(len(data) + 1, kind)
-        before[1:] = data
-        before[1:] += 1
-        at_end = before[last]
-        at_end[first == last] = 0
-        before[first] = 0
-        self.place, self.bwt = last, at_end          # round 0: the n empty suffixes
-        for _ in range(int((last - first).max()) if n else 0):
-            order = np.argsort(self.bwt, kind="stable")
-            order = order[np.count_nonzero(self.bwt == 0):]      # a whole string has no longer suffix
-            place = self.place[order] - 1
-            self.place = np.concatenate((last, place))
-            self.bwt = np.concatenate((at_end, before[place]))
-        self.string = np.concatenate((np.arange(n), np.searchsorted(offsets, self.place[n:], "right") - 1))
-
-    def repeats(self, data: np.ndarray, offsets: np.ndarray, width: int, d: np.ndarray, start: np.ndarray):
+        first, last = offsets[:-1], offsets[1:]
+        longest = int((last - first).max()) if n else 0
+        # Round 0: the empty suffix of every string.
+        self.empty, self.marks = n, np.zeros(0, np.int64)
+        self.lcp = np.zeros(n, np.uint8 if longest < 255 else np.int32)
+        string, place, at = np.arange(n), last.copy(), np.arange(n)
+        rounds = []
+        for _ in range(longest):
+            alive = place > first[string]
+            string, place, at = string[alive], place[alive] - 1, at[alive]
+            keys = ((data[place].astype(np.int64) + 1) << 32) | at
+            order = np.argsort(keys)
+            string, place, keys = string[order], place[order], keys[order]
+            at = self._insert(keys, self._mark(keys))
+            rounds.append(string)
+        # Every suffix's position now: the one it prolongs gives it, round by round.
+        rank = np.zeros(len(self.lcp), np.int64)
+        rank[self.marks & LOW] = np.arange(len(self.marks))
+        self.bwt = np.zeros(len(self.lcp), np.uint16)
+        self.bwt[self.marks & LOW] = self.marks >> 32
+        self.string, self.place = np.empty(len(self.lcp), np.int64), np.empty(len(self.lcp), np.int64)
+        self.string[:n], self.place[:n] = np.arange(n), last
+        now, length = np.arange(n), np.zeros(n, np.int64)
+        for string in rounds:
+            now[string] = n + rank[now[string]]
+            length[string] += 1
+            self.string[now[string]], self.place[now[string]] = string, last[string] - length[string]
+
+    def _mark(self, keys: np.ndarray) -> np.ndarray:
+        """Merge (symbol, position) of the newest suffixes, in order, into the marks; where they went."""
+        at = np.searchsorted(self.marks, keys) + np.arange(len(keys))
+        rest = np.ones(len(self.marks) + len(keys), bool)
+        rest[at] = False
+        marks = np.empty(len(rest), np.int64)
+        marks[rest], marks[at] = self.marks, keys
+        self.marks = marks
+        return at
+
+    def _insert(self, keys: np.ndarray, mine: np.ndarray) -> np.ndarray:
+        """One symbol per string: put in the suffixes that ``keys``, the marks ``mine``, ask for; their positions.
+
+        Behind the empty suffixes, the order is that of the marks. What a new
+        suffix shares with a neighbour of the same first symbol is one more
+        than the least common prefix between the two that they prolong.
+        """
+        at = keys & LOW
+        before = self.marks[np.maximum(mine - 1, 0)]
+        behind = self.marks[np.minimum(mine + 1, len(self.marks) - 1)]
+        has_before = (before >> 32 == keys >> 32) & (before != keys)
+        has_behind = (behind >> 32 == keys >> 32) & (behind != keys)
+        least = least_of(self.lcp, np.concatenate(((before & LOW)[has_before], at[has_behind])) + 1,
+                         np.concatenate((at[has_before], (behind & LOW)[has_behind])) + 1) + 1
+        shared = np.zeros((2, len(keys)), self.lcp.dtype)
+        cut = np.count_nonzero(has_before)
+        shared[0, has_before], shared[1, has_behind] = least[:cut], least[cut:]
+        new = self.empty + mine
+        size = len(self.lcp) + len(new)
+        old = np.ones(size, bool)
+        old[new] = False
+        lcp = np.empty(size, self.lcp.dtype)
+        lcp[old], lcp[new] = self.lcp, shared[0]
+        followed = new + 1 < size
+        lcp[new[followed] + 1] = shared[1][followed]
+        # The old suffixes move back by the new ones before them.
+        gaps = np.diff(new - np.arange(len(new)), prepend=0, append=len(self.lcp))
+        moved = np.repeat(np.arange(len(new) + 1, dtype=np.int32), gaps)
+        self.marks += moved[self.marks & LOW]
+        self.lcp = lcp
+        return new
+
+    def repeats(self, offsets: np.ndarray, width: int, d: np.ndarray, start: np.ndarray):
         """(string, place in it) of every ``width``-byte string that occurs earlier."""
-        room = offsets[self.string + 1] - self.place >= width
-        string, place = self.string[room], self.place[room].astype(np.int64)
-        if not len(string):
-            return string, place
-        same = np.ones(len(string), bool)
-        same[0] = False
-        for m in C.MULTIPLIERS:                      # 128 bits of the common prefix
-            h = C.Rolling(data, m).of(place, place + width)
-            same[1:] &= h[1:] == h[:-1]
+        same = self.lcp >= width                 # of one class with the suffix before
+        member = same.copy()
+        member[:-1] |= same[1:]
+        string, place, same = self.string[member], self.place[member], same[member]
         at = place - offsets[string]
+        if not len(string):
+            return string, at
         doc, where = d[string], start[string] + at
         cls = np.cumsum(~same) - 1
         order = np.lexsort((where, doc, cls))
@@ -120,6 +182,21 @@ class Collection:
         return string[later], at[later]
 
 
+def least_of(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Least value of each range [lo, hi), hi > lo, from the least of all ranges of 1, 2, 4.. values."""
+    if not len(lo):
+        return values[:0]
+    power = np.frexp((hi - lo).astype(np.float64))[1] - 1
+    n = len(values)
+    table = np.empty((int(power.max()) + 1, n), values.dtype)
+    table[0] = values
+    for k in range(1, len(table)):
+        half = 1 << (k - 1)
+        np.minimum(table[k - 1, :n - half], table[k - 1, half:], out=table[k, :n - half])
+    flat, level = table.reshape(-1), power * np.int64(n)
+    return np.minimum(flat[level + lo], flat[level + hi - (np.int64(1) << power)])
+
+
 def _strings(hot_at: int, buckets: int, width: int):
     """From documents with marks to strings by bucket; n < 0 tells a settled repeat."""
 
@@ -188,7 +265,7 @@ def _compare(width: int):
         if len(kept) > 1:
             data, offsets = C.text_bytes(whole.column("s").combine_chunks().take(pa.array(kept)))
             d, tag, start = d[kept], tag[kept], start[kept]
-            string, at = Collection(data, offsets).repeats(data, offsets, width, d, start)
+            string, at = Collection(data, offsets).repeats(offsets, width, d, start)
             out.append((d[string], tag[string], start[string] + at))
         d, tag, start = (np.concatenate(x) for x in zip(*out))
         if len(d):

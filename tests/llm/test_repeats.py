@@ -1,6 +1,7 @@
 """Line, substring and suffix-array dedup against brute force."""
 
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -141,6 +142,45 @@ def test_collection_is_the_sorted_suffixes():
     assert got == sorted(s[i:] for s in strings for i in range(len(s) + 1))
     before = [strings[s][p - offsets[s] - 1] + 1 if p > offsets[s] else 0 for s, p in zip(c.string, c.place)]
     assert before == c.bwt.tolist()
+    assert c.lcp.tolist() == common_prefixes(got)
+
+
+def common_prefixes(suffixes):
+    return [0] + [len(os.path.commonprefix([a, b])) for a, b in zip(suffixes, suffixes[1:])]
+
+
+@pytest.mark.parametrize("seed, letters, longest", [(0, 2, 40), (1, 3, 12), (2, 1, 20), (3, 256, 300), (4, 2, 300)])
+def test_collection_of_random_strings(seed, letters, longest):
+    """Order, BWT and common prefixes; with byte 255 and strings over 255 bytes (wider columns)."""
+    rng = np.random.default_rng(seed)
+    strings = [rng.integers(0, letters, rng.integers(0, longest + 1)).astype(np.uint8).tobytes() for _ in range(25)]
+    strings += strings[:3] + [bytes([255]) * longest if letters == 256 else b""]
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(s) for s in strings])))
+    c = suffix_dedup.Collection(data, offsets)
+    got = [strings[s][p - offsets[s]:] for s, p in zip(c.string, c.place)]
+    assert got == sorted(s[i:] for s in strings for i in range(len(s) + 1))
+    assert c.bwt.tolist() == [int(data[p - 1]) + 1 if p > offsets[s] else 0 for s, p in zip(c.string, c.place)]
+    assert c.lcp.tolist() == common_prefixes(got)
+    width = 5
+    first = {}
+    for s, x in enumerate(strings):
+        for i in range(len(x) - width + 1):
+            first.setdefault(x[i:i + width], (s, i))
+    want = sorted((s, i) for s, x in enumerate(strings) for i in range(len(x) - width + 1)
+                  if first[x[i:i + width]] != (s, i))
+    string, at = c.repeats(offsets, width, np.arange(len(strings)), np.zeros(len(strings), np.int64))
+    assert sorted(zip(string.tolist(), at.tolist())) == want
+
+
+def test_anchors_do_not_depend_on_the_block():
+    rng = np.random.default_rng(5)
+    one = rng.integers(97, 101, 3000).astype(np.uint8)
+    alone = suffix_dedup.cut_segments(one, np.array([0, len(one)]))
+    pad = rng.integers(97, 101, 50_000).astype(np.uint8)
+    among = suffix_dedup.cut_segments(np.concatenate((pad, one)), np.array([0, len(pad), len(pad) + len(one)]))
+    mine = among[0] == 1
+    assert all(np.array_equal(a, b[mine]) for a, b in zip(alone[1:], among[1:]))
 
 
 def test_marks_of_a_key_with_many_equal_segments():
