@@ -8,17 +8,13 @@ equal ones, and kept once with its position. Any ``window + k - 1`` non-space
 characters that two texts share, at whatever offsets, therefore give both a
 common hash (``with_char_fingerprint``). Only built-in SQL functions are used.
 
-``with_fingerprint`` does the same over pieces (runs of at most ``piece``
-non-space characters, counted from the start of each word). Its guarantee is
-in pieces, so it does not hold inside runs longer than a piece, where equal
-passages may be cut at other offsets; the query does not use it.
-
 A chosen hash is one bigint: 32 bits of hash (stored complemented) above 32
 bits of position, so that the plain maximum is the smallest hash and, among
 equals, the rightmost position.
 
-Defined results: null text: empty; a text with no units (characters, pieces) has an empty
-fingerprint, one with fewer than k a single hash of all it has; two
+Defined results: null text: empty; a text with no non-space character has an empty
+fingerprint, one with fewer than k a single hash of all it has; a very long
+text is hashed in chunks that overlap; two
 empty fingerprints have likeness 1, one empty one 0. Documents are ordered by
 (id, null first; hash of the text); repeated rows follow one another. Rows of
 one id may span runs; rows that share id and text stay in one. An empty
@@ -37,10 +33,6 @@ from raincheck.llm.common import doc_key, row_key, stored
 #: Characters of a k-gram, and k-grams of a window.
 CHARS = 16
 CHAR_WINDOW = 16
-#: The same in pieces, and characters of a piece.
-K = 3
-WINDOW = 4
-PIECE = 8
 #: k-grams of a text whose strings are in memory at a time.
 _CHUNK = 4_096
 #: Documents that one ordered run of the next-document step aims at.
@@ -58,71 +50,86 @@ def _empty() -> Column:
     return F.expr("cast(array() as array<bigint>)")
 
 
-def with_char_fingerprint(df: DataFrame, text: str, out: str, k: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
-    """Add ``out``: the chosen hashes with positions, in order of position; a
-    k-gram at every non-space character, positions counted in those.
+def _compact(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s+", "")
+
+
+def _with_values(df: DataFrame, compact: str, out: str, k: int) -> DataFrame:
+    """Add ``out``: the tagged hash of the k-gram at every character of ``compact``
+    (a text without spaces); of the whole if it has fewer than k.
 
     A lookahead reads the k-gram at a place and moves on by one character. The
     text is taken in chunks that overlap by k - 1 characters, so the strings
     of one chunk only are in memory, however long the text.
     """
-    c, v = f"__c_{out}", f"__v_{out}"
-    df = df.withColumn(c, F.regexp_replace(text, r"\s+", ""))
     grams = F.lit(r"(?s)(?=(.{%d}))." % k)
-    chunks = F.regexp_extract_all(c, F.lit(r"(?s)(?=(.{1,%d})).{1,%d}" % (_CHUNK + k - 1, _CHUNK)), F.lit(1))
-    n = F.length(c)
-    df = df.withColumn(v, F.when(n >= k, F.flatten(F.transform(chunks, lambda part, q: F.transform(
+    chunks = F.regexp_extract_all(compact, F.lit(r"(?s)(?=(.{1,%d})).{1,%d}" % (_CHUNK + k - 1, _CHUNK)), F.lit(1))
+    n = F.length(compact)
+    return df.withColumn(out, F.when(n >= k, F.flatten(F.transform(chunks, lambda part, q: F.transform(
         F.regexp_extract_all(part, grams, F.lit(1)), lambda g, i: _tagged(F.xxhash64(g), i + q * _CHUNK)))))
-        .when(n > 0, F.array(_tagged(F.xxhash64(c), F.lit(0)))).otherwise(_empty())).drop(c)
+        .when(n > 0, F.array(_tagged(F.xxhash64(compact), F.lit(0)))).otherwise(_empty()))
+
+
+def _with_greatest(df: DataFrame, values: str, out: str, window: int) -> DataFrame:
+    """Add ``out``: the greatest tagged value of every window of ``values``; of all if they are fewer."""
     # Greatest over 2, 4, 8.. values, then two of these ranges joined to the
     # full width. Past the end a range is cut short; those places go at last.
-    have, last = 1, v
+    have, last, steps = 1, values, []
     while have < window:
         step = min(have, window - have)
         name = f"__w{have}_{out}"
         df = df.withColumn(name, F.zip_with(
             F.col(last), F.slice(F.col(last), step + 1, F.greatest(F.size(last) - step, F.lit(0))),
             lambda x, y: F.greatest(x, y)))
+        steps.append(name)
         have, last = have + step, name
-    m = F.size(v)
-    df = df.withColumn(out, F.when(m > window, F.array_distinct(F.slice(F.col(last), F.lit(1), m - window + 1)))
-                       .when(m > 0, F.array(F.array_max(v))).otherwise(F.col(v)))
-    return df.drop(*[x for x in df.columns if x.startswith("__") and x.endswith("_" + out)])
+    m = F.size(values)
+    return df.withColumn(out, F.when(m > window, F.slice(F.col(last), F.lit(1), m - window + 1))
+                         .when(m > 0, F.array(F.array_max(values))).otherwise(F.col(values))).drop(*steps)
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW,
-                     piece: int = PIECE) -> DataFrame:
-    """Add ``out``: the chosen hashes with positions, in order of position.
+def with_char_fingerprint(df: DataFrame, text: str, out: str, k: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
+    """Add ``out``: the chosen hashes with positions, in order of position; a
+    k-gram at every non-space character, positions counted in those.
 
     Each step is a column of its own that the next step uses more than once,
-    so the optimizer keeps it evaluated once per row. Elements are read by
-    index: ``slice`` copies the whole array.
+    so the optimizer keeps it evaluated once per row.
     """
-    h, v = f"__h_{out}", f"__v_{out}"
-    df = df.withColumn(h, F.transform(
-        F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % piece), F.lit(0)), lambda p: F.xxhash64(p)))
-    n = F.size(h)
-    df = df.withColumn(v, F.when(n >= k, F.transform(
-        F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
-        lambda i: _tagged(F.xxhash64(*[F.get(F.col(h), i + j) if j else F.get(F.col(h), i) for j in range(k)]), i)))
-        .when(n > 0, F.array(_tagged(F.xxhash64(h), F.lit(0)))).otherwise(_empty())).drop(h)
-    # Greatest over 2, 4, 8.. values, then one pass that joins two of these
-    # ranges to windows of the full width.
-    have, last = 1, v
-    while have * 2 < window:
-        name = f"__w{have}_{out}"
-        df = df.withColumn(name, _pairs(last, have))
-        have, last = have * 2, name
-    m = F.size(v)
-    df = df.withColumn(out, F.when(m > window, F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.greatest(m - window, F.lit(0))),
-        lambda i: F.greatest(F.get(F.col(last), i), F.get(F.col(last), i + (window - have))))))
-        .when(m > 0, F.array(F.array_max(v))).otherwise(F.col(v)))
-    return df.drop(*[c for c in df.columns if c.startswith("__") and c.endswith("_" + out)])
+    c, v, m = f"__c_{out}", f"__v_{out}", f"__m_{out}"
+    df = _with_values(df.withColumn(c, _compact(F.col(text))), c, v, k)
+    return _with_greatest(df, v, m, window).withColumn(out, F.array_distinct(m)).drop(c, v, m)
 
 
-def _pairs(column: str, step: int) -> Column:
-    return F.transform(F.col(column), lambda x, i: F.greatest(x, F.get(F.col(column), i + step)))
+def with_both_fingerprints(df: DataFrame, k: int = CHARS, window: int = CHAR_WINDOW) -> DataFrame:
+    """Add ``edited`` (``text`` with its last quarter replaced by the beginning of
+    ``next_text``), ``fingerprint`` and ``edited_fingerprint``.
+
+    The k-grams and windows inside the part that stays are worked out once, for both;
+    for the edited text only those that reach into the new part come in addition.
+    """
+    n = F.length("text")
+    cut = F.floor(n / 4).cast("int")
+    df = (df.withColumn("__kept", F.substr("text", F.lit(1), n - cut))
+          .withColumn("__given", F.substr("next_text", F.lit(1), cut))
+          .withColumn("edited", F.concat("__kept", "__given"))
+          .withColumn("__c", _compact(F.col("text")))
+          .withColumn("__kept", _compact(F.col("__kept")))
+          .withColumn("__inside", F.greatest(F.length("__kept") - (k - 1), F.lit(0)))
+          .withColumn("__seam", F.concat(F.substr("__kept", F.col("__inside") + 1), _compact(F.col("__given")))))
+    df = _with_values(_with_values(df, "__c", "__v", k), "__seam", "__s", k)
+    df = _with_greatest(df, "__v", "__m", window)
+    inside = F.col("__inside")
+    # Windows inside, and the values that the other ones look at.
+    df = df.withColumn("__same", F.greatest(inside - (window - 1), F.lit(0)))
+    same = F.col("__same")
+    df = df.withColumn("__rest", F.when(inside == 0, F.col("__s")).otherwise(F.concat(
+        F.slice("__v", same + 1, inside - same),
+        F.when(F.length("__seam") < k, _empty()).otherwise(F.transform("__s", lambda x: x + inside)))))
+    df = _with_greatest(df, "__rest", "__n", window)
+    df = df.withColumn("fingerprint", F.array_distinct("__m")).withColumn(
+        "edited_fingerprint", F.array_distinct(F.when(same == 0, F.col("__n")).otherwise(F.concat(
+            F.slice("__m", F.lit(1), same), F.when(F.size("__rest") < window, _empty()).otherwise(F.col("__n"))))))
+    return df.drop("__kept", "__given", "__c", "__inside", "__seam", "__v", "__s", "__m", "__same", "__rest", "__n")
 
 
 def hashes(fingerprint: Column) -> Column:
@@ -173,8 +180,8 @@ def _runs(docs: DataFrame, run_rows: int, d: Column, th: Column) -> Column:
 
 
 def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
-    """doc_id, text, fingerprint, and next_text, next_fingerprint of the next
-    document in ascending order (after the last: the first).
+    """doc_id, text, fingerprint, next_text and next_fingerprint of the next
+    document in ascending order (after the last: the first), edited, edited_fingerprint.
 
     The texts are exchanged once, by run, and read from that exchange three
     times: all documents but the last of each run find their next one inside
@@ -191,28 +198,24 @@ def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     dealt = rows.repartition("__run")
 
     inside = Window.partitionBy("__run").orderBy("d", "th")
-    most = with_char_fingerprint(dealt, "text", "fingerprint").withColumn("d", doc_key()).withColumn("th", row_key())
-    most = (most.withColumn("next_text", F.lead("text").over(inside))
-            .withColumn("next_fingerprint", F.lead("fingerprint").over(inside))
+    most = dealt.withColumn("d", doc_key()).withColumn("th", row_key())
+    most = with_both_fingerprints(most.withColumn("next_text", F.lead("text").over(inside)))
+    most = (most.withColumn("next_fingerprint", F.lead("fingerprint").over(inside))
             .where(F.col("next_text").isNotNull()))
 
     heads = dealt.join(ends.select("__run", "first"), "__run").where(place == F.col("first")).dropDuplicates(["__run"])
     heads = with_char_fingerprint(heads.select(F.col("__run").alias("next_run"), F.col("text").alias("next_text")),
                              "next_text", "next_fingerprint")
     tails = dealt.join(ends.select("__run", "last", "next_run"), "__run").where(place == F.col("last"))
-    tails = with_char_fingerprint(tails.dropDuplicates(["__run"]).drop("last"), "text", "fingerprint")
-    names = ["doc_id", "text", "fingerprint", "next_text", "next_fingerprint"]
-    return most.select(names).unionByName(tails.join(heads, "next_run").select(names))
+    tails = with_both_fingerprints(tails.dropDuplicates(["__run"]).drop("last").join(heads, "next_run"))
+    names = ["doc_id", "text", "fingerprint", "next_text", "next_fingerprint", "edited", "edited_fingerprint"]
+    return most.select(names).unionByName(tails.select(names))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = with_next(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    n = F.length("text")
-    cut = F.floor(n / 4).cast("int")
-    docs = docs.withColumn("n_chars", n.cast("bigint")).withColumn("edited", F.concat(
-        F.substr("text", F.lit(1), n - cut), F.substr("next_text", F.lit(1), cut)))
-    docs = with_char_fingerprint(docs, "edited", "edited_fingerprint")
-    docs = (docs.withColumn("__a", hashes(F.col("fingerprint")))
+    docs = (docs.withColumn("n_chars", F.length("text").cast("bigint"))
+            .withColumn("__a", hashes(F.col("fingerprint")))
             .withColumn("__b", hashes(F.col("edited_fingerprint")))
             .withColumn("__c", hashes(F.col("next_fingerprint"))))
     return docs.select(

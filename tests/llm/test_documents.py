@@ -138,28 +138,6 @@ def test_winnowing_next_and_likeness(messy, pairs):
         assert by_text.setdefault(r["next_text"], r["next_fingerprint"]) == r["next_fingerprint"]
 
 
-def test_winnowing_matches_a_plain_one(messy):
-    k, w = winnowing.K, winnowing.WINDOW
-    rows = winnowing.with_fingerprint(messy, "text", "fp").withColumn(
-        "h", F.transform(F.regexp_extract_all("text", F.lit(r"\S{1,%d}" % winnowing.PIECE), F.lit(0)), lambda p: F.xxhash64(p)))
-    rows = rows.withColumn("g", F.when(F.size("h") >= k, F.transform(
-        F.sequence(F.lit(0), F.size("h") - k),
-        lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(k)])))).select("text", "h", "g", "fp").collect()
-    for r in rows:
-        if not r["h"]:
-            assert not r["fp"]
-        elif r["g"]:
-            hashes = [-((x >> 32) + 1) for x in r["g"]]           # stored complemented
-            picks = []
-            for a in range(max(1, len(hashes) - w + 1)):
-                part = hashes[a:a + w]
-                least = min(part)
-                at = a + max(j for j, x in enumerate(part) if x == least)
-                if at not in picks:
-                    picks.append(at)
-            assert [x & 0xFFFFFFFF for x in r["fp"]] == picks
-
-
 def brute_chars(t, k, w):
     """Positions of the chosen k-grams, and the k-grams."""
     c = re.sub(r"[ \t-\r]", "", t or "")
@@ -186,6 +164,25 @@ def test_winnowing_takes_a_gram_at_every_character(messy, monkeypatch, chunk, k,
         assert [x >> 32 & 0xFFFFFFFF for x in r["fp"]] == [xxhash.xxh64_intdigest(g.encode(), 42) >> 32 for g in grams]
 
 
+@pytest.mark.parametrize("chunk, k, w", [(4096, winnowing.CHARS, winnowing.CHAR_WINDOW), (7, 5, 6)])
+def test_winnowing_of_the_edited_text(messy, pairs, monkeypatch, chunk, k, w):
+    """Every text with short, blank, long and empty ones after it: the same as from the edited text alone."""
+    monkeypatch.setattr(winnowing, "_CHUNK", chunk)
+    texts = [t[:600] for _, t in pairs if t is not None] + ["a b c d" * 3, "x" * 21, " " * 40 + "y" * 16, "z" * 15]
+    spark = messy.sparkSession
+    df = spark.createDataFrame([(t, texts[(i + s) % len(texts)]) for i, t in enumerate(texts) for s in (1, 2, 5)],
+                               "text string, next_text string")
+    df = winnowing.with_both_fingerprints(df, k, w)
+    df = winnowing.with_char_fingerprint(df, "edited", "want", k, w)
+    rows = winnowing.with_char_fingerprint(df, "text", "own", k, w).collect()
+    assert len(rows) == 3 * len(texts)
+    for r in rows:
+        cut = len(r["text"]) // 4
+        assert r["edited"] == r["text"][:len(r["text"]) - cut] + r["next_text"][:cut]
+        assert r["fingerprint"] == r["own"] and r["edited_fingerprint"] == r["want"]
+        assert [x & 0xFFFFFFFF for x in r["want"]] == brute_chars(r["edited"], k, w)[0]
+
+
 def test_winnowing_finds_shared_passages_at_any_offset(llm_spark):
     rng = np.random.default_rng(3)
 
