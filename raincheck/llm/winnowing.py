@@ -188,7 +188,9 @@ def with_next(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     the run; the last ones are joined to the first ones of the runs that follow.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("__run", _runs(rows.select(doc_key().alias("__d")), run_rows, doc_key(), row_key()))
+    # Never null, and known to be: a null filter in only some of the branches would part their exchanges.
+    run = _runs(rows.select(doc_key().alias("__d")), run_rows, doc_key(), row_key())
+    rows = rows.withColumn("__run", F.coalesce(run, F.lit(0).cast("bigint")))
     place = F.struct(doc_key().alias("d"), row_key().alias("th"))
     ends = rows.groupBy("__run").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     order = Window.orderBy("__run")                      # one small row per run
