@@ -72,15 +72,20 @@ def category_pivot(fact: DataFrame, products: DataFrame, categories: list[str])
     the data, whatever they are, see ``category_maps``."""
     cats = list(categories)
     j = category_lines(fact, products, ["store_id", "date", "quantity", "line_total"])
-    # Pivot on the position of the category, so that no category text has to
-    # serve as a column name inside the plan.
+    # The position of the category, so that no category text has to serve as a
+    # column name inside the plan; 0 or NULL for others, whose days stay.
     place = F.array_position(F.lit(cats), F.col("category")).cast("int") if cats else F.lit(0)
     numbers = list(range(1, len(cats) + 1))
-    p = j.withColumn("_place", place).groupBy("store_id", "date").pivot("_place", numbers).agg(
+    sold = j.withColumn("_place", place).groupBy("store_id", "date", "_place").agg(
         F.sum("quantity").alias("quantity"), exact_sum("line_total").alias("amount"))
+    # One row at most per day and place. Picks of structs are sort-based: a task
+    # holds narrow sorted rows, not a hash table with all columns of every day.
+    pick = [F.max(F.when(F.col("_place") == k, F.struct("quantity", "amount"))).alias(str(k)) for k in numbers]
+    days = sold.groupBy("store_id", "date")
+    p = days.agg(*pick) if pick else sold.select("store_id", "date").distinct()
     names = column_names(cats)
     out = [F.col("store_id"), F.col("date")]
     for k, c in zip(numbers, cats):
         for m in ("quantity", "amount"):
-            out.append(F.coalesce(F.col(f"`{k}_{m}`"), F.lit(0)).alias(f"{names[c]}_{m}"))
+            out.append(F.coalesce(F.col(f"`{k}`.{m}"), F.lit(0)).alias(f"{names[c]}_{m}"))
     return p.select(out)

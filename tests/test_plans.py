@@ -105,3 +105,21 @@ def test_distinct_count_spreads_a_hot_group_by_invoice(inputs, no_broadcast):
     p = _explain(marts.region_impact(inputs.fact, inputs.stores, inputs.weather), mode="simple")
     exch = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln and "invoice_id" in ln]
     assert exch and "country" in exch[0] and "is_rain" in exch[0]
+
+
+def test_one_hash_table_of_lines_in_the_tasks_of_the_weather_join(inputs, no_broadcast):
+    """M1 and M3 reduce the lines once before the exchange of the distinct
+    count: a task holds one hash table of them, not one of invoice days too."""
+    i = inputs
+    for mart in (marts.region_impact, marts.size_impact):
+        p = _explain(mart(i.fact, i.stores, i.weather), mode="simple").splitlines()
+        weather = next(k for k, ln in enumerate(p) if "SortMergeJoin" in ln and "date" in ln.split("]")[0])
+        assert sum("HashAggregate" in ln and "invoice_id" in ln for ln in p[:weather]) == 4   # two by invoice, two that count
+
+
+def test_wide_pivot_holds_no_hash_table_of_all_columns(inputs, no_broadcast):
+    """The days' columns are picked by sorted rows; the hash tables have
+    one quantity and one amount."""
+    from raincheck.operators import adhoc
+    p = _explain(adhoc.category_pivot(inputs.fact, inputs.products, ["ECONOMY", "LARGE", "PROMO"]), mode="simple")
+    assert "pivotfirst" not in p and "SortAggregate" in p.split("HashAggregate")[0]
