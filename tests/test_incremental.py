@@ -402,6 +402,20 @@ def test_bucketed_lines_and_weather_join_without_an_exchange(spark, fx):
             spark.conf.set(k, v)
 
 
+def test_buckets_grow_with_the_fact(spark, fx, monkeypatch):
+    """A bucket is one task's: with more lines there are more, for all clustered tables alike."""
+    monkeypatch.setattr(catalog, "LINES_A_BUCKET", 1_000)
+    assert [catalog.enough_buckets(4, n) for n in (0, 4_000, 4_001, 40_000)] == [4, 4, 8, 64]
+    root, lines = fresh("more-buckets"), fx.staging_transactions.count()
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, "b1", buckets=2)
+    n = catalog.enough_buckets(2, lines)
+    assert n > 2
+    for path in (refresh.state_path(root, "invoice_days"), refresh.state_path(root, "product_days"),
+                 tables.table_path(root, "dim_store_weather")):
+        assert {p["buckets"] for p in tables.live(spark, path).values()} == {n}
+    assert_marts_equal_full_rebuild(spark, root)
+
+
 # ---------------------------------------------------------------- X3
 def test_category_maps_start_no_job_and_name_no_category(spark):
     n = 100_000
