@@ -36,6 +36,8 @@ ROW = np.dtype([("key", "<u8"), ("h", "<u8"), ("d", "<i8"), ("tag", "<i4"), ("st
 ASK, TELL, REMOVED, CHECK = 0, 1, 2, 3
 #: Segments that a map task gathers before it sends them on.
 FLUSH = 400_000
+#: Text bytes of a numpy pass. Its arrays take about a hundred times as much, in every Python worker of an executor.
+PASS_BYTES = 1 << 18
 
 MARKS = "key bigint, d bigint, tag int, start bigint, n int, removed boolean"
 
@@ -133,7 +135,7 @@ def marks(docs: DataFrame, segments: Callable[[np.ndarray, np.ndarray], tuple],
             d = batch.column(0).to_numpy()
             tag = tag_of(batch.column(1).to_numpy())
             data, offsets = C.text_bytes(batch.column(2))
-            for i, j in C.blocks(offsets):
+            for i, j in C.blocks(offsets, PASS_BYTES):
                 row, start, n, key, h = segments(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 rows = np.zeros(len(row), ROW)
                 rows["key"], rows["h"], rows["start"], rows["n"] = key, h, start, n

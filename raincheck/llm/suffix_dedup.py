@@ -204,7 +204,7 @@ def _strings(hot_at: int, buckets: int, width: int):
         for batch in batches:
             d, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = C.text_bytes(batch.column(2))
-            for i, j in C.blocks(offsets):
+            for i, j in C.blocks(offsets, A.PASS_BYTES):
                 lists = [batch.column(c).slice(i, j - i) for c in (3, 4, 5, 6)]
                 per_row = np.diff(lists[0].offsets.to_numpy())
                 start, n, key, hot = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)

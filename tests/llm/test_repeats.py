@@ -205,3 +205,13 @@ def test_settled_rows_spread_whatever_their_ids():
     rows["key"], rows["h"], rows["d"], rows["n"] = 7, 9, np.repeat([0, 1000], 2000), 1
     rows["start"] = np.tile(np.arange(2000), 2)          # one content many times: all but the first are settled
     assert len(set(anchors._send(rows, 16).column(0).to_pylist())) == 16
+
+
+def test_numpy_passes_are_small(llm_spark):
+    """The arrays of a pass take many times its text, in every Python worker: no pass takes a megabyte of short texts."""
+    def segments(data, offsets):
+        assert len(data) <= 1 << 18
+        return suffix_dedup.cut_segments(data, offsets)
+
+    docs = llm_spark.range(0, 800, 1, 1).selectExpr("id AS doc_id", "repeat(concat('t', id, ' '), 400) AS text")
+    assert anchors.marks(anchors.keyed(docs), segments, suffix_dedup.WIDTH).count() > 0
