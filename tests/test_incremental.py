@@ -416,6 +416,54 @@ def test_buckets_grow_with_the_fact(spark, fx, monkeypatch):
     assert_marts_equal_full_rebuild(spark, root)
 
 
+# ---------------------------------------------------------------- what is exchanged
+def exchanges(df):
+    return [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in ln]
+
+
+def test_payloads_of_a_store_are_made_in_one_exchange(spark, fx):
+    assert len(exchanges(fx.weather_payloads)) == 1
+    assert rows(fx.weather_payloads) == rows(fx.payloads_of(fx.staging_weather))
+
+
+def test_product_days_are_written_from_the_exchange_that_reduces_them(spark, fx, monkeypatch):
+    from raincheck.operators import facts
+    lines = facts.fact_transactions(fx.staging_transactions)
+    month, root = tables.month_of("date"), fresh("shares")
+    lines.write.parquet(f"{root}/lines")
+    lines = spark.read.parquet(f"{root}/lines")
+    most = tables.most_rows(lines, month)
+    assert most == max(r["count"] for r in lines.groupBy(month).count().collect())
+    monkeypatch.setattr(tables, "ROWS_A_SHARE", most // 3)
+    days = partials.product_days(tables.in_shares(lines, month, most, "store_id", "date", "product_id"), (tables.SHARE,))
+    assert len(exchanges(days)) == 1
+    assert days.select(tables.SHARE).distinct().count() > 2 * lines.select(month).distinct().count()
+    tables.replace_parts(days, f"{root}/t", month, set())
+    assert rows(tables.read_parts(spark, f"{root}/t", partials.PRODUCT_DAYS)) == rows(partials.product_days(lines))
+    assert tables.most_rows(lines.where("false"), month) == 0
+
+
+def test_a_table_without_parts_is_known_to_be_empty(spark):
+    df = tables.read_parts(spark, fresh() + "/t", "id bigint")
+    assert "<empty>" in df.join(spark.range(9), "id")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_region_mart_exchanges_no_names_and_keeps_odd_rows(spark):
+    stores_ = stores(spark, [dict(store_id=k, country=c, city="y", size=z) for k, c, z in (
+        (1, "x", "Small"), (2, "x", "Small"), (3, None, "Large"), (4, None, "Large"), (5, "x", None))])
+    f = fact(spark, [dict(invoice_id=None if k % 7 == 0 else f"i{k % 11}", store_id=k % 6 + 1, line=k,
+                          invoice_total=None if k % 5 == 0 else Decimal(-k)) for k in range(90)])
+    w = weather(spark, [dict(store_id=k, date_id=dt.date(2025, 3, 4), temp_max=None if k == 2 else Decimal("-1.27"),
+                             temp_min=Decimal("-9.99") + k) for k in range(1, 7)])
+    days = marts.invoice_days(joins.join_weather(f, w))
+    ids = F.substring("invoice_id", 2, 9).cast("bigint").alias("invoice_no")
+    matched = partials.matched_days(days.select("*", ids), stores_)
+    got = partials.region_impact_by_place(matched, stores_)
+    assert rows(got) == rows(marts.region_impact(f, stores_, w)) and got.count() == 3
+    counted = [ln for ln in exchanges(got) if "invoice_no" in ln]
+    assert counted and not any("country" in ln or "city" in ln for ln in counted)
+
+
 # ---------------------------------------------------------------- X3
 def test_category_maps_start_no_job_and_name_no_category(spark):
     n = 100_000
