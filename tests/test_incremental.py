@@ -3,6 +3,7 @@ counts, catalog tables, buckets."""
 
 import datetime as dt
 import os
+import re
 import tempfile
 from decimal import Decimal
 
@@ -464,6 +465,47 @@ def test_region_mart_exchanges_no_names_and_keeps_odd_rows(spark):
     assert counted and not any("country" in ln or "city" in ln for ln in counted)
 
 
+# ---------------------------------------------------------------- what a row costs
+def test_months_are_named_without_a_formatter_for_usual_years(spark):
+    days = spark.createDataFrame([(d,) for d in (None, "0007-03-01", "0999-12-31", "1000-01-01", "1970-01-01", "2024-02-29", "2025-10-31",
+                                                 "9999-12-31")], "t string").select(F.col("t").cast("date").alias("d"))
+    days = days.unionByName(days.select(F.date_add(F.lit("9999-12-31").cast("date"), 40).alias("d")).limit(1))
+    named = days.select("d", tables.month_of("d").alias("m"), tables.month_start("d").alias("s"))
+    old = F.coalesce(F.date_format("d", "yyyy-MM"), F.lit("none"))
+    assert named.where(F.col("m") != old).count() == 0 and named.where(F.col("m") != tables.month_of("s")).count() == 0
+    assert {r.m for r in named.select("m").collect()} >= {"none", "0007-03", "1000-01", "2024-02", "2025-10", "9999-12", "+10000-02"}
+
+
+def test_size_months_are_sorted_by_a_hash_and_hold_bigints(spark):
+    w = weather(spark, [dict(store_id=k, date_id=dt.date(2025, m, 4), is_rain=k % 2 == 0, temp_max=None if k == 3 else Decimal(9 * k))
+                        for k in range(1, 5) for m in (3, 4)])
+    s = stores(spark, [dict(store_id=k, size=z) for k, z in ((1, "Small"), (2, "Large"), (3, None), (4, "Small"))])
+    f = fact(spark, [dict(invoice_id=None if k % 9 == 0 else f"i{k % 40}", store_id=k % 4 + 1, line=k, date=dt.date(2025, 3 + k % 2, 4),
+                          invoice_total=None if k % 5 == 0 else Decimal(9_999_999_999 - k)) for k in range(120)])
+    days = partials.invoice_day_lines(f)
+    assert "sum(cast(invoice_total" in days._jdf.queryExecution().executedPlan().toString().replace("CAST", "cast")
+    assert days.schema["revenue"].dataType.simpleString() == "decimal(20,0)"
+    ids = F.substring("invoice_id", 2, 9).cast("bigint").alias("invoice_no")
+    matched = partials.matched_days(joins.join_weather(days.select("*", ids), w), s)
+    assert matched.schema["revenue"].dataType.simpleString() == "bigint"
+    months = partials.size_months(matched, tables.month_start("date").alias("month"))
+    sorts = [ln for ln in months._jdf.queryExecution().executedPlan().toString().splitlines() if " Sort [" in ln and "store_size" in ln]
+    assert sorts and all(re.search(r" Sort \[\w+#\d+L ASC", ln) for ln in sorts)          # the hash: the only bigint but the last
+    assert months.columns == ["month", *spark.createDataFrame([], partials.SIZE_MONTHS).columns]
+    assert rows(partials.size_impact_merged(months.drop("month"))) == rows(marts.size_impact(f, s, w))
+
+
+def test_an_emptied_staging_table_is_known_to_be_empty(spark, monkeypatch):
+    d, seen = fresh("trunc") + "/staging", []
+    csv.append_staging(spark.range(5), d, "stores", "overwrite")
+    put = tables.replace_table
+    monkeypatch.setattr(tables, "replace_table", lambda df, path, **n: (seen.append(df), put(df, path, **n)))
+    csv.truncate_staging(spark, d, ["stores"])
+    assert "<empty>" in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    after = csv.read_staging(spark, d, "stores")
+    assert after.columns == ["id"] and after.count() == 0
+
+
 # ---------------------------------------------------------------- X3
 def test_category_maps_start_no_job_and_name_no_category(spark):
     n = 100_000
