@@ -7,6 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from raincheck import session
 from raincheck.plans.pipeline import run_pipeline
 from raincheck.plans.registry import fixture_staging
 from raincheck.sources import csv, tables
@@ -375,3 +376,30 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
                                                         getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(fake)
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_a_run_leaves_no_shuffle_files_and_no_work_rows(spark, fx, buckets):
+    root, before, setting = fresh_root(), shuffle_files(spark), spark.conf.get(session.DROP_SHUFFLES, None)
+    run_pipeline(spark, fixture_staging(fx), fx.weather_payloads, root, RUN, buckets=buckets)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(session.DROP_SHUFFLES, None) == setting
+    left = [f for d, _, fs in os.walk(f"{root}/state") for f in fs if f.endswith(".parquet")
+            and os.path.relpath(d, f"{root}/state").split("/")[0] in ("work", "matched_days")]
+    assert left == []
+
+
+def test_the_shuffle_setting_comes_back_after_a_failure(spark):
+    for held in (None, "false", "true"):
+        spark.conf.set(session.DROP_SHUFFLES, held) if held else spark.conf.unset(session.DROP_SHUFFLES)
+        before = spark.conf.get(session.DROP_SHUFFLES, None)
+        with pytest.raises(KeyError), session.shuffles_dropped(spark):
+            assert spark.conf.get(session.DROP_SHUFFLES) == "true"
+            raise KeyError
+        assert spark.conf.get(session.DROP_SHUFFLES, None) == before
+    spark.conf.unset(session.DROP_SHUFFLES)
