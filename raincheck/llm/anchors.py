@@ -48,7 +48,18 @@ def tag_of(th: np.ndarray) -> np.ndarray:
 
 
 def _order(rows: np.ndarray) -> np.ndarray:
-    return rows[np.lexsort((rows["start"], rows["d"], rows["h"], rows["key"]))]
+    """Rows by key, content, document and start; most keys have one row, and need no more than the first."""
+    key = np.ascontiguousarray(rows["key"])
+    order = np.argsort(key)
+    key = key[order]
+    same = key[1:] == key[:-1]
+    tied = np.zeros(len(rows), bool)
+    tied[1:] = same
+    tied[:-1] |= same
+    among = order[tied]
+    few = rows[among]
+    order[tied] = among[np.lexsort((few["start"], few["d"], few["h"], few["key"]))]
+    return rows[order]
 
 
 def _same_key(rows: np.ndarray) -> np.ndarray:
@@ -120,11 +131,12 @@ def _send(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
          pa.array([rows[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary())], ["bucket", "rows"])
 
 
-def marks(docs: DataFrame, segments: Callable[[np.ndarray, np.ndarray], tuple], width: int) -> DataFrame:
+def marks(docs: DataFrame, segments: Callable[[np.ndarray, np.ndarray], tuple], width: int,
+          pass_bytes: int = PASS_BYTES) -> DataFrame:
     """key, d, tag, start, n, removed for every segment that can hold a repeat.
 
     ``docs`` has d, th, text; ``segments(data, offsets)`` gives the arrays
-    (row, start, n, key, h) of a block.
+    (row, start, n, key, h) of a block of about ``pass_bytes``.
     """
     spark = docs.sparkSession
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -135,7 +147,7 @@ def marks(docs: DataFrame, segments: Callable[[np.ndarray, np.ndarray], tuple],
             d = batch.column(0).to_numpy()
             tag = tag_of(batch.column(1).to_numpy())
             data, offsets = C.text_bytes(batch.column(2))
-            for i, j in C.blocks(offsets, PASS_BYTES):
+            for i, j in C.blocks(offsets, pass_bytes):
                 row, start, n, key, h = segments(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 rows = np.zeros(len(row), ROW)
                 rows["key"], rows["h"], rows["start"], rows["n"] = key, h, start, n

@@ -11,7 +11,9 @@ that share an anchor but differ, is a collection of short strings, dealt out
 by anchor into buckets of about ``BUCKET_BYTES``.
 
 In each bucket the Burrows-Wheeler transform of the whole collection is built
-as in external column-wise construction: round r inserts the suffix of length
+as in external column-wise construction, over symbols of ``SYMBOL`` bytes (a
+string stands for its alignments, so every window is whole symbols of one):
+round r inserts the suffix of length
 r of every string, that is one symbol per string, and the files of the
 transform (suffix order, preceding symbols, common prefixes of neighbours) are
 rewritten front to back. A new suffix goes where the old order, by preceding
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +51,11 @@ WIDTH = 100
 GRAM = 32
 BUCKET_BYTES = 200_000
 HOT = 2_000
-HALF = np.uint64(32)
+#: Text bytes of a pass that cuts stretches: its arrays, eight bytes a text byte, stay in a core's cache.
+PASS_BYTES = 1 << 15
+#: Bytes of a symbol of the transform, or as many as divide the width.
+SYMBOL = 4
+HIGH = np.uint64(0xFFFFFFFF00000000)
 #: The position in a mark; its symbol is above.
 LOW = (1 << 32) - 1
 
@@ -66,26 +73,80 @@ def cut_segments(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, gram
     grams = C.mix((rolling.sums[gram:] - rolling.sums[:-gram]) * rolling.down[:n])
     # The place (Arrow strings are under 2 GB) below half of the hash: the smallest value is
     # the leftmost smallest half, whatever the block's length.
-    value = ((grams >> HALF) << HALF) | np.arange(n, dtype=np.uint64)
-    least = C.sliding_min(value, width - gram + 1)
-    p = C.counted_ranges(offsets[:-1], count)
-    anchor = (least[p] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.ones(len(p), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)
-    at = np.flatnonzero(new)
-    size = np.diff(np.append(at, len(p)))
-    start = p[at]
+    value = grams & HIGH
+    value |= np.arange(n, dtype=np.uint64)
+    anchor = C.sliding_min(value, width - gram + 1).astype(np.uint32)
+    # Windows of one row only: a stretch begins with a row, and ends with its last window.
+    new = np.empty(len(anchor), bool)
+    np.not_equal(anchor[1:], anchor[:-1], out=new[1:])
+    first, last = offsets[:-1], offsets[:-1] + count
+    new[C.counted_ranges(last, np.minimum(offsets[1:], len(new)) - np.minimum(last, len(new)))] = False
+    new[first[count > 0]] = True
+    start = np.flatnonzero(new)
     row = np.searchsorted(offsets, start, "right") - 1
+    size = np.minimum(np.append(start[1:], len(new)), last[row]) - start
     h = C.Rolling(data, C.MULTIPLIERS[1]).of(start, start + size - 1 + width)
-    return row, start - offsets[row], size, grams[anchor[at]], h
+    return row, start - offsets[row], size, grams[anchor[start]], h
+
+
+def wide_columns(data: np.ndarray, offsets: np.ndarray, width: int, size: int):
+    """Byte strings as strings of symbols of ``size`` bytes: (symbols, offsets, row, front).
+
+    A string is taken ``size`` times, less its last 0, 1, .. bytes, each in whole
+    symbols from its end; ``front`` bytes of ``row`` lie before the first. Every
+    ``width``-byte window (``size`` divides ``width``) is then ``width // size``
+    symbols of exactly one of them, in a ``size``-th of the columns. Symbols are
+    numbered in byte order.
+    """
+    length = np.repeat(np.diff(offsets), size) - np.tile(np.arange(size), len(offsets) - 1)
+    row = np.repeat(np.arange(len(offsets) - 1), size)
+    long = length >= width
+    length, row = length[long], row[long]
+    count, front = length // size, length % size
+    ends = np.concatenate(([0], np.cumsum(count)))
+    at = np.repeat(offsets[row] + front, count) + size * counted_from_zero(count)
+    words = data[at].astype(np.uint64)
+    for k in range(1, size):
+        words = (words << np.uint64(8)) | data[at + k]
+    return np.unique(words, return_inverse=True)[1], ends, row, front
+
+
+def shared_spans(data: np.ndarray, offsets: np.ndarray, width: int, gram: int = GRAM):
+    """(row, first, bytes): of each string the span from its first to its last window that
+    may occur again: both halves of such a window, which overlap by ``gram``, do.
+
+    Hashes tell what occurs once, so no repeat is lost; equal hashes decide nothing.
+    """
+    half = min((width + gram + 1) // 2, width)
+    rolling = C.Rolling(data)
+    n = len(data) - half + 1
+    p = C.counted_ranges(offsets[:-1], np.diff(offsets) - half + 1)
+    h = ((rolling.sums[half:] - rolling.sums[:-half]) * rolling.down[:n])[p]
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    again = np.zeros(len(data), bool)
+    again[p[order[1:][same]]] = True
+    again[p[order[:-1][same]]] = True
+    count = np.diff(offsets) - width + 1
+    p = C.counted_ranges(offsets[:-1], count)
+    kept = again[p] & again[p + width - half]
+    p, row = p[kept], np.repeat(np.arange(len(count)), count)[kept]
+    cuts = np.flatnonzero(np.diff(row, prepend=-1, append=len(count)))
+    first, last = p[cuts[:-1]], p[cuts[1:] - 1]
+    return row[cuts[:-1]], first, last - first + width
+
+
+def counted_from_zero(counts: np.ndarray) -> np.ndarray:
+    return C.counted_ranges(np.zeros(len(counts), np.int64), counts)
 
 
 class Collection:
-    """Suffix order, BWT and common prefixes of a collection of byte strings, by columns.
+    """Suffix order, BWT and common prefixes of a collection of strings, by columns.
 
-    The order of the suffixes is (``string``, ``place``); ``bwt`` holds the
-    symbol before each (a byte + 1, or 0 where a string begins) and ``lcp`` the
-    length of the prefix that each shares with the suffix before it.
+    The strings are of bytes or of wider symbols (``wide_columns``). The order
+    of the suffixes is (``string``, ``place``); ``bwt`` holds the symbol before
+    each (its number + 1, or 0 where a string begins) and ``lcp`` the length of
+    the prefix that each shares with the suffix before it.
 
     During the rounds the transform is kept by symbol: ``marks`` has, for every
     suffix with a symbol before it, symbol and position, in this order. The
@@ -112,7 +173,7 @@ class Collection:
         # Every suffix's position now: the one it prolongs gives it, round by round.
         rank = np.zeros(len(self.lcp), np.int64)
         rank[self.marks & LOW] = np.arange(len(self.marks))
-        self.bwt = np.zeros(len(self.lcp), np.uint16)
+        self.bwt = np.zeros(len(self.lcp), np.uint16 if data.dtype == np.uint8 else np.int32)
         self.bwt[self.marks & LOW] = self.marks >> 32
         self.string, self.place = np.empty(len(self.lcp), np.int64), np.empty(len(self.lcp), np.int64)
         self.string[:n], self.place[:n] = np.arange(n), last
@@ -164,8 +225,10 @@ class Collection:
         self.lcp = lcp
         return new
 
-    def repeats(self, offsets: np.ndarray, width: int, d: np.ndarray, start: np.ndarray):
-        """(string, place in it) of every ``width``-byte string that occurs earlier."""
+    def repeats(self, offsets: np.ndarray, width: int, d: np.ndarray, start: np.ndarray, size: int = 1):
+        """(string, place in it, in symbols) of every string of ``width`` symbols that occurs
+        earlier. ``start``: the byte in document ``d`` at which each string begins, of symbols of
+        ``size`` bytes."""
         same = self.lcp >= width                 # of one class with the suffix before
         member = same.copy()
         member[:-1] |= same[1:]
@@ -173,7 +236,7 @@ class Collection:
         at = place - offsets[string]
         if not len(string):
             return string, at
-        doc, where = d[string], start[string] + at
+        doc, where = d[string], start[string] + at * size
         cls = np.cumsum(~same) - 1
         order = np.lexsort((where, doc, cls))
         head = np.searchsorted(cls[order], np.arange(cls[-1] + 1))
@@ -265,8 +328,14 @@ def _compare(width: int):
         if len(kept) > 1:
             data, offsets = C.text_bytes(whole.column("s").combine_chunks().take(pa.array(kept)))
             d, tag, start = d[kept], tag[kept], start[kept]
-            string, at = Collection(data, offsets).repeats(offsets, width, d, start)
-            out.append((d[string], tag[string], start[string] + at))
+            row, first, count = shared_spans(data, offsets, width)
+            d, tag, start = d[row], tag[row], start[row] + first - offsets[row]
+            data, offsets = data[C.counted_ranges(first, count)], np.concatenate(([0], np.cumsum(count)))
+            size = gcd(width, SYMBOL)
+            data, offsets, row, front = wide_columns(data, offsets, width, size)
+            d, tag, start = d[row], tag[row], start[row] + front
+            string, at = Collection(data, offsets).repeats(offsets, width // size, d, start, size)
+            out.append((d[string], tag[string], start[string] + at * size))
         d, tag, start = (np.concatenate(x) for x in zip(*out))
         if len(d):
             # Neighbouring places become one range.
@@ -301,7 +370,7 @@ def _compare(width: int):
 def repeated_places(docs: DataFrame, width: int = WIDTH, hot: int = HOT,
                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """d, tag, start, n: ranges of byte windows that occur earlier (``docs`` from ``anchors.keyed``)."""
-    marks = C.stored(A.marks(docs, cut_segments, width), "marks")
+    marks = C.stored(A.marks(docs, cut_segments, width, PASS_BYTES), "marks")
     check = marks.where("not removed")
     crowded = C.stored(check.groupBy("key").count().where(F.col("count") > hot).select(
         "key", F.lit(True).alias("hot")), "crowded")

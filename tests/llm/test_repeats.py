@@ -215,3 +215,140 @@ def test_numpy_passes_are_small(llm_spark):
 
     docs = llm_spark.range(0, 800, 1, 1).selectExpr("id AS doc_id", "repeat(concat('t', id, ' '), 400) AS text")
     assert anchors.marks(anchors.keyed(docs), segments, suffix_dedup.WIDTH).count() > 0
+
+
+def some_strings(seed, longest, n=60):
+    """Strings from a few texts, some with one byte changed."""
+    rng = np.random.default_rng(seed)
+    texts = [rng.integers(0, 256, 3 * longest).astype(np.uint8) for _ in range(4)]
+    out = []
+    for _ in range(n):
+        x = texts[rng.integers(4)].copy()
+        x[rng.integers(len(x))] = 255
+        size = rng.integers(longest // 2, longest)
+        at = rng.integers(0, len(x) - size)
+        out.append(x[at:at + size].tobytes())
+    return out
+
+
+def joined(strings):
+    return np.frombuffer(b"".join(strings), np.uint8), np.concatenate(([0], np.cumsum([len(s) for s in strings])))
+
+
+@pytest.mark.parametrize("width, size", [(100, 4), (10, 2), (7, 1)])
+def test_every_window_is_whole_symbols_of_one_column_string(width, size):
+    strings = some_strings(width, 2 * width) + [b"x" * width, b"y" * (width - 1), b""]
+    symbols, ends, row, front = suffix_dedup.wide_columns(*joined(strings), width, size)
+    names, got = {}, []
+    for i, r in enumerate(row):
+        assert ends[i + 1] - ends[i] <= len(strings[r]) // size       # a size-th of the columns
+        for k in range(ends[i + 1] - ends[i]):
+            at = front[i] + k * size
+            assert names.setdefault(symbols[ends[i] + k], strings[r][at:at + size]) == strings[r][at:at + size]
+            if k + width // size <= ends[i + 1] - ends[i]:
+                got.append((r, at))
+    assert sorted(got) == [(r, p) for r, s in enumerate(strings) for p in range(len(s) - width + 1)]
+    assert [names[k] for k in sorted(names)] == sorted(names.values()) and len(set(names.values())) == len(names)
+
+
+@pytest.mark.parametrize("width", [100, 10, 7])
+def test_spans_keep_every_repeat_and_no_string_without_one(width):
+    rng = np.random.default_rng(1000 + width)
+    alone = [rng.integers(0, 256, width + 30).astype(np.uint8).tobytes() for _ in range(5)]
+    strings = some_strings(width, 2 * width) + alone
+    strings = [s for s in strings if len(s) >= width]
+    row, first, count = suffix_dedup.shared_spans(*joined(strings), width)
+    _, offsets = joined(strings)
+    held = {(r, p) for r, f, n in zip(row, first - offsets[row], count) for p in range(f, f + n - width + 1)}
+    seen = {}
+    for r, s in enumerate(strings):
+        for p in range(len(s) - width + 1):
+            seen.setdefault(s[p:p + width], []).append((r, p))
+    assert {x for places in seen.values() if len(places) > 1 for x in places} <= held
+    assert max(row) < len(strings) - len(alone) and len(row) == len(set(row.tolist()))
+    assert suffix_dedup.shared_spans(*joined(alone), width)[0].tolist() == []
+
+
+@pytest.mark.parametrize("width", [100, 10, 7])
+def test_a_bucket_s_repeats_in_few_columns(width, monkeypatch):
+    """Against brute force; strings that share too little never reach the transform, the others
+    with a few symbols each."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(width)
+    alone = [rng.integers(0, 256, width + 30).astype(np.uint8).tobytes() for _ in range(5)]
+    strings = [s for s in some_strings(3 * width, 2 * width) if len(s) >= width] + alone
+    d = rng.integers(-3, 9, len(strings))
+    start = np.arange(len(strings)) * 1000
+    columns = []
+
+    class Seen(suffix_dedup.Collection):
+        def __init__(self, data, offsets):
+            columns.append((len(offsets) - 1, int(np.diff(offsets).max(initial=0))))
+            super().__init__(data, offsets)
+
+    monkeypatch.setattr(suffix_dedup, "Collection", Seen)
+    batch = suffix_dedup._batch(np.zeros(len(strings)), d, np.zeros(len(strings)), start,
+                                np.array([len(s) - width + 1 for s in strings]), strings)
+    got = {(x["d"], p) for out in suffix_dedup._compare(width)(iter([batch])) for x in out.to_pylist()
+           for p in range(x["start"], x["start"] + x["n"])}
+    first, want = {}, set()
+    places = [(int(d[i]), int(start[i]) + p, s[p:p + width]) for i, s in enumerate(strings) for p in range(len(s) - width + 1)]
+    for i, p, w in places:
+        first[w] = min(first.get(w, (i, p)), (i, p))
+    assert got == {(i, p) for i, p, w in places if first[w] != (i, p)} and got
+    symbol = {100: 4, 10: 2, 7: 1}[width]
+    assert len(columns) == 1 and columns[0][1] <= 2 * width // symbol
+    assert columns[0][0] <= symbol * (len(strings) - len(alone))
+
+    # A bucket whose strings share nothing.
+    batch = suffix_dedup._batch(np.zeros(5), d[:5], np.zeros(5), start[:5], np.full(5, 31), alone)
+    assert list(suffix_dedup._compare(width)(iter([batch]))) == [] and columns[1] == (0, 0)
+
+
+def test_stretches_by_brute_force():
+    """Short, empty and equal texts in one block: every window lies in one stretch, with its leftmost smallest gram."""
+    rng = np.random.default_rng(11)
+    width, gram = 12, 5
+    strings = [rng.integers(0, 3, n).astype(np.uint8).tobytes() for n in (0, 40, 11, 12, 13, 0, 60, 12, 3, 12, 5, 4, 0)]
+    data, offsets = joined(strings)
+    row, start, n, key, h = suffix_dedup.cut_segments(data, offsets, width, gram)
+    rolling = suffix_dedup.C.Rolling(data)
+    of = suffix_dedup.C.mix((rolling.sums[gram:] - rolling.sums[:-gram]) * rolling.down[:len(data) - gram + 1])
+    least = {}
+    for r, s in enumerate(strings):
+        for p in range(len(s) - width + 1):
+            least[r, p] = min(((int(of[offsets[r] + q]) >> 32), q) for q in range(p, p + width - gram + 1))[1]
+    got = {(r, p): int(k) for r, s, m, k in zip(row.tolist(), start.tolist(), n.tolist(), key) for p in range(s, s + m)}
+    assert sum(n) == len(got) and got == {x: int(of[offsets[x[0]] + q]) for x, q in least.items()}
+    for i in range(1, len(row)):                         # each is as long as it can be
+        assert row[i] != row[i - 1] or least[row[i], start[i]] != least[row[i], start[i] - 1]
+    same = {}
+    for r, s, m, x in zip(row.tolist(), start.tolist(), n.tolist(), h.tolist()):
+        text = strings[r][s:s + m - 1 + width]
+        assert same.setdefault(text, x) == x
+    assert len(set(same.values())) == len(same)
+
+
+def test_order_of_rows_with_ties():
+    rng = np.random.default_rng(12)
+    rows = np.zeros(3000, anchors.ROW)
+    for column, top in (("key", 900), ("h", 3), ("d", 4), ("start", 5)):
+        rows[column] = rng.integers(0, top, len(rows))
+    got, by = anchors._order(rows), ["key", "h", "d", "start"]
+    assert np.array_equal(got[by], np.sort(rows[by], order=by))
+    assert len(anchors._order(rows[:0])) == 0 and len(anchors._order(rows[:1])) == 1
+
+
+def test_stretches_are_cut_in_small_passes(llm_spark, monkeypatch):
+    """Arrays of a pass take eight bytes a byte of text: they are to stay in a core's cache."""
+    assert suffix_dedup.PASS_BYTES <= 1 << 16
+
+    def segments(data, offsets):
+        assert len(data) <= 1 << 16
+        return cut(data, offsets)
+
+    cut = suffix_dedup.cut_segments
+    monkeypatch.setattr(suffix_dedup, "cut_segments", segments)
+    docs = llm_spark.range(0, 100, 1, 1).selectExpr("id AS doc_id", "repeat(concat('t', id, ' '), 400) AS text")
+    assert suffix_dedup.repeated_places(anchors.keyed(docs)).count() > 0
